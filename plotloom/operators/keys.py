@@ -29,9 +29,16 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return joined.drop(*[f"__r_{key}" for key in keys])
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the first in ``order``.  A null value of that row is kept."""
-    chosen = F.min_by(F.struct(*values), F.struct(*order)).alias(_FOUND)
+def _pick(values: Sequence, order: Sequence, latest: bool) -> Column:
+    chosen = F.max_by if latest else F.min_by
+    return chosen(F.struct(*values), F.struct(*order)).alias(_FOUND)
+
+
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], values: Sequence[str], order: Sequence[str], latest: bool = False
+) -> DataFrame:
+    """One row per key: the first in ``order``, or the last.  A null value of that row is kept."""
+    chosen = _pick(values, order, latest)
     return df.groupBy(*keys).agg(chosen).select(*keys, *[F.col(f"{_FOUND}.{v}").alias(v) for v in values])
 
 
@@ -43,6 +50,7 @@ def lookup(
     values: Mapping[str, str],
     order: Sequence[str],
     salts: int = 0,
+    latest: bool = False,
 ) -> DataFrame:
     """Add ``values`` (new name -> dimension column) of the first dimension row with the key.
 
@@ -58,9 +66,7 @@ def lookup(
         *[F.col(column).alias(wanted[out]) for out, column in values.items()],
         *[F.col(column).alias(f"__o{i}") for i, column in enumerate(order)],
     )
-    reduced = source.groupBy(_KEY).agg(
-        F.min_by(F.struct(*wanted.values()), F.struct(*[f"__o{i}" for i in range(len(order))])).alias(_FOUND)
-    )
+    reduced = source.groupBy(_KEY).agg(_pick(list(wanted.values()), [f"__o{i}" for i in range(len(order))], latest))
     return _attach(df, reduced, key, wanted, salts)
 
 
@@ -123,6 +129,7 @@ def lookup_any_of(
     dim_key: str,
     values: Mapping[str, str],
     order: Sequence[str],
+    latest: bool = False,
 ) -> DataFrame:
     """Look several left keys up in one dimension column; each value takes the first hit.
 
@@ -130,7 +137,7 @@ def lookup_any_of(
     """
     outs = list(values)
     for rank, key in enumerate(keys):
-        df = lookup(df, dim, key, dim_key, {f"__{rank}_{out}": values[out] for out in outs}, order)
+        df = lookup(df, dim, key, dim_key, {f"__{rank}_{out}": values[out] for out in outs}, order, latest=latest)
     found = {out: F.coalesce(*[F.col(f"__{rank}_{out}") for rank in range(len(keys))]) for out in outs}
     dropped = [f"__{rank}_{out}" for rank in range(len(keys)) for out in outs]
     return df.withColumns(found).drop(*dropped)

@@ -167,6 +167,7 @@ def read_sheet(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
     return scanned.select(*[missing_to_null(f"_c{i}").alias(name) for i, name in enumerate(names)])
 
 
-def later_files_first(file: str = "file", order: str = "order") -> list:
-    """Order in which stacked files are searched: the last file by name comes first."""
-    return [F.col(file).desc(), F.col(order)]
+def later_first(df: DataFrame, file: str = "file", order: str = "order", out: str = "place") -> DataFrame:
+    """Add the place of a row when stacked files are searched last file first, each from
+    its top: the largest place is searched first."""
+    return df.withColumn(out, F.struct(F.col(file), -F.col(f"{order}.block_start"), -F.col(f"{order}.line")))
