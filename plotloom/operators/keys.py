@@ -76,7 +76,7 @@ def _attach(df: DataFrame, reduced: DataFrame, key: Column, wanted: Mapping[str,
     extra = ["__lk"]
     if salts > 1:
         left = left.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-        reduced = reduced.withColumn("__dsalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+        reduced = reduced.withColumn("__dsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         condition = condition & (F.col("__salt") == F.col("__dsalt"))
         extra.append("__salt")
     joined = left.join(reduced, condition, "left")

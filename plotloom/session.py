@@ -25,6 +25,7 @@ def build_session(master: str = "local[8]", partitions: int = 8, memory: str = "
         SparkSession.builder.master(master)
         .appName("plotloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
     )

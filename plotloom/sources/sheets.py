@@ -22,6 +22,10 @@ from plotloom.functions.scalar import missing_to_null
 
 NAME_PATTERN = "*csv*"
 
+# Header names in all files up to which the header table is broadcast (a few megabytes).
+# Beyond it the rows are shuffled by file and hot files are split at run time.
+BROADCAST_NAMES = 100_000
+
 
 def discover(spark: SparkSession, folder: str, pattern: str = NAME_PATTERN) -> DataFrame:
     """Files whose name matches, with year, site, trial and datatype; contents are not read."""
@@ -103,22 +107,29 @@ def _scan(spark: SparkSession, paths: Sequence[str], width: int, skip: int) -> D
     return parsed.select("file", "block_start", "line", *[F.col(f"r.{c}").alias(c) for c in cells])
 
 
+def _headers_of(files: DataFrame, skip: int) -> tuple[DataFrame, list[str], int, bool]:
+    """Headers, the paths to scan, the widest header, and whether all headers are small."""
+    tops = headers(files, skip)
+    listing = tops.select("path", F.size("header").alias("width")).collect()
+    if not listing:
+        raise ValueError("no files to read")
+    widths = [row["width"] for row in listing]
+    return tops, [row["path"] for row in listing], max(widths), sum(widths) <= BROADCAST_NAMES
+
+
 def read_long(
     files: DataFrame, ids: Sequence[str] = (), skip: int = 0, drop_nulls: bool = True, order: str = "order"
 ) -> DataFrame:
     """Every cell of every file as (file, order, ids..., name, value).
 
     ``order`` is (block, line) and follows the rows of a file; id columns a file lacks
-    are null.  Only the headers come to the driver, and of them only their width and
-    the paths.
+    are null.  Only the paths and header widths come to the driver.
     """
     spark = files.sparkSession
-    tops = headers(files, skip)
-    listing = tops.select("path", F.size("header").alias("width")).collect()
-    width = max(row["width"] for row in listing)
-    scanned = _scan(spark, [row["path"] for row in listing], width, skip)
+    tops, paths, width, small = _headers_of(files, skip)
+    scanned = _scan(spark, paths, width, skip)
     named = tops.select(F.col("file").alias("__file"), "header")
-    joined = scanned.join(named, F.col("file") == F.col("__file"))
+    joined = scanned.join(F.broadcast(named) if small else named, F.col("file") == F.col("__file"))
     cells = F.array(*[f"_c{i}" for i in range(width)])
     row = joined.select(
         "file", F.struct("block_start", "line").alias(order), "header",
@@ -137,16 +148,14 @@ def read_long(
 def read_columns(files: DataFrame, columns: Sequence[str], skip: int = 0, order: str = "order") -> DataFrame:
     """The named columns of every file, aligned by name; a column a file lacks is null."""
     spark = files.sparkSession
-    tops = headers(files, skip)
-    listing = tops.select("path", F.size("header").alias("width")).collect()
-    width = max(row["width"] for row in listing)
-    scanned = _scan(spark, [row["path"] for row in listing], width, skip)
+    tops, paths, width, small = _headers_of(files, skip)
+    scanned = _scan(spark, paths, width, skip)
     places = tops.select(
         F.col("file").alias("__file"),
         *[F.array_position("header", F.lit(name)).cast("int").alias(f"__p{i}") for i, name in enumerate(columns)],
     )
     cells = F.array(*[f"_c{i}" for i in range(width)])
-    joined = scanned.join(places, F.col("file") == F.col("__file"))
+    joined = scanned.join(F.broadcast(places) if small else places, F.col("file") == F.col("__file"))
     return joined.select(
         "file",
         F.struct("block_start", "line").alias(order),
