@@ -18,10 +18,9 @@ def token(value, separator: str, position: int) -> Column:
 
     A trailing empty token counts as absent, an empty one in the middle does not.
     """
-    parts = F.split(_col(value), re.escape(separator), -1)
-    found = F.get(parts, F.lit(position - 1))
-    trailing = (F.size(parts) == position) & (found == "")
-    return F.when(~trailing, found)
+    separator = re.escape(separator)
+    whole = F.regexp_replace(F.nullif(_col(value), F.lit("")), separator + "$", "")
+    return F.get(F.split(whole, separator, -1), F.lit(position - 1))
 
 
 def strip_csv(value) -> Column:
@@ -31,9 +30,9 @@ def strip_csv(value) -> Column:
 
 def replace_first(value, wanted: str, replacement: str) -> Column:
     """Replace only the first occurrence of a fixed text."""
-    text = _col(value)
-    at = F.instr(text, wanted)
-    return F.when(at > 0, F.overlay(text, F.lit(replacement), at, F.lit(len(wanted)))).otherwise(text)
+    pattern = "(?s)^(.*?)" + re.escape(wanted)
+    escaped = replacement.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(_col(value), pattern, "$1" + escaped)
 
 
 def glue(*values, separator: str = "") -> Column:

@@ -29,7 +29,8 @@ def rate_table(params: DataFrame, model: str, observations: DataFrame, x: str =
     """Curves of every fitted group over the time span shared by all observations."""
     low = observations.agg(F.min(x).cast("double")).scalar()
     high = observations.agg(F.max(x).cast("double")).scalar()
-    return add_curves(rate_grid(params, low, high, count), model, "t", log_scale)
+    spanned = params.withColumns({"__low": low, "__high": high})
+    return add_curves(rate_grid(spanned, F.col("__low"), F.col("__high"), count), model, "t", log_scale).drop("__low", "__high")
 
 
 def _draw_columns(model: str, keys: Sequence, seed: str, prefix: str = "") -> tuple[list[dict[str, Column]], dict[str, Column]]:

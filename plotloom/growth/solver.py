@@ -146,17 +146,23 @@ def solve(model, start, fixed, x, y, w, within_x, variance=None):
         delta = np.zeros(len(n))
         weight = np.ones_like(w)
         if variance == "exp":
+            rows = np.flatnonzero(np.isfinite(theta).all(axis=1))
             for _ in range(100):
-                fitted = np.where(w > 0, _predict(spec, theta, fixed, x), 0.0)
-                squares = w * (y - fitted) ** 2 + within_x
-                new = _variance_slope(fitted, np.where(w > 0, squares, 0.0), w)
-                centre = (w * fitted).sum(axis=1, keepdims=True) / n[:, None]
-                weight = np.where(w > 0, np.exp(-2 * new[:, None] * (fitted - centre)), 0.0)
-                theta, _ = minimise(spec, theta, fixed, x, y, w * weight, (within_x * weight).sum(axis=1))
-                settled = np.abs(new - delta) <= 1e-8 * (np.abs(new) + 1e-3)
-                delta = new
-                if settled.all():
+                if not len(rows):
                     break
+                part = {name: value[rows] for name, value in fixed.items()}
+                xs, ys, ws, inner = x[rows], y[rows], w[rows], within_x[rows]
+                fitted = np.where(ws > 0, _predict(spec, theta[rows], part, xs), 0.0)
+                squares = ws * (ys - fitted) ** 2 + inner
+                new = _variance_slope(fitted, np.where(ws > 0, squares, 0.0), ws)
+                centre = (ws * fitted).sum(axis=1, keepdims=True) / n[rows][:, None]
+                weight[rows] = np.where(ws > 0, np.exp(-2 * new[:, None] * (fitted - centre)), 0.0)
+                theta[rows], _ = minimise(
+                    spec, theta[rows], part, xs, ys, ws * weight[rows], (inner * weight[rows]).sum(axis=1)
+                )
+                settled = np.abs(new - delta[rows]) <= 1e-7 * (np.abs(new) + 1e-3)
+                delta[rows] = new
+                rows = rows[~settled]
         fitted = np.where(w > 0, _predict(spec, theta, fixed, x), 0.0)
         normal, gradient, weighted = _summary(spec, theta, fixed, x, y, w * weight, (within_x * weight).sum(axis=1))
         plain = (w * (y - fitted) ** 2 + within_x).sum(axis=1)

@@ -80,7 +80,8 @@ def _attach(df: DataFrame, reduced: DataFrame, key: Column, wanted: Mapping[str,
         condition = condition & (F.col("__salt") == F.col("__dsalt"))
         extra.append("__salt")
     joined = left.join(reduced, condition, "left")
-    kept = [F.col(f"`{name}`") for name in df.columns if name not in wanted]
+    replaced = {out.lower() for out in wanted}
+    kept = [F.col(f"`{name}`") for name in df.columns if name.lower() not in replaced]
     return joined.select(*kept, *[F.col(f"{_FOUND}.{inner}").alias(out) for out, inner in wanted.items()])
 
 

@@ -7,6 +7,7 @@ an order column ``row``; of several rows with one identifier the first is taken.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from plotloom.operators.keys import (
 from plotloom.operators.numbering import assign_ids
 from plotloom.operators.reshape import attributes_to_long, columns_with_prefix, to_long, with_constants
 from plotloom.plans.common import LoadResult, finish_load
-from plotloom.sources.tables import update_column
+from plotloom.sources.tables import cut_lineage, update_column
 
 Tables = Mapping[str, DataFrame]
 
@@ -280,12 +281,15 @@ def old_sample_parents(sheet: DataFrame, samples: DataFrame) -> DataFrame:
 
 
 def load_tree(sheets: Mapping[str, DataFrame], tables: Tables, as_of: str, kinds: set[str]) -> dict[str, LoadResult]:
-    """Run the chosen kinds; each sees the entities added before it."""
+    """Run the chosen kinds; each sees the entities added before it.
+
+    The rows of a kind are materialised once, as the later kinds read them again.
+    """
     current = dict(tables)
     results: dict[str, LoadResult] = {}
 
     def add(kind: str, result: LoadResult) -> None:
-        results[kind] = result
+        result = results[kind] = replace(result, new_rows=cut_lineage(result.new_rows))
         table = current[result.target]
         current[result.target] = table.unionByName(result.new_rows, allowMissingColumns=True).select(table.columns)
 
