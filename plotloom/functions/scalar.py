@@ -24,8 +24,8 @@ def token(value, separator: str, position: int) -> Column:
 
 
 def strip_csv(value) -> Column:
-    """Text before the first ``.csv``."""
-    return F.get(F.split(_col(value), r"\.csv", -1), F.lit(0))
+    """Text before the first ``csv`` and the character in front of it, whatever that is."""
+    return F.get(F.split(_col(value), ".csv", -1), F.lit(0))
 
 
 def replace_first(value, wanted: str, replacement: str) -> Column:

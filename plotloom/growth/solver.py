@@ -13,6 +13,8 @@ from plotloom.growth.models import MODELS, NumpyMath
 
 OFFSET_TOLERANCE = 1e-4
 MAX_STEPS = 300
+# Alternations of curve and variance, and curve steps in each.
+VARIANCE_ROUNDS, VARIANCE_STEPS = 50, 10
 
 
 def _predict(spec, theta, fixed, x):
@@ -63,14 +65,14 @@ def relative_offset(normal, gradient, rss, n):
         return np.sqrt(np.maximum(explained, 0) / p) / np.sqrt(np.maximum(spread, 1e-300))
 
 
-def minimise(spec, theta, fixed, x, y, w, within):
+def minimise(spec, theta, fixed, x, y, w, within, steps=MAX_STEPS):
     """Least squares per group: parameters and the weighted residual sum without ``within``."""
     theta = theta.copy()
     damping = np.full(len(theta), 1e-3)
     _, rss = _sum_squares(spec, theta, fixed, x, y, w)
     active = np.isfinite(rss) & np.isfinite(theta).all(axis=1)
     n = w.sum(axis=1)
-    for _ in range(MAX_STEPS):
+    for _ in range(steps):
         rows = np.flatnonzero(active)
         if not len(rows):
             break
@@ -147,7 +149,7 @@ def solve(model, start, fixed, x, y, w, within_x, variance=None):
         weight = np.ones_like(w)
         if variance == "exp":
             rows = np.flatnonzero(np.isfinite(theta).all(axis=1))
-            for _ in range(100):
+            for _ in range(VARIANCE_ROUNDS):
                 if not len(rows):
                     break
                 part = {name: value[rows] for name, value in fixed.items()}
@@ -158,7 +160,7 @@ def solve(model, start, fixed, x, y, w, within_x, variance=None):
                 centre = (ws * fitted).sum(axis=1, keepdims=True) / n[rows][:, None]
                 weight[rows] = np.where(ws > 0, np.exp(-2 * new[:, None] * (fitted - centre)), 0.0)
                 theta[rows], _ = minimise(
-                    spec, theta[rows], part, xs, ys, ws * weight[rows], (inner * weight[rows]).sum(axis=1)
+                    spec, theta[rows], part, xs, ys, ws * weight[rows], (inner * weight[rows]).sum(axis=1), VARIANCE_STEPS
                 )
                 settled = np.abs(new - delta[rows]) <= 1e-7 * (np.abs(new) + 1e-3)
                 delta[rows] = new

@@ -295,13 +295,13 @@ with {TRIAL_SQL}, {LOCATIONS_SQL}, {ENTITIES_SQL}, last as (select "ID", max(fil
 sited as (
   select "ID", case when split_part(file, '_', 2) = 'GES' then
       case when split_part(file, '_', 1) = '2017' then 'GES CR04' else 'GES VR11' end else 'Obregon' end as site from last),
-placed as (select "ID", l.id as location_id, case when site = 'Obregon' then 4 else 1 end as institution_id
+placed as (select sited."ID" as code, l.id as location_id, case when site = 'Obregon' then 4 else 1 end as institution_id
   from sited left join locations l on l.site_name_short = site)
 select e.id, e.general_identifier, e.number, e.name, e.entitytype_id,
   coalesce(a.location_id, b.location_id, c.location_id) as location_id,
   coalesce(a.institution_id, b.institution_id, c.institution_id) as institution_id
-from entities e left join placed a on a."ID" = e.general_identifier left join placed b on b."ID" = e.number
-left join placed c on c."ID" = e.name""",
+from entities e left join placed a on a.code = e.general_identifier left join placed b on b.code = e.number
+left join placed c on c.code = e.name""",
 )
 def refresh_entities(spark, folder):
     tables = {"locations": locations(spark), "germinatebase": entities(spark, folder)}
