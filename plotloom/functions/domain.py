@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plotloom.literals import literal
 from plotloom.functions.scalar import (
     days_between,
     glue,
@@ -198,11 +199,11 @@ def sample_class(sample_type, purpose) -> Column:
 
 
 def attribute_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ATTRIBUTE_IDS.items()), "attribute string, attribute_id int")
+    return literal(spark, list(ATTRIBUTE_IDS.items()), "attribute string, attribute_id int")
 
 
 def entity_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ENTITY_TYPES.items()), "entity_kind string, entitytype_id int")
+    return literal(spark, list(ENTITY_TYPES.items()), "entity_kind string, entitytype_id int")
 
 
 def accession_notes(df: DataFrame, out: str = "notes") -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plotloom.growth.points import ARRAY_LIMIT, compress, pack
 from plotloom.operators.reshape import union_all
@@ -14,6 +17,7 @@ from plotloom.session import shuffle_partitions
 
 AXES = ("M0", "r", "beta")
 POSITION = ("i", "j", "k")
+Axes = Mapping[str, tuple[float, float, int]]
 
 
 def _axis(low: float, high: float, count: int, position: str, name: str) -> Column:
@@ -23,83 +27,109 @@ def _axis(low: float, high: float, count: int, position: str, name: str) -> Colu
     return F.transform(steps, lambda i: F.struct(i.alias(position), (F.lit(low) + i * F.lit(step)).alias(name)))
 
 
+def _plane(m0: float, r: np.ndarray, beta: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Squared error over the (r, beta) plane for one initial mass; NaN where undefined."""
+    left = 1 - beta[None, :]
+    total = np.zeros((len(r), len(beta)))
+    with np.errstate(all="ignore"):
+        base, power = np.power(m0, left), 1 / left
+        slope = r[:, None] * left
+        for x, n, y, within in points:
+            gap = y - np.power(base + slope * x, power)
+            total += n * gap * gap + within
+    return total
+
+
+def _planes(batches: Iterator[pd.DataFrame], keys: list[str], axes, best_only: bool) -> Iterator[pd.DataFrame]:
+    r, beta = (np.linspace(*axes[name]) for name in ("r", "beta"))
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            points = np.array([(q["x"], q["n"], q["y"], q["within"]) for q in row.points], dtype=float)
+            total = _plane(row.M0, r, beta, points).ravel()
+            chosen = np.arange(len(total))
+            if best_only:
+                # the first smallest error in axis order; a plane without a defined value has none
+                chosen = chosen[:0] if np.isnan(total).all() else np.array([np.nanargmin(total)])
+            out = {key: [getattr(row, f"key{at}")] * len(chosen) for at, key in enumerate(keys)}
+            out.update(chunks=row.chunks, i=row.i, j=chosen // len(beta), k=chosen % len(beta), M0=row.M0)
+            out.update(r=r[chosen // len(beta)], beta=beta[chosen % len(beta)], rss=total[chosen], n=points[:, 1].sum())
+            yield pd.DataFrame(out)
+
+
+def _squares(packed: DataFrame, keys: Sequence[str], axes, best_only: bool) -> DataFrame:
+    """Squared error per grid point, one task row per group, chunk and value of the first axis."""
+    spark = packed.sparkSession
+    rows = packed.withColumn("__a", F.explode(_axis(*axes["M0"], "i", "M0"))).select(
+        *[F.col(key).alias(f"key{at}") for at, key in enumerate(keys)], "chunk", "chunks", "points", "__a.i", "__a.M0"
+    )
+    spread = rows.repartition(shuffle_partitions(spark), *[f"key{at}" for at in range(len(keys))], "chunk", "i")
+    fields = [packed.schema[key] for key in keys]
+    fields += [T.StructField(name, T.IntegerType()) for name in ("chunks", *POSITION)]
+    fields += [T.StructField(name, T.DoubleType()) for name in (*AXES, "rss", "n")]
+    key_list, given = list(keys), dict(axes)
+    return spread.mapInPandas(lambda it: _planes(it, key_list, given, best_only), T.StructType(fields))
+
+
+def _summed(packed: DataFrame, keys: Sequence[str], axes) -> DataFrame:
+    """Squared error of groups held in several arrays, added per grid point."""
+    columns = [*keys, *POSITION, *AXES]
+    parts = _squares(packed.where(F.col("chunks") > 1), keys, axes, False)
+    return parts.groupBy(*columns).agg(F.sum("rss").alias("rss"), F.sum("n").alias("n"))
+
+
+def _likelihood(squares: DataFrame, keys: Sequence[str]) -> DataFrame:
+    error = F.when(~F.isnan("rss"), F.col("rss"))
+    return squares.select(*keys, *POSITION, *AXES, log_lik(F.col("n"), error).alias("LL"))
+
+
 def grid_values(
     df: DataFrame,
     keys: Sequence[str],
-    axes: Mapping[str, tuple[float, float, int]],
+    axes: Axes,
     x: str = "x",
     y: str = "y",
     array_limit: int = ARRAY_LIMIT,
 ) -> DataFrame:
     """(keys, i, j, k, M0, r, beta, LL) for every grid point and group.
 
-    A group travels as one array of distinct times.  The first axis is spread over the
-    cluster, the other two are generated inside the task and every grid point sums over
-    the array in its own row, so no (grid point, observation) pair is ever shuffled.
-    Groups with several arrays sum their parts per grid point afterwards.
+    A group travels as an array of distinct times.  The first axis is spread over the
+    cluster and each value of it is one numpy plane over the other two, so no pair of
+    grid point and observation ever becomes a row.
     """
-    spark = df.sparkSession
     packed = pack(compress(df, keys, x, y), keys, array_limit)
-    first = packed.withColumn("__a", F.explode(_axis(*axes["M0"], "i", "M0")))
-    spread = first.repartition(shuffle_partitions(spark), *keys, "chunk", "__a")
-    second = spread.withColumn("__b", F.explode(_axis(*axes["r"], "j", "r")))
-    low, high, count = axes["beta"]
-    step = (high - low) / (count - 1) if count > 1 else 0.0
-    third = F.transform(
-        F.sequence(F.lit(0), F.lit(count - 1)),
-        lambda k: F.struct(
-            k.alias("k"),
-            (F.lit(low) + k * F.lit(step)).alias("beta"),
-            # the part of the curve that does not depend on time, computed once per point
-            F.pow(F.col("__a.M0"), 1 - (F.lit(low) + k * F.lit(step))).alias("base"),
-        ),
-    )
-    points = second.withColumn("__c", F.explode(third))
-    left = 1 - F.col("__c.beta")
+    whole = _squares(packed.where(F.col("chunks") == 1), keys, axes, False)
+    parts = _summed(packed, keys, axes)
+    return _likelihood(union_all([whole.select(parts.columns), parts]), keys)
 
-    def curve(time: Column) -> Column:
-        return F.pow(F.col("__c.base") + F.col("__b.r") * time * left, F.try_divide(F.lit(1.0), left))
 
-    squares = F.aggregate(
-        "points",
-        F.lit(0.0),
-        lambda total, q: total + q["n"] * F.pow(q["y"] - curve(q["x"]), F.lit(2.0)) + q["within"],
-    )
-    size = F.aggregate("points", F.lit(0.0), lambda total, q: total + q["n"])
-    summed = points.select(
-        *keys, "chunks", "__a.i", "__b.j", "__c.k", "__a.M0", "__b.r", "__c.beta", squares.alias("rss"), size.alias("n")
-    )
-    columns = [*keys, *POSITION, *AXES]
-    whole = summed.where(F.col("chunks") == 1).select(*columns, "rss", "n")
-    parts = (
-        summed.where(F.col("chunks") > 1).groupBy(*columns).agg(F.sum("rss").alias("rss"), F.sum("n").alias("n"))
-    )
-    everything = union_all([whole, parts])
-    return everything.select(*columns, log_lik(F.col("n"), F.col("rss")).alias("LL"))
+def _best(df: DataFrame, keys: Sequence[str], axes: Axes, x: str, y: str, array_limit: int, positive_mass: bool) -> DataFrame:
+    packed = pack(compress(df, keys, x, y), keys, array_limit)
+    # every plane keeps its own best point, the planes of a group are compared afterwards
+    whole = _squares(packed.where(F.col("chunks") == 1), keys, axes, True)
+    parts = _summed(packed, keys, axes)
+    values = _likelihood(union_all([whole.select(parts.columns), parts]), keys)
+    if positive_mass:
+        values = values.where(F.col("M0") != 0)
+    return best_by(values, keys, "LL", POSITION)
 
 
-def grid_search(df: DataFrame, keys: Sequence[str], axes: Mapping[str, tuple[float, float, int]], x: str = "x", y: str = "y") -> DataFrame:
+def grid_search(
+    df: DataFrame, keys: Sequence[str], axes: Axes, x: str = "x", y: str = "y", array_limit: int = ARRAY_LIMIT
+) -> DataFrame:
     """The most likely grid point per group; ties go to the first in axis order."""
-    return best_by(grid_values(df, keys, axes, x, y), keys, "LL", POSITION)
+    return _best(df, keys, axes, x, y, array_limit, False)
 
 
-def two_step_search(
-    df: DataFrame,
-    keys: Sequence[str],
-    coarse: Mapping[str, tuple[float, float, int]],
-    fine: Mapping[str, tuple[float, float, int]],
-    x: str = "x",
-    y: str = "y",
-) -> DataFrame:
+def two_step_search(df: DataFrame, keys: Sequence[str], coarse: Axes, fine: Axes, x: str = "x", y: str = "y") -> DataFrame:
     """Best point of the pooled coarse and fine grids; coarse points without initial mass
     are left out, and each grid is reduced to its best point before pooling."""
-    first = best_by(grid_values(df, keys, coarse, x, y).where(F.col("M0") != 0), keys, "LL", POSITION)
-    second = grid_search(df, keys, fine, x, y)
+    first = _best(df, keys, coarse, x, y, ARRAY_LIMIT, True)
+    second = _best(df, keys, fine, x, y, ARRAY_LIMIT, False)
     pooled = union_all([first.withColumn("step", F.lit(0)), second.withColumn("step", F.lit(1))])
     return best_by(pooled, keys, "LL", ("step", *POSITION))
 
 
-def param_grid(anchor: DataFrame, axes: Mapping[str, tuple[float, float, int]]) -> DataFrame:
+def param_grid(anchor: DataFrame, axes: Axes) -> DataFrame:
     """Every combination of the axis values for every row of ``anchor``."""
     grid = anchor
     for name, (low, high, count) in axes.items():

@@ -13,8 +13,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _KEY = "__key"
+_NO_KEY = "__no_key"
 _FOUND = "__found"
 
 
@@ -29,17 +31,58 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return joined.drop(*[f"__r_{key}" for key in keys])
 
 
-def _pick(values: Sequence, order: Sequence, latest: bool) -> Column:
-    chosen = F.max_by if latest else F.min_by
-    return chosen(F.struct(*values), F.struct(*order)).alias(_FOUND)
+def _pick(values: Mapping[str, str], order: Sequence[str], latest: bool) -> list[Column]:
+    """Aggregates giving the value of the first row in ``order`` (or the last), nulls kept.
+
+    With one order column every value has an aggregate of its own, and those of plain
+    numbers are combined in hash maps; several order columns need a struct.
+    """
+    by = F.max_by if latest else F.min_by
+    if len(order) == 1:
+        end = F.max if latest else F.min
+        return [
+            (end(column) if column == order[0] else by(column, order[0])).alias(out) for out, column in values.items()
+        ]
+    row = by(F.struct(*[F.col(c).alias(o) for o, c in values.items()]), F.struct(*order))
+    return [row.alias(_FOUND)]
+
+
+def _common(left: T.DataType, right: T.DataType) -> T.DataType:
+    if left == right:
+        return left
+    if isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType):
+        return T.LongType()
+    if isinstance(left, T.NumericType) and isinstance(right, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def _flat(column: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """A key as (value without nulls, is it missing), on which null equals null.
+
+    Grouping and joining on these two plain columns share one partitioning, and sorts
+    can compare by prefix.
+    """
+    value = column.cast(kind)
+    if isinstance(kind, T.StringType):
+        filler = F.lit("")
+    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        filler = F.lit("1970-01-01").cast(kind)
+    else:
+        filler = F.lit(0).cast(kind)
+    return F.coalesce(value, filler), value.isNull()
+
+
+def _kind(df: DataFrame, column: Column) -> T.DataType:
+    return df.select(column).schema[0].dataType
 
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str], values: Sequence[str], order: Sequence[str], latest: bool = False
 ) -> DataFrame:
     """One row per key: the first in ``order``, or the last.  A null value of that row is kept."""
-    chosen = _pick(values, order, latest)
-    return df.groupBy(*keys).agg(chosen).select(*keys, *[F.col(f"{_FOUND}.{v}").alias(v) for v in values])
+    reduced = df.groupBy(*keys).agg(*_pick({v: v for v in values}, order, latest))
+    return reduced if len(order) == 1 else reduced.select(*keys, *[F.col(f"{_FOUND}.{v}").alias(v) for v in values])
 
 
 def lookup(
@@ -60,29 +103,36 @@ def lookup(
     """
     key = F.col(key) if isinstance(key, str) else key
     dim_key = F.col(dim_key) if isinstance(dim_key, str) else dim_key
+    kind = _common(_kind(df, key), _kind(dim, dim_key))
     wanted = {out: f"__v{i}" for i, out in enumerate(values)}
+    ordered = [f"__o{i}" for i in range(len(order))]
+    value, missing = _flat(dim_key, kind)
     source = dim.select(
-        dim_key.alias(_KEY),
+        value.alias(_KEY),
+        missing.alias(_NO_KEY),
         *[F.col(column).alias(wanted[out]) for out, column in values.items()],
-        *[F.col(column).alias(f"__o{i}") for i, column in enumerate(order)],
+        *[F.col(column).alias(ordered[i]) for i, column in enumerate(order)],
     )
-    reduced = source.groupBy(_KEY).agg(_pick(list(wanted.values()), [f"__o{i}" for i in range(len(order))], latest))
-    return _attach(df, reduced, key, wanted, salts)
+    inner = {name: ordered[order.index(values[out])] if values[out] in order else name for out, name in wanted.items()}
+    reduced = source.groupBy(_KEY, _NO_KEY).agg(*_pick(inner, ordered, latest))
+    if len(order) > 1:
+        reduced = reduced.select(_KEY, _NO_KEY, *[F.col(f"{_FOUND}.{name}").alias(name) for name in wanted.values()])
+    return _attach(df, reduced, _flat(key, kind), wanted, salts)
 
 
-def _attach(df: DataFrame, reduced: DataFrame, key: Column, wanted: Mapping[str, str], salts: int) -> DataFrame:
-    left = df.withColumn("__lk", key)
-    condition = F.col("__lk").eqNullSafe(F.col(_KEY))
-    extra = ["__lk"]
+def _attach(df: DataFrame, reduced: DataFrame, key: tuple[Column, Column], wanted: Mapping[str, str], salts: int) -> DataFrame:
+    """Left join of one row per key; ``reduced`` is partitioned as the join wants it."""
+    left = df.withColumns({"__lk": key[0], "__lm": key[1]})
+    condition = (F.col("__lk") == F.col(_KEY)) & (F.col("__lm") == F.col(_NO_KEY))
     if salts > 1:
         left = left.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-        reduced = reduced.withColumn("__dsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        copies = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+        reduced = reduced.withColumn("__dsalt", F.explode(copies))
         condition = condition & (F.col("__salt") == F.col("__dsalt"))
-        extra.append("__salt")
     joined = left.join(reduced, condition, "left")
     replaced = {out.lower() for out in wanted}
     kept = [F.col(f"`{name}`") for name in df.columns if name.lower() not in replaced]
-    return joined.select(*kept, *[F.col(f"{_FOUND}.{inner}").alias(out) for out, inner in wanted.items()])
+    return joined.select(*kept, *[F.col(inner).alias(out) for out, inner in wanted.items()])
 
 
 def lookup_fallback(
@@ -100,27 +150,30 @@ def lookup_fallback(
     side is joined once however many fall-backs there are.
     """
     key = F.col(key) if isinstance(key, str) else key
+    ordered = [f"__o{i}" for i in range(len(order))]
+    columns = F.array(
+        *[
+            F.struct(F.lit(rank).alias("rank"), F.col(column).cast("string").alias("k"))
+            for rank, column in enumerate(dim_keys)
+        ]
+    )
     stacked = dim.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(rank).alias("rank"), F.col(column).cast("string").alias("k"))
-                    for rank, column in enumerate(dim_keys)
-                ]
-            )
-        ).alias("s"),
-        F.col(value).alias("__value"),
-        *[F.col(column).alias(f"__o{i}") for i, column in enumerate(order)],
-    ).select(F.col("s.k").alias(_KEY), F.col("s.rank").alias("__rank"), "__value", *[f"__o{i}" for i in range(len(order))])
-    first = stacked.groupBy(_KEY, "__rank").agg(
-        F.min_by(F.struct("__value"), F.struct(*[f"__o{i}" for i in range(len(order))])).alias("__first")
+        F.explode(columns).alias("s"), F.col(value).alias("__value"), *[F.col(c).alias(o) for o, c in zip(ordered, order)]
     )
+    plain, missing = _flat(F.col("s.k"), T.StringType())
+    source = stacked.select(
+        plain.alias(_KEY), missing.alias(_NO_KEY), F.col("s.rank").alias("__rank"), "__value", *ordered
+    )
+    inner = {"__v": ordered[order.index(value)] if value in order else "__value"}
+    first = source.groupBy(_KEY, _NO_KEY, "__rank").agg(*_pick(inner, ordered, False))
+    found = F.col("__v") if len(order) == 1 else F.col(f"{_FOUND}.__v")
     reduced = (
-        first.where(F.col("__first.__value").isNotNull())
-        .groupBy(_KEY)
-        .agg(F.min_by(F.struct(F.col("__first.__value").alias("__v0")), "__rank").alias(_FOUND))
+        first.withColumn("__v", found)
+        .where(F.col("__v").isNotNull())
+        .groupBy(_KEY, _NO_KEY)
+        .agg(F.min_by("__v", "__rank").alias("__v0"))
     )
-    return _attach(df, reduced, key.cast("string"), {out: "__v0"}, 0)
+    return _attach(df, reduced, _flat(key, T.StringType()), {out: "__v0"}, 0)
 
 
 def lookup_any_of(
@@ -155,29 +208,32 @@ def lookup_or_default(df, dim, key: str, default: str, dim_key: str, values: Map
 
 
 def only_new(df: DataFrame, existing: DataFrame, keys: Mapping[str, str] | Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``existing``; null equals null.
-
-    The stored keys are made distinct first (partial aggregation), so a hot stored key
-    costs one row in the join.
-    """
-    pairs = dict(keys) if isinstance(keys, Mapping) else {key: key for key in keys}
-    stored = existing.select(*[F.col(b).alias(f"__e{i}") for i, b in enumerate(pairs.values())]).distinct()
-    return df.join(stored, _null_safe(list(pairs)), "left_anti")
+    """Rows whose key is not in ``existing``; null equals null."""
+    return _by_membership(df, existing, keys, "left_anti")
 
 
 def only_known(df: DataFrame, known: DataFrame, keys: Mapping[str, str] | Sequence[str]) -> DataFrame:
     """Rows whose key is in ``known``; null equals null."""
-    pairs = dict(keys) if isinstance(keys, Mapping) else {key: key for key in keys}
-    stored = known.select(*[F.col(b).alias(f"__e{i}") for i, b in enumerate(pairs.values())]).distinct()
-    return df.join(stored, _null_safe(list(pairs)), "left_semi")
+    return _by_membership(df, known, keys, "left_semi")
 
 
-def _null_safe(columns: Sequence[str]) -> Column:
-    condition = None
-    for index, column in enumerate(columns):
-        same = F.col(column).eqNullSafe(F.col(f"__e{index}"))
-        condition = same if condition is None else condition & same
-    return condition
+def _by_membership(df: DataFrame, other: DataFrame, keys: Mapping[str, str] | Sequence[str], how: str) -> DataFrame:
+    """Semi- or anti-join on the distinct keys of the other side.
+
+    Making them distinct combines a hot stored key before the shuffle, and its exchange
+    is the one the join needs.
+    """
+    pairs = dict(keys) if isinstance(keys, Mapping) else {key: key for key in keys}
+    mine, theirs, condition = {}, [], F.lit(True)
+    for i, (left, right) in enumerate(pairs.items()):
+        kind = _common(_kind(df, F.col(left)), _kind(other, F.col(right)))
+        mine[f"__k{i}"], mine[f"__m{i}"] = _flat(F.col(left), kind)
+        value, missing = _flat(F.col(right), kind)
+        theirs += [value.alias(f"__e{i}"), missing.alias(f"__f{i}")]
+        same = (F.col(f"__k{i}") == F.col(f"__e{i}")) & (F.col(f"__m{i}") == F.col(f"__f{i}"))
+        condition = same if i == 0 else condition & same
+    stored = other.select(*theirs).distinct()
+    return df.withColumns(mine).join(stored, condition, how).drop(*mine)
 
 
 def complete_rows(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

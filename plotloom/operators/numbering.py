@@ -59,26 +59,34 @@ def assign_ids(df: DataFrame, existing: DataFrame, id_column: str = "id") -> Dat
     Equal rows are collapsed to one row with a count before the shuffle and expanded
     again afterwards, so that many copies of one row never sit in one bucket.
     """
-    spark = df.sparkSession
     columns = df.columns
     start = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long")).scalar()
     packed = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies")).withColumn("__bucket", hash_bucket(columns))
+    few = _first_ids(packed.where(F.col("__copies") <= RUN_LENGTH), columns, start)
+    single = few.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)))
+
+    # Rows with very many copies are numbered after the others; their copies are split
+    # into runs that many tasks write.
+    ordinary = packed.where(F.col("__copies") <= RUN_LENGTH).agg(F.coalesce(F.sum("__copies"), F.lit(0))).scalar()
+    hot = _first_ids(packed.where(F.col("__copies") > RUN_LENGTH), columns, start + ordinary)
+    step = F.lit(RUN_LENGTH).cast("long")
+    runs = hot.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1, step)))
+    spread = runs.repartition(shuffle_partitions(df.sparkSession), "__first", "__run")
+    last = F.least(F.col("__run") + RUN_LENGTH, F.col("__copies")) - 1
+    many = spread.withColumn("__copy", F.explode(F.sequence(F.col("__run"), last)))
+
+    numbered = [frame.select((F.col("__first") + F.col("__copy")).alias(id_column), *columns) for frame in (single, many)]
+    return numbered[0].unionByName(numbered[1])
+
+
+def _first_ids(packed: DataFrame, columns: Sequence[str], start: Column) -> DataFrame:
+    """The id of the first copy of every distinct row."""
     counts = packed.groupBy("__bucket").agg(F.sum("__copies").alias("__n"))
     offsets = bucket_offsets(counts, "__bucket").withColumnRenamed("__bucket", "__b")
-    before = (
-        Window.partitionBy("__bucket").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = (
-        packed.withColumn("__before", F.coalesce(F.sum("__copies").over(before), F.lit(0)))
-        .join(F.broadcast(offsets), F.col("__bucket") == F.col("__b"))
-        .withColumn("__first", start + F.col("__offset") + F.col("__before") + 1)
-        .withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1, F.lit(RUN_LENGTH).cast("long"))))
-    )
-    runs = placed.repartition(shuffle_partitions(spark), "__first", "__run")
-    last = F.least(F.col("__run") + RUN_LENGTH, F.col("__copies")) - 1
-    return runs.withColumn("__copy", F.explode(F.sequence(F.col("__run"), last))).select(
-        (F.col("__first") + F.col("__copy")).alias(id_column), *columns
-    )
+    before = Window.partitionBy("__bucket").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    counted = packed.withColumn("__before", F.coalesce(F.sum("__copies").over(before), F.lit(0)))
+    placed = counted.join(F.broadcast(offsets), F.col("__bucket") == F.col("__b"))
+    return placed.withColumn("__first", start + F.col("__offset") + F.col("__before") + 1)
 
 
 def number_rows(df: DataFrame, order: Sequence[Column | str], out: str, start: int = 0) -> DataFrame:

@@ -54,8 +54,9 @@ def interval(draws: DataFrame, keys: Sequence[str], values: Sequence[str], alpha
 
 
 def log_lik(n: Column, rss: Column) -> Column:
-    """Gaussian log-likelihood at the best error variance, from residuals."""
-    return -n * (F.lit(math.log(2 * math.pi) + 1) - F.ln(n) + F.ln(rss)) / 2
+    """Gaussian log-likelihood at the best error variance, from residuals; an exact fit is infinitely likely."""
+    finite = -n * (F.lit(math.log(2 * math.pi) + 1) - F.ln(n) + F.ln(rss)) / 2
+    return F.when(rss == 0, F.lit(float("inf"))).otherwise(finite)
 
 
 def aic(ll: Column, parameters: int | Column, count_variance: bool = True) -> Column:

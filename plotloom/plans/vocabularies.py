@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from plotloom.literals import literal
 from plotloom.plans.common import LoadResult, finish_load
-from plotloom.sources.tables import literal
 
 # Fixed values.
 EXPERIMENT_TYPES = [("compound",)]

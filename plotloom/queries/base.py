@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plotloom.literals import literal
 from plotloom.operators.reshape import to_long
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,7 +90,7 @@ CELLS_SQL = """cells as (
 
 
 def key_file(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return literal(spark, 
         [("yield", "Grain yield", "harvested mass"), ("price", "Price", "paid"), ("share", "Share", "of total")],
         "short_name string, name string, Description string",
     )
@@ -100,7 +101,7 @@ KEY_FILE_SQL = """key_file(short_name, name, description) as (values
 
 
 def locations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(1, "GES CR04"), (2, "GES VR11"), (3, "Obregon")], "id int, site_name_short string")
+    return literal(spark, [(1, "GES CR04"), (2, "GES VR11"), (3, "Obregon")], "id int, site_name_short string")
 
 
 LOCATIONS_SQL = "locations(id, site_name_short) as (values (1, 'GES CR04'), (2, 'GES VR11'), (3, 'Obregon'))"
@@ -153,7 +154,7 @@ DATASETS_SQL = """datasets as (
 
 
 def phenotypes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return literal(spark, 
         [(1, "Grain yield;m1", "yield;m1"), (2, "Price", "price"), (3, "Share;m3", "share;m3")],
         "id int, name string, short_name string",
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plotloom.functions import domain as D
 from plotloom.functions import scalar as S
+from plotloom.literals import literal
 from plotloom.queries.base import TRIAL_SQL, query, rounded, table, trial_sheet
 
 
@@ -281,7 +282,7 @@ def measure_date(spark, folder):
         "event_id", F.concat(F.lit("NDVI;"), day).alias("short_name"), F.lit("2024_GES_x_Lidar.csv").alias("source_file"),
         F.when(kind == "click", "GES18_Extras").when(kind == "view", "GES18_ExKsub").otherwise("other").alias("dataset"),
     )
-    sowing = spark.createDataFrame(
+    sowing = literal(spark, 
         [("GES18_Extras", "2023-12-08"), ("GES18_ExKsub", "2023-12-08")], "dataset string, date string"
     )
     dated = lookup(D.measure_date(rows), sowing, "dataset", "dataset", {"sowing": "date"}, ["date"])

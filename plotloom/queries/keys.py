@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plotloom.functions.scalar import glue
+from plotloom.literals import literal
 from plotloom.operators import keys as K
 from plotloom.operators.numbering import assign_ids, number_rows
 from plotloom.plans.trials import load_phenotype_data
@@ -75,7 +76,7 @@ def trait_load(spark, folder):
         "phenotypes": phenotypes(spark),
     }
     empty = "phenotype_id int, germinatebase_id int, dataset_id int"
-    tables["phenotypedata"] = spark.createDataFrame([], empty)
+    tables["phenotypedata"] = literal(spark, [], empty)
     cells = trial_cells(trial_sheet(spark, folder))
     earlier = cells.where(F.col("l_shipdate") < F.lit(LOADED_BEFORE).cast("timestamp_ntz"))
     stored = load_phenotype_data(earlier, key_file(spark), tables).new_rows
@@ -98,7 +99,7 @@ def trait_load_rejects(spark, folder):
         "datasets": datasets(spark, folder),
         "locations": locations(spark),
         "phenotypes": phenotypes(spark),
-        "phenotypedata": spark.createDataFrame([], "phenotype_id int, germinatebase_id int, dataset_id int"),
+        "phenotypedata": literal(spark, [], "phenotype_id int, germinatebase_id int, dataset_id int"),
     }
     rejects = load_phenotype_data(trial_cells(trial_sheet(spark, folder)), key_file(spark), tables).rejects
     return rejects.withColumn("phenotype_value", F.col("phenotype_value").cast("double"))
@@ -226,7 +227,7 @@ left join dim a on a.short_name = c_mktsegment
 left join dim b on b.short_name = concat(c_mktsegment, ';', cast(c_nationkey as varchar))""",
 )
 def lookup_rekey(spark, folder):
-    dim = spark.createDataFrame(
+    dim = literal(spark, 
         [(1, "AUTOMOBILE"), (2, "BUILDING;1"), (3, "BUILDING;2"), (4, "MACHINERY;3")], "id int, short_name string"
     )
     again = glue("c_mktsegment", F.col("c_nationkey").cast("string"), separator=";")

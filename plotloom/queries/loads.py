@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plotloom.literals import literal
 from plotloom.operators.reshape import to_long, to_wide
 from plotloom.plans import entities as E
 from plotloom.plans import trials as T
@@ -339,7 +340,7 @@ def load_datasets(spark, folder):
     compounds = table(spark, folder, "orders").select(F.expr(COMPOUND_FILE).alias("file"))
     files = file_name_parts(trial_sheet(spark, folder).select("file").unionByName(compounds).distinct())
     tables = {
-        "experiments": spark.createDataFrame(
+        "experiments": literal(spark, 
             [(1, "GES17_trial"), (2, "CIMMYT2016"), (3, "GES16_trial Proteomics-peptide")], "id int, description string"
         ),
         "locations": locations(spark),
@@ -428,7 +429,7 @@ def _compound_tables(spark, folder):
         "compounds": compounds,
         "germinatebase": entities(spark, folder),
         "datasets": datasets(spark, folder),
-        "compounddata": spark.createDataFrame([], "compound_id long, germinatebase_id int, dataset_id int"),
+        "compounddata": literal(spark, [], "compound_id long, germinatebase_id int, dataset_id int"),
     }
 
 
@@ -468,7 +469,7 @@ fresh as (select unit_abbreviation, n as unit_name, d as unit_description from u
 )
 def load_units(spark, folder):
     """One unit is known already, one has no entry in the unit file."""
-    unit_file = spark.createDataFrame(UNIT_FILE, "unit_abbreviation string, unit_name string, unit_description string")
+    unit_file = literal(spark, UNIT_FILE, "unit_abbreviation string, unit_name string, unit_description string")
     stored = table(spark, folder, "region").select(
         F.col("r_regionkey").alias("id"), F.when(F.col("r_regionkey") == 1, "usd").otherwise(F.lower("r_name")).alias("unit_abbreviation")
     )
@@ -489,7 +490,7 @@ fresh as (
 {numbered_sql(["name", "short_name", "description", "datatype", "unit_id"], "(select * from fresh where short_name <> 'share;m2')", "(select max(s_suppkey) from supplier)")}""",
 )
 def load_phenotypes(spark, folder):
-    units = spark.createDataFrame([(13, "kg"), (2, "pct")], "id int, unit_abbreviation string")
+    units = literal(spark, [(13, "kg"), (2, "pct")], "id int, unit_abbreviation string")
     stored = table(spark, folder, "supplier").agg(F.max("s_suppkey").alias("id")).select(
         "id", F.lit("Share;m2").alias("name"), F.lit("share;m2").alias("short_name")
     )
@@ -714,7 +715,7 @@ def load_entity_tree(spark, folder):
     }
     tables = {
         "germinatebase": base(spark, folder).withColumn("name", F.lit("stored")),
-        "attributedata": spark.createDataFrame([], "attribute_id int, foreign_id long, value string, created_on string"),
+        "attributedata": literal(spark, [], "attribute_id int, foreign_id long, value string, created_on string"),
     }
     results = E.load_tree(sheets, tables, AS_OF, {"accessions", "plots", "samples", "grain"})
     return union_all([r.report().withColumn("kind", F.lit(kind)) for kind, r in results.items()])
@@ -760,7 +761,7 @@ def load_bin_values(spark, folder):
     )
     cell = F.when(F.sum("l_quantity") == 10, F.lit(float("nan"))).otherwise(F.sum("l_quantity"))
     sheet = to_wide(lines, ["compound"], "sample", names, cell)
-    samples = spark.createDataFrame([(n, f"IW_S{n}") for n in LINES[:6]], "id int, general_identifier string")
+    samples = literal(spark, [(n, f"IW_S{n}") for n in LINES[:6]], "id int, general_identifier string")
     tables = {**_compound_tables(spark, folder), "germinatebase": samples}
     return E.load_bin_values(sheet, tables, AS_OF).new_rows
 
@@ -793,9 +794,9 @@ def _old_tables(spark, folder):
         "experimentdesign": nations.where("n_regionkey < 4").selectExpr("n_nationkey + 50 as id", "n_nationkey as experiments_id"),
         "trialseries": nations.selectExpr("n_nationkey as id", "concat('Trial ', cast(n_nationkey as string)) as seriesname"),
         "plantplot": table(spark, folder, "customer").selectExpr("c_custkey as id", "if(c_custkey = 0, 'Unknown', c_name) as number"),
-        "tissue": spark.createDataFrame([(1, "F"), (2, "Unknown")], "id int, name string"),
-        "samplestage": spark.createDataFrame([(1, "2-HIGH"), (2, "5-LOW"), (3, "Unknown")], "id int, name string"),
-        "plantsample": spark.createDataFrame([(0, "No Parent")], "id int, name string"),
+        "tissue": literal(spark, [(1, "F"), (2, "Unknown")], "id int, name string"),
+        "samplestage": literal(spark, [(1, "2-HIGH"), (2, "5-LOW"), (3, "Unknown")], "id int, name string"),
+        "plantsample": literal(spark, [(0, "No Parent")], "id int, name string"),
     }
 
 
@@ -865,7 +866,7 @@ left join samples p on p.name = case when id_text is not null then coalesce(pare
 def old_sample_parents(spark, folder):
     sheet = order_sheet(spark, folder)
     samples = sheet.select((F.col("row") + 1).alias("id"), F.col("Sample_ID").alias("name"))
-    root = spark.createDataFrame([(0, "No Parent")], "id long, name string")
+    root = literal(spark, [(0, "No Parent")], "id long, name string")
     stored = samples.unionByName(root).withColumn("parentsample_id", F.lit(None).cast("long"))
     return E.old_sample_parents(sheet, stored)
 
@@ -928,7 +929,7 @@ def _trait_tables(spark, folder):
     users = events.select(F.col("user_id").alias("id")).distinct().withColumn(
         "general_identifier", F.concat(F.lit("U"), F.col("id").cast("string"))
     )
-    sets = spark.createDataFrame(
+    sets = literal(spark, 
         [(1, "GES24_Extras Lidar", "2024_GES_Extras_Lidar.csv", 5), (2, "GES24_Other Lidar", "2024_GES_Other_Lidar.csv", 6)],
         "id int, description string, source_file string, experiment_id int",
     )
@@ -959,7 +960,7 @@ from events where event_type = 'click' and cast(ts as date) <> date '2024-01-16'
 )
 def growth_input(spark, folder):
     """Days since a sowing date only one data set has; one bad date is left out."""
-    sowing = spark.createDataFrame([("GES24_Extras", "2023-12-01")], "dataset string, date string")
+    sowing = literal(spark, [("GES24_Extras", "2023-12-01")], "dataset string, date string")
     prepared = V.growth_input(V.trait_series(_trait_tables(spark, folder)), sowing, "2024-01-16")
     return prepared.withColumn("logY", rounded("logY"))
 
@@ -969,7 +970,7 @@ def parameter_table(spark, folder):
     """From the joined tables to one row of Gompertz parameters per plant."""
     from plotloom.growth.fit import fit
 
-    sowing = spark.createDataFrame([("GES24_Extras", "2023-12-01"), ("GES24_Other", "2023-12-01")], "dataset string, date string")
+    sowing = literal(spark, [("GES24_Extras", "2023-12-01"), ("GES24_Other", "2023-12-01")], "dataset string, date string")
     prepared = V.growth_input(V.trait_series(_trait_tables(spark, folder)), sowing, None)
     return V.parameter_table(fit(prepared, ["ID"], "gompertz", "X", "Y"), prepared)
 

@@ -36,10 +36,6 @@ def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
     return sorted(table.name for table in spark.catalog.listTables(database))
 
 
-def literal(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
-
-
 def append(df: DataFrame, path: str) -> None:
     """One atomic write; the committer publishes files only when the whole job is done."""
     df.write.mode("append").parquet(path)
