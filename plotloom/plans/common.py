@@ -6,10 +6,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from plotloom.operators.keys import complete_rows, only_new
 from plotloom.operators.numbering import assign_ids
-from plotloom.sources.tables import append, load_report
+from plotloom.sources.tables import append, cut_lineage, load_report
+
+
+# Rows (of names and a few ids) up to which a table is broadcast.
+SMALL_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Materialise a table of names, count it, and broadcast it only when it is small.
+
+    A larger one is joined by shuffle, where hot keys are split at run time.
+    """
+    kept = cut_lineage(df)
+    return F.broadcast(kept) if kept.count() <= SMALL_ROWS else kept
 
 
 @dataclass(frozen=True)

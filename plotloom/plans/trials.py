@@ -35,7 +35,7 @@ from plotloom.functions.scalar import glue
 from plotloom.operators.keys import lookup, lookup_any_of, lookup_fallback, lookup_rekey, only_known
 from plotloom.operators.numbering import number_rows
 from plotloom.operators.reshape import with_constants
-from plotloom.plans.common import LoadResult, finish_load
+from plotloom.plans.common import LoadResult, broadcast_if_small, finish_load
 
 Tables = Mapping[str, DataFrame]
 
@@ -228,19 +228,22 @@ COMPOUND_KEY = ("compound_id", "germinatebase_id", "dataset_id")
 
 
 def load_compound_data(cells: DataFrame, tables: Tables, keys: Sequence[str] = COMPOUND_KEY) -> LoadResult:
-    """Values from (file, compound, name = sample id, value) without empty cells."""
-    described = dataset_key(file_name_parts(cells)).select(
-        glue("description", "datatype", separator=" ").alias("description"),
-        F.col("compound").alias("compound"),
-        F.col("name").alias("sample_id"),
-        F.col("value").try_cast("double").alias("compound_value"),
+    """Values from (file, compound, name = sample id, value) without empty cells.
+
+    The data set is found once per file.
+    """
+    files = dataset_key(file_name_parts(cells.select("file").distinct())).withColumn(
+        "description", glue("description", "datatype", separator=" ")
     )
+    known = lookup(files, tables["datasets"], "description", "description", {"dataset_id": "id"}, ["id"])
+    described = cells.select(
+        "file", "compound", F.col("name").alias("sample_id"), F.col("value").try_cast("double").alias("compound_value")
+    ).join(broadcast_if_small(known.select("file", "dataset_id")), "file")
     named = clean_compound(described, "compound")
     linked = lookup(named, tables["compounds"], "compound", "name", {"compound_id": "id"}, ["id"])
     linked = lookup(
         linked, tables["germinatebase"], "sample_id", "general_identifier", {"germinatebase_id": "id"}, ["id"]
     )
-    linked = lookup(linked, tables["datasets"], "description", "description", {"dataset_id": "id"}, ["id"])
     rows = linked.select("compound_id", "germinatebase_id", "dataset_id", "compound_value")
     return finish_load("compounddata", rows, tables["compounddata"], list(keys))
 
@@ -284,11 +287,9 @@ def load_phenotypes(cells: DataFrame, key_file: DataFrame, tables: Tables, count
 PHENOTYPE_KEY = ("phenotype_id", "germinatebase_id", "dataset_id")
 
 
-def load_phenotype_data(
-    cells: DataFrame, key_file: DataFrame, tables: Tables, keys: Sequence[str] = PHENOTYPE_KEY
-) -> LoadResult:
-    """Values from (file, ID, name = trait header, value) without empty cells."""
-    traits = only_known(trait_header(cells.withColumnRenamed("name", "trait")), key_file, ["short_name"])
+def resolve_headers(headers: DataFrame, key_file: DataFrame, tables: Tables) -> DataFrame:
+    """(file, name) of known traits with their phenotype, data set and location ids."""
+    traits = only_known(trait_header(headers.withColumnRenamed("name", "trait")), key_file, ["short_name"])
     parts = normalise_site(dataset_key(file_name_parts(traits))).withColumn(
         "description", glue("description", "datatype", separator=" ")
     )
@@ -296,11 +297,30 @@ def load_phenotype_data(
     linked = lookup_rekey(
         parts, tables["phenotypes"], "short_name", with_measure, "short_name", "id", "phenotype_id", ["id"]
     )
+    linked = lookup(linked, tables["datasets"], "description", "description", {"dataset_id": "id"}, ["id"])
+    linked = lookup(linked, tables["locations"], "site_name_short", "site_name_short", {"location_id": "id"}, ["id"])
+    return linked.select("file", F.col("trait").alias("name"), "phenotype_id", "dataset_id", "location_id")
+
+
+def load_phenotype_data(
+    cells: DataFrame,
+    key_file: DataFrame,
+    tables: Tables,
+    keys: Sequence[str] = PHENOTYPE_KEY,
+    headers: DataFrame | None = None,
+) -> LoadResult:
+    """Values from (file, ID, name = trait header, value) without empty cells.
+
+    Names are split and looked up once per file and header (``headers``: file, name; taken
+    from the cells when not given), so a cell costs one join for all of that and one for
+    its entity.
+    """
+    pairs = (cells if headers is None else headers).select("file", "name").distinct()
+    resolved = broadcast_if_small(resolve_headers(pairs, key_file, tables))
+    linked = cells.select("file", "name", "ID", "value").join(resolved, ["file", "name"])
     linked = lookup_fallback(
         linked, tables["germinatebase"], "ID", ["general_identifier", "name"], "id", "germinatebase_id", ["id"]
     )
-    linked = lookup(linked, tables["datasets"], "description", "description", {"dataset_id": "id"}, ["id"])
-    linked = lookup(linked, tables["locations"], "site_name_short", "site_name_short", {"location_id": "id"}, ["id"])
     rows = linked.select(
         "phenotype_id", "germinatebase_id", F.col("value").alias("phenotype_value"), "dataset_id", "location_id"
     )
