@@ -14,9 +14,9 @@ from plotloom.growth.models import MODELS, SparkMath, add_natural
 from plotloom.growth.points import ARRAY_LIMIT, compress, initial_values, pack
 from plotloom.growth.solver import OFFSET_TOLERANCE, covariance, damped_step, relative_offset, solve
 from plotloom.operators.keys import join_same
+from plotloom.operators.sizing import cut_lineage
 from plotloom.operators.stats import aic
 from plotloom.session import shuffle_partitions
-from plotloom.sources.tables import cut_lineage
 
 # Padded cells held at once by one task.
 CELLS = 400_000

@@ -247,15 +247,24 @@ def complete_rows(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFr
 def denormalise(fact: DataFrame, dims: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
     """Chain of full outer joins ``(fact column, suffix for clashing names, dim with id)``.
 
-    The key keeps the value of either side, and null equals null as in the lookups.
+    The key keeps the value of either side, and null equals null as in the lookups.  Each
+    step is a left join plus the dimension rows no fact row asks for: a left join may
+    broadcast a small dimension and may be split where a key is hot, a full join neither.
     """
     result = fact
     for column, suffix, dim in dims:
         renamed = dim.withColumnsRenamed(
             {name: f"{name}{suffix}" for name in dim.columns if name != "id" and name in result.columns}
         ).withColumnRenamed("id", "__id")
-        joined = result.join(renamed, F.col(column).eqNullSafe(F.col("__id")), "full")
-        result = joined.withColumn(column, F.coalesce(F.col(column), F.col("__id"))).drop("__id")
+        kind = _common(_kind(result, F.col(column)), _kind(renamed, F.col("__id")))
+        value, missing = _flat(F.col(column), kind)
+        other, absent = _flat(F.col("__id"), kind)
+        left = result.withColumns({"__k": value, "__m": missing})
+        right = renamed.withColumns({"__e": other, "__f": absent})
+        same = (F.col("__k") == F.col("__e")) & (F.col("__m") == F.col("__f"))
+        matched = left.join(right, same, "left").drop("__k", "__m", "__e", "__f", "__id")
+        unused = only_new(renamed, result, {"__id": column}).withColumnRenamed("__id", column)
+        result = matched.unionByName(unused, allowMissingColumns=True)
     return result
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotloom.functions.scalar import divide
-from plotloom.operators.keys import join_same
 from plotloom.operators.numbering import number_distinct, range_bucket
+from plotloom.operators.sizing import attach
 
 
 def mean_strict(value: str) -> Column:
@@ -117,7 +117,7 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> Data
     present = df.where(F.col(value).isNotNull())
     if keys:
         ranges = present.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-        marked = join_same(present.select(*keys, value), ranges, keys)
+        marked = attach(present.select(*keys, value), ranges, keys)
     else:
         marked = present.select(
             value,

@@ -6,7 +6,7 @@ an order column ``row``; of several rows with one identifier the first is taken.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -23,6 +23,7 @@ from plotloom.functions.domain import (
     sample_class,
     sample_name,
 )
+from plotloom.literals import literal
 from plotloom.operators.keys import (
     first_per_key,
     lookup,
@@ -30,9 +31,10 @@ from plotloom.operators.keys import (
     parent_key,
 )
 from plotloom.operators.numbering import assign_ids
+from plotloom.operators.sizing import broadcast_if_small, cut_lineage
 from plotloom.operators.reshape import attributes_to_long, columns_with_prefix, to_long, with_constants
 from plotloom.plans.common import LoadResult, finish_load
-from plotloom.sources.tables import cut_lineage, update_column
+from plotloom.sources.tables import update_column
 
 Tables = Mapping[str, DataFrame]
 
@@ -64,12 +66,15 @@ def load_accessions(sheet: DataFrame, tables: Tables, as_of: str) -> LoadResult:
     )
 
 
-def load_attributes(long: DataFrame, identifier: str, tables: Tables, as_of: str) -> LoadResult:
-    """New (attribute, entity, value) triples from long rows keyed by identifier."""
+def load_attributes(
+    sheet: DataFrame, identifier: str, names: Sequence[str], tables: Tables, as_of: str
+) -> LoadResult:
+    """New (attribute, entity, value) triples; the entity is found once per sheet row."""
     linked = lookup(
-        long, tables["germinatebase"], identifier, "general_identifier", {"foreign_id": "id"}, ["id"]
+        sheet, tables["germinatebase"], identifier, "general_identifier", {"foreign_id": "id"}, ["id"]
     )
-    rows = linked.select("attribute_id", "foreign_id", "value").distinct().withColumn("created_on", F.lit(as_of))
+    long = attributes_to_long(linked, ["foreign_id"], {name: ATTRIBUTE_IDS[name] for name in names})
+    rows = long.select("attribute_id", "foreign_id", "value").distinct().withColumn("created_on", F.lit(as_of))
     return finish_load("attributedata", rows, tables["attributedata"], ["attribute_id", "foreign_id", "value"])
 
 
@@ -88,8 +93,7 @@ def _set_parents(rows: DataFrame, key: str, parent: str, entities: DataFrame) ->
 
 
 def accession_attributes(sheet: DataFrame, tables: Tables, as_of: str) -> LoadResult:
-    wanted = {name: ATTRIBUTE_IDS[name] for name in ACCESSION_ATTRIBUTES}
-    return load_attributes(attributes_to_long(sheet, ["Accession_ID"], wanted), "Accession_ID", tables, as_of)
+    return load_attributes(sheet, "Accession_ID", ACCESSION_ATTRIBUTES, tables, as_of)
 
 
 def load_experiments(sheet: DataFrame, tables: Tables, as_of: str) -> LoadResult:
@@ -129,8 +133,7 @@ def load_samples(sheet: DataFrame, tables: Tables, as_of: str) -> LoadResult:
 def sample_attributes(sheet: DataFrame, tables: Tables, as_of: str) -> LoadResult:
     """Class, notes, tissue and stage of every sample that is not surplus."""
     classed = sheet.where(not_surplus()).withColumn("Sample_Type", sample_class("Sample_Type", "Purpose"))
-    wanted = {name: ATTRIBUTE_IDS[name] for name in SAMPLE_ATTRIBUTES}
-    return load_attributes(attributes_to_long(classed, ["Sample_ID"], wanted), "Sample_ID", tables, as_of)
+    return load_attributes(classed, "Sample_ID", SAMPLE_ATTRIBUTES, tables, as_of)
 
 
 def sample_parents(sheet: DataFrame, entities: DataFrame) -> DataFrame:
@@ -175,19 +178,25 @@ def load_compound_names(names: DataFrame, kind: str, tables: Tables, as_of: str)
 def load_bin_values(
     sheet: DataFrame, tables: Tables, as_of: str, prefix: str = "IW_S", dataset: int = 1, keep_missing: bool = False
 ) -> LoadResult:
-    """Values of a matrix with one compound per row and one sample per column."""
+    """Values of a matrix with one compound per row and one sample per column.
+
+    Compounds are found once per row and samples once per column, before the cells.
+    """
     samples = columns_with_prefix(sheet, prefix)
     compound = next(c for c in sheet.columns if c not in samples)
-    long = to_long(sheet.select(compound, *samples), [compound], samples, "sample_id", "value")
+    named = lookup(
+        sheet.select(compound, *samples), tables["compounds"], compound, "name", {"compound_id": "id"}, ["id"]
+    )
+    long = to_long(named, ["compound_id"], samples, "sample_id", "value")
     number = F.col("value").try_cast("double")
     valued = long.withColumn("compound_value", F.when(~F.isnan(number), number))
     if not keep_missing:
         valued = valued.where(F.col("compound_value").isNotNull())
-    linked = lookup(valued, tables["compounds"], compound, "name", {"compound_id": "id"}, ["id"])
-    linked = lookup(
-        linked, tables["germinatebase"], "sample_id", "general_identifier", {"germinatebase_id": "id"}, ["id"]
+    columns = literal(sheet.sparkSession, [(name,) for name in samples], "sample_id string")
+    known = lookup(
+        columns, tables["germinatebase"], "sample_id", "general_identifier", {"germinatebase_id": "id"}, ["id"]
     )
-    rows = linked.select(
+    rows = valued.join(broadcast_if_small(known), "sample_id").select(
         "compound_id", "germinatebase_id", F.lit(dataset).alias("dataset_id"), "compound_value",
         F.lit(as_of).alias("created_on"),
     )

@@ -35,7 +35,8 @@ from plotloom.functions.scalar import glue
 from plotloom.operators.keys import lookup, lookup_any_of, lookup_fallback, lookup_rekey, only_known
 from plotloom.operators.numbering import number_rows
 from plotloom.operators.reshape import with_constants
-from plotloom.plans.common import LoadResult, broadcast_if_small, finish_load
+from plotloom.operators.sizing import broadcast_if_small
+from plotloom.plans.common import LoadResult, finish_load
 
 Tables = Mapping[str, DataFrame]
 

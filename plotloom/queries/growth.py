@@ -11,6 +11,7 @@ from plotloom.growth import patterns as P
 from plotloom.growth.models import MODELS, add_curves, add_natural, add_residuals, rescale
 from plotloom.growth.points import compress, initial_values
 from plotloom.operators.keys import join_same
+from plotloom.operators.sizing import attach
 from plotloom.operators.stats import fit_stats, histogram, peak, rel_diff
 from plotloom.queries.base import GROWTH_SQL, daily_growth, query, rounded, table
 
@@ -218,7 +219,7 @@ select g, x, round(fitted, 6) as fitted, round(y - fitted, 6) as resid from f"""
 def fitted_residuals(spark, folder):
     series = daily_growth(spark, folder)
     raw = growth_params(spark, folder).select("g", F.col("K").alias("Asym"), "xmid", (F.col("M0") + 2).alias("scal"))
-    return _round_all(add_residuals(join_same(series, raw, ["g"]), "logistic"), ["fitted", "resid"]).select(
+    return _round_all(add_residuals(attach(series, raw, ["g"]), "logistic"), ["fitted", "resid"]).select(
         "g", "x", "fitted", "resid"
     )
 
@@ -481,7 +482,7 @@ def fit_by_group_contrasts(spark, folder):
 def fit_residual_stats(spark, folder):
     series = user_growth(spark, folder)
     fits = G.fit(series, ["g"], "logistic").where("converged").select("g", "Asym", "xmid", "scal")
-    return fit_stats(add_residuals(join_same(series, fits, ["g"]), "logistic"), ["g"], 3)
+    return fit_stats(add_residuals(attach(series, fits, ["g"]), "logistic"), ["g"], 3)
 
 
 @query("compare_models")

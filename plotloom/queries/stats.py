@@ -83,10 +83,10 @@ def fit_stats(spark, folder):
     """Price on quantity by flag: two passes over the lines, each a partial aggregate."""
     from plotloom.growth.fit import fit_linear
     from plotloom.growth.models import add_residuals
-    from plotloom.operators.keys import join_same
+    from plotloom.operators.sizing import attach
 
     lines = table(spark, folder, "lineitem").selectExpr("l_returnflag as flag", "l_quantity as x", "l_extendedprice as y")
-    fitted = add_residuals(join_same(lines, fit_linear(lines, ["flag"]).drop("n"), ["flag"]), "linear")
+    fitted = add_residuals(attach(lines, fit_linear(lines, ["flag"]).drop("n"), ["flag"]), "linear")
     scaled = fitted.withColumns({"fitted": F.col("fitted") / 1000, "resid": F.col("resid") / 1000})
     places = {"mss": 2, "rss": 2, "r2": 6, "root_rss": 5, "rmse": 6, "ll": 4, "aic": 4}
     stats = A.fit_stats(scaled, ["flag"], 2)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotloom.operators.keys import lookup
-from plotloom.session import ensure_checkpoint_dir
 
 
 def read_tables(spark: SparkSession, location: str, names: Iterable[str]) -> dict[str, DataFrame]:
@@ -81,9 +80,3 @@ def load_report(frames: Mapping[str, DataFrame]) -> DataFrame:
     for count in counts[1:]:
         stacked = stacked.unionByName(count)
     return stacked
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a stage in the shared folder, so a lost executor costs no recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plotloom.functions.domain import COMPOUND_TYPES, GENOTYPE_TYPES, TRIAL_TYPES
+from plotloom.operators.sizing import cut_lineage
 from plotloom.plans import entities as E
 from plotloom.plans import trials as T
 from plotloom.plans.vocabularies import VOCABULARIES, load_vocabulary
@@ -291,7 +292,7 @@ def test_table_sinks(spark, tmp_path):
     assert TB.read_tables(spark, str(tmp_path), ["t", "t2"])["t2"].count() == 2
     TB.write_csv(frame, str(tmp_path / "c"))
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).columns == ["id", "v"]
-    assert TB.cut_lineage(frame).count() == 2
+    assert cut_lineage(frame).count() == 2
     frame.createOrReplaceTempView("plain_view")
     assert "plain_view" in TB.list_tables(spark)
     new = spark.createDataFrame([(1, None), (3, "z")], "id int, v string")
