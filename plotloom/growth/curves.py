@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import warnings
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plotloom.functions.scalar import even_steps, finite, standard_normal
-from plotloom.growth.models import MODELS, SparkMath, add_curves, curve_columns, mass_rate
+from plotloom.growth.models import (
+    MODELS,
+    NumpyMath,
+    SparkMath,
+    add_curves,
+    curve_arrays,
+    curve_columns,
+    mass_rate,
+)
 from plotloom.operators.keys import join_same
 from plotloom.operators.numbering import hash_bucket, number_distinct
-from plotloom.operators.stats import interval
 from plotloom.session import shuffle_partitions
 
 METRICS = ["M", "AGR", "RGRt", "RGRm"]
+# (draw, time) cells computed at once by one task.
+CELLS = 2_000_000
 DIFFERENCES = ["diffM", "diffAGR", "diffRGRt", "diffRGRm"]
 
 
@@ -71,20 +84,62 @@ def _draw_columns(model: str, keys: Sequence, seed: str, prefix: str = "") -> tu
     return levels, natural
 
 
-def parameter_draws(params: DataFrame, keys: Sequence[str], model: str, draws: int, seed: str) -> DataFrame:
+def parameter_draws(
+    params: DataFrame, keys: Sequence[str], model: str, draws: int, seed: str, named: Sequence[str] | None = None
+) -> DataFrame:
     """(keys, draw, natural parameters): normal draws around the raw parameters.
 
-    The numbers depend on seed, group and draw only.  Draws of one group are spread
+    The numbers depend on seed, group (``named``, by default the keys) and draw only.  Draws of one group are spread
     over the tasks before anything is computed from them.
     """
     numbered = params.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
     spread = numbered.repartition(shuffle_partitions(params.sparkSession), *keys, "draw")
-    levels, natural = _draw_columns(model, [F.col(key) for key in keys], seed)
+    levels, natural = _draw_columns(model, [F.col(key) for key in (named or keys)], seed)
     for level in levels:
         spread = spread.withColumns(level)
     return spread.select(*keys, "draw", *[value.alias(name) for name, value in natural.items()])
 
 
+def _quantiles(values: np.ndarray, alpha: float) -> np.ndarray:
+    """Lower and upper quantile over the first axis, missing values left out."""
+    ends = [alpha / 2, 1 - alpha / 2]
+    if not np.isnan(values).any():
+        return np.quantile(values, ends, axis=0)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", RuntimeWarning)  # a point without any value stays missing
+        return np.nanquantile(values, ends, axis=0)
+
+
+def _blocks(count: int, draws: int) -> Iterator[slice]:
+    size = max(1, CELLS // max(draws, 1))
+    return (slice(begin, min(begin + size, count)) for begin in range(0, count, size))
+
+
+def _packed_draws(draws: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """One array per parameter and group; a group holds as many draws as were asked for."""
+    arrays = [F.collect_list(F.coalesce(F.col(n), F.lit(float("nan")))).alias(n) for n in names]
+    grouped = draws.groupBy(*keys).agg(*arrays)
+    return grouped.repartition(shuffle_partitions(draws.sparkSession), *keys)
+
+
+def _interval_schema(df: DataFrame, keys: Sequence[str], position: T.StructField, values: Sequence[str]) -> T.StructType:
+    fields = [df.schema[key] for key in keys] + [position]
+    return T.StructType(fields + [T.StructField(f"{v}_{end}", T.DoubleType()) for v in values for end in ("lo", "hi")])
+
+
+def _curve_intervals(batches: Iterator[pd.DataFrame], keys, model, count, alpha, log_scale) -> Iterator[pd.DataFrame]:
+    spec = MODELS[model]
+    for batch in batches:
+        for _, row in batch.iterrows():
+            p = {name: np.asarray(row[name], dtype=float)[:, None] for name in spec.natural}
+            times = row["__low"] + np.arange(count) * (row["__high"] - row["__low"]) / (count - 1.0)
+            for part in _blocks(count, len(p[spec.natural[0]])):
+                out = {key: [row[key]] * (part.stop - part.start) for key in keys} | {"t": times[part]}
+                for name, values in curve_arrays(spec, p, times[None, part], log_scale).items():
+                    out[f"{name}_lo"], out[f"{name}_hi"] = _quantiles(values, alpha)
+                yield pd.DataFrame(out)
+
+
 def simulate(
     params: DataFrame,
     keys: Sequence[str],
@@ -97,9 +152,19 @@ def simulate(
     alpha: float = 0.05,
     log_scale: bool = False,
 ) -> DataFrame:
-    """Interval of every curve at every time from simulated parameters."""
-    curves = add_curves(rate_grid(parameter_draws(params, keys, model, draws, seed), low, high, count), model, "t", log_scale)
-    return interval(curves, [*keys, "t"], METRICS, alpha)
+    """Interval of every curve at every time from simulated parameters.
+
+    Only the draws are shuffled; the (draw, time) table of a group exists as a matrix
+    inside a task.
+    """
+    low = F.lit(float(low)) if isinstance(low, (int, float)) else low
+    high = F.lit(float(high)) if isinstance(high, (int, float)) else high
+    spanned = params.withColumns({"__low": low, "__high": high})
+    by = [*keys, "__low", "__high"]
+    packed = _packed_draws(parameter_draws(spanned, by, model, draws, seed, keys), by, MODELS[model].natural)
+    schema = _interval_schema(params, keys, T.StructField("t", T.DoubleType()), METRICS)
+    key_list = list(keys)
+    return packed.mapInPandas(lambda it: _curve_intervals(it, key_list, model, count, alpha, log_scale), schema)
 
 
 def rates_with_intervals(params: DataFrame, keys: Sequence[str], model: str, low, high, count=100, draws=1000, seed="1", alpha=0.05, log_scale=False) -> DataFrame:
@@ -211,15 +276,35 @@ def contrast_intervals(
         "a", "b", "draw", "__mlo", "__mhi",
         *[value.alias(f"__{side}n_{name}") for side in both for name, value in both[side].items()],
     )
-    low, high = F.lit(float(low)), F.lit(float(high))
-    share = F.col("step") / F.lit(float(count - 1))
-    rows = natural.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).withColumns(
-        {"t": low + share * (high - low), "mass": F.col("__mlo") + share * (F.col("__mhi") - F.col("__mlo"))}
+    names = [f"__{side}n_{name}" for side in both for name in spec.natural]
+    by = ["a", "b", "__mlo", "__mhi"]
+    schema = _interval_schema(pairs, ["a", "b"], T.StructField("step", T.IntegerType()), DIFFERENCES)
+    span = (float(low), float(high))
+    return _packed_draws(natural, by, names).mapInPandas(
+        lambda it: _difference_intervals(it, model, span, count, alpha, log_scale), schema
     )
-    p = {side: {name: F.col(f"__{side}n_{name}") for name in spec.natural} for side in ("a", "b")}
-    curves = {side: curve_columns(spec, p[side], F.col("t"), log_scale) for side in ("a", "b")}
-    differences = {f"diff{m}": curves["a"][m] - curves["b"][m] for m in ("M", "AGR", "RGRt")}
-    differences["diffRGRm"] = finite(
-        mass_rate(spec, p["a"], F.col("mass"), log_scale) - mass_rate(spec, p["b"], F.col("mass"), log_scale)
-    )
-    return interval(rows.withColumns(differences), ["a", "b", "step"], DIFFERENCES, alpha)
+
+
+def _difference_intervals(batches: Iterator[pd.DataFrame], model, span, count, alpha, log_scale) -> Iterator[pd.DataFrame]:
+    spec = MODELS[model]
+    rate = spec.rgrm_log if log_scale else spec.rgrm
+    share = np.arange(count) / (count - 1.0)
+    times = span[0] + share * (span[1] - span[0])
+    for batch in batches:
+        for _, row in batch.iterrows():
+            p = {
+                side: {name: np.asarray(row[f"__{side}n_{name}"], dtype=float)[:, None] for name in spec.natural}
+                for side in ("a", "b")
+            }
+            masses = row["__mlo"] + share * (row["__mhi"] - row["__mlo"])
+            for part in _blocks(count, len(p["a"][spec.natural[0]])):
+                curves = {side: curve_arrays(spec, p[side], times[None, part], log_scale) for side in p}
+                values = {f"diff{m}": curves["a"][m] - curves["b"][m] for m in ("M", "AGR", "RGRt")}
+                with np.errstate(all="ignore"):
+                    apart = rate(NumpyMath, p["a"], masses[None, part]) - rate(NumpyMath, p["b"], masses[None, part])
+                values["diffRGRm"] = np.where(np.isfinite(apart), apart, np.nan)
+                size = part.stop - part.start
+                out = {"a": [row["a"]] * size, "b": [row["b"]] * size, "step": np.arange(part.start, part.stop)}
+                for name, table in values.items():
+                    out[f"{name}_lo"], out[f"{name}_hi"] = _quantiles(table, alpha)
+                yield pd.DataFrame(out)

@@ -216,6 +216,20 @@ def curve_columns(model: Model, p: Mapping[str, Column], t: Column, log_scale: b
     return {"M": finite(mass), **{name: finite(rate) for name, rate in rates.items()}}
 
 
+def curve_arrays(model: Model, p: Mapping[str, np.ndarray], t: np.ndarray, log_scale: bool = False) -> dict[str, np.ndarray]:
+    """The same curves as arrays, NaN where a value is not finite."""
+    m = NumpyMath
+    with np.errstate(all="ignore"):
+        mass = model.mass(m, p, t)
+        slope = model.agr(m, p, t, mass)
+        by_mass = (model.rgrm_log if log_scale else model.rgrm)(m, p, mass)
+        if log_scale:
+            rates = {"AGR": slope * np.exp(mass), "RGRt": slope, "RGRm": by_mass}
+        else:
+            rates = {"AGR": slope, "RGRt": slope / mass, "RGRm": by_mass}
+        return {name: np.where(np.isfinite(v), v, np.nan) for name, v in {"M": mass, **rates}.items()}
+
+
 def mass_rate(model: Model, p: Mapping[str, Column], mass: Column, log_scale: bool) -> Column:
     if not log_scale:
         return model.rgrm(SparkMath, p, mass)

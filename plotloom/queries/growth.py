@@ -12,7 +12,7 @@ from plotloom.growth.models import MODELS, add_curves, add_natural, add_residual
 from plotloom.growth.points import compress, initial_values
 from plotloom.operators.keys import join_same
 from plotloom.operators.sizing import attach
-from plotloom.operators.stats import fit_stats, histogram, peak, rel_diff
+from plotloom.operators.stats import fit_stats, histogram, interval, peak, rel_diff
 from plotloom.queries.base import GROWTH_SQL, daily_growth, query, rounded, table
 
 CURVES = ["M", "AGR", "RGRt", "RGRm"]
@@ -391,6 +391,25 @@ def param_interval(spark, folder):
     return _round_all(found.withColumn("t", rounded("t")), [f"{m}_{e}" for m in CURVES for e in ("lo", "hi")], 5)
 
 
+@query(
+    "draw_interval",
+    f"""
+with {FIT_SQL}, draws as (select chol.*, d.draw from chol, (select unnest(range(1, 501)) as draw) d),
+drawn as ({_draw_sql('draws', '', 'g')}),
+nat as (select g, k as "K", 1 / s2 as r, k / (1 + exp(x / s2)) as "M0" from drawn)
+select g, """
+    + ", ".join(
+        f'round(quantile_cont("{n}", {q}), 5) as "{n}_{e}"' for n in ("K", "r", "M0") for q, e in ((0.025, "lo"), (0.975, "hi"))
+    )
+    + " from nat group by g",
+)
+def draw_interval(spark, folder):
+    """Two-sided quantiles of 500 parameter draws per group."""
+    drawn = C.parameter_draws(fitted_params(spark, folder), ["g"], "logistic", 500, "1")
+    found = interval(drawn, ["g"], ["K", "r", "M0"])
+    return _round_all(found, [c for c in found.columns if c != "g"], 5)
+
+
 SIDE_COLUMNS = ["a", "m", "s", "l00", "l10", "l20", "l11", "l21", "l22"]
 
 

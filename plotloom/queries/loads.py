@@ -975,6 +975,17 @@ def parameter_table(spark, folder):
     return V.parameter_table(fit(prepared, ["ID"], "gompertz", "X", "Y"), prepared)
 
 
+@query("growth_analysis_rates")
+def growth_analysis_rates(spark, folder):
+    """The whole analysis: joined tables, dated series, three models, Gompertz rate curves."""
+    from plotloom.plans.analysis import growth_analysis
+
+    sowing = literal(
+        spark, [("GES24_Extras", "2023-12-01"), ("GES24_Other", "2023-12-01")], "dataset string, date string"
+    )
+    return growth_analysis(_trait_tables(spark, folder), sowing, excluded_date=None)["rates"]
+
+
 @query(
     "panel_membership",
     """
