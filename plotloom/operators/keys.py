@@ -97,7 +97,8 @@ def lookup(
 ) -> DataFrame:
     """Add ``values`` (new name -> dimension column) of the first dimension row with the key.
 
-    The row count of ``df`` never changes, and a null key finds a null key.  ``salts``
+    The row count of ``df`` never changes, and a null key finds a null key.  ``order`` must
+    not be null.  ``salts``
     spreads a known hot key of ``df`` by hash of the row over that many copies of the
     reduced dimension; without it hot partitions are split at run time.
     """

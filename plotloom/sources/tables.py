@@ -46,8 +46,10 @@ def replace(df: DataFrame, path: str) -> None:
 
 
 def update_column(target: DataFrame, updates: DataFrame, key: str, column: str) -> DataFrame:
-    """``target`` with ``column`` taken from ``updates`` (one row per key) where it has the key."""
-    found = lookup(target, updates.withColumn("__hit", F.lit(True)), key, key, {"__new": column, "__hit": "__hit"}, [column])
+    """``target`` with ``column`` taken from ``updates`` (one row per key) where it has the key,
+    a null value included."""
+    marked = updates.withColumns({"__hit": F.lit(True), "__order": F.lit(0)})
+    found = lookup(target, marked, key, key, {"__new": column, "__hit": "__hit"}, ["__order"])
     return found.withColumn(column, F.when(F.col("__hit"), F.col("__new")).otherwise(F.col(column))).drop("__new", "__hit")
 
 
