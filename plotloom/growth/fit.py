@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plotloom.growth.models import MODELS, SparkMath, add_natural
-from plotloom.growth.points import ARRAY_LIMIT, compress, initial_values, pack
+from plotloom.growth.points import (
+    ARRAY_LIMIT,
+    compress,
+    initial_values,
+    pack,
+    point_arrays,
+    point_matrix,
+)
 from plotloom.growth.solver import OFFSET_TOLERANCE, covariance, damped_step, relative_offset, solve
 from plotloom.operators.keys import join_same
 from plotloom.operators.sizing import cut_lineage
@@ -42,7 +49,7 @@ def _null_if_bad(values: np.ndarray) -> list:
 def _fit_batches(batches: Iterator[pd.DataFrame], keys, model, variance) -> Iterator[pd.DataFrame]:
     spec = MODELS[model]
     for batch in batches:
-        lengths = batch["points"].map(len).to_numpy()
+        lengths = batch["point_x"].map(len).to_numpy()
         order = np.argsort(lengths, kind="stable")
         begin = 0
         while begin < len(order):
@@ -52,9 +59,9 @@ def _fit_batches(batches: Iterator[pd.DataFrame], keys, model, variance) -> Iter
             rows = batch.iloc[order[begin:end]]
             width = max(int(lengths[order[end - 1]]), 1)
             grids = np.zeros((4, len(rows), width))
-            for i, points in enumerate(rows["points"]):
-                block = np.array([(q["x"], q["n"], q["y"], q["within"]) for q in points], dtype=float).reshape(-1, 4)
-                grids[:, i, : len(block)] = block.T
+            for i, (_, row) in enumerate(rows.iterrows()):
+                block = point_matrix(row)
+                grids[:, i, : block.shape[1]] = block
             x, w, y, within = grids
             start = rows[list(spec.raw)].to_numpy(dtype=float)
             fixed = {name: rows[name].to_numpy(dtype=float) for name in spec.fixed}
@@ -95,7 +102,8 @@ def fit(
     schema = _result_schema(points, keys, model)
     packed = pack(points, keys, array_limit).where(F.col("chunks") == 1)
     ready = join_same(packed, starts, keys).repartition(shuffle_partitions(df.sparkSession), *keys)
-    chosen = ready.select(*keys, *spec.raw, *spec.fixed, "points")
+    columns = [*keys, *spec.raw, *spec.fixed, *point_arrays()]
+    chosen = ready.select(*columns)
     key_list = list(keys)
     solved = chosen.mapInPandas(lambda it: _fit_batches(it, key_list, model, variance), schema)
     long_groups = points.groupBy(*keys).agg(
@@ -106,7 +114,7 @@ def fit(
             raise ValueError("a variance model needs groups within array_limit; raise it")
         long_points = join_same(points, long_groups, keys)
         coarse = pack(_bin_means(long_points, keys), keys)
-        near = join_same(coarse, starts, keys).select(*chosen.columns).mapInPandas(
+        near = join_same(coarse, starts, keys).select(*columns).mapInPandas(
             lambda it: _fit_batches(it, key_list, model, None), schema
         )
         rough = near.where("converged").select(*keys, *[F.col(name).alias(f"__s_{name}") for name in spec.raw])

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plotloom.growth.points import ARRAY_LIMIT, compress, pack
+from plotloom.growth.points import ARRAY_LIMIT, compress, pack, point_arrays, point_matrix
 from plotloom.operators.reshape import union_all
 from plotloom.operators.stats import best_by, log_lik
 from plotloom.session import shuffle_partitions
@@ -43,15 +43,15 @@ def _plane(m0: float, r: np.ndarray, beta: np.ndarray, points: np.ndarray) -> np
 def _planes(batches: Iterator[pd.DataFrame], keys: list[str], axes, best_only: bool) -> Iterator[pd.DataFrame]:
     r, beta = (np.linspace(*axes[name]) for name in ("r", "beta"))
     for batch in batches:
-        for row in batch.itertuples(index=False):
-            points = np.array([(q["x"], q["n"], q["y"], q["within"]) for q in row.points], dtype=float)
-            total = _plane(row.M0, r, beta, points).ravel()
+        for _, row in batch.iterrows():
+            points = point_matrix(row).T
+            total = _plane(row["M0"], r, beta, points).ravel()
             chosen = np.arange(len(total))
             if best_only:
                 # the first smallest error in axis order; a plane without a defined value has none
                 chosen = chosen[:0] if np.isnan(total).all() else np.array([np.nanargmin(total)])
-            out = {key: [getattr(row, f"key{at}")] * len(chosen) for at, key in enumerate(keys)}
-            out.update(chunks=row.chunks, i=row.i, j=chosen // len(beta), k=chosen % len(beta), M0=row.M0)
+            out = {key: [row[f"key{at}"]] * len(chosen) for at, key in enumerate(keys)}
+            out.update(chunks=row["chunks"], i=row["i"], j=chosen // len(beta), k=chosen % len(beta), M0=row["M0"])
             out.update(r=r[chosen // len(beta)], beta=beta[chosen % len(beta)], rss=total[chosen], n=points[:, 1].sum())
             yield pd.DataFrame(out)
 
@@ -60,7 +60,7 @@ def _squares(packed: DataFrame, keys: Sequence[str], axes, best_only: bool) -> D
     """Squared error per grid point, one task row per group, chunk and value of the first axis."""
     spark = packed.sparkSession
     rows = packed.withColumn("__a", F.explode(_axis(*axes["M0"], "i", "M0"))).select(
-        *[F.col(key).alias(f"key{at}") for at, key in enumerate(keys)], "chunk", "chunks", "points", "__a.i", "__a.M0"
+        *[F.col(key).alias(f"key{at}") for at, key in enumerate(keys)], "chunk", "chunks", "__a.i", "__a.M0", *point_arrays()
     )
     spread = rows.repartition(shuffle_partitions(spark), *[f"key{at}" for at in range(len(keys))], "chunk", "i")
     fields = [packed.schema[key] for key in keys]

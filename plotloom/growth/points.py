@@ -10,12 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotloom.functions.scalar import divide
+from plotloom.functions.scalar import divide, finite
 from plotloom.operators.keys import join_same
 
+# The parts of a point, each an array of its own when a group is handed to Python.
+PARTS = ("x", "n", "y", "within")
+
 # Distinct times a group may have to be held as one array; longer ones are chunked
 # (grid search) or summed in Spark (fits).
 ARRAY_LIMIT = 4096
@@ -23,7 +27,7 @@ ARRAY_LIMIT = 4096
 
 def compress(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """(keys, x, n, y, within): one row per group and distinct time."""
-    usable = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    usable = df.where(finite(F.col(x).cast("double")).isNotNull() & finite(F.col(y).cast("double")).isNotNull())
     grouped = usable.groupBy(*keys, F.col(x).cast("double").alias("x"))
     return grouped.agg(
         F.count(F.lit(1)).cast("double").alias("n"),
@@ -44,6 +48,15 @@ def pack(points: DataFrame, keys: Sequence[str], limit: int = ARRAY_LIMIT) -> Da
     )
 
 
+def point_arrays() -> list:
+    return [F.col(f"points.{part}").alias(f"point_{part}") for part in PARTS]
+
+
+def point_matrix(row) -> np.ndarray:
+    """(parts, times) of one packed group."""
+    return np.stack([np.asarray(row[f"point_{part}"], dtype=float) for part in PARTS])
+
+
 def initial_values(points: DataFrame, keys: Sequence[str], model: str) -> DataFrame:
     """Starting values of the raw parameters per group, from regressions on a linearised curve.
 

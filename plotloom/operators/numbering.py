@@ -23,8 +23,8 @@ def bucket_offsets(counted: DataFrame, bucket: str, size: str = "__n") -> DataFr
 def number_distinct(df: DataFrame, bucket: Column, order: Sequence[str], out: str, start: Column | int = 0) -> DataFrame:
     """``start + 1, start + 2, ...`` by (bucket, order) for rows that differ in ``order``.
 
-    ``bucket`` must have a fixed number of values (4096 here and below): the offsets
-    are that many rows, hence the broadcast, and every bucket is numbered on its own.
+    ``bucket`` must have a fixed number of values (65,536 here and below): the offsets
+    are at most that many rows, hence the broadcast, and every bucket is numbered on its own.
     """
     marked = df.withColumn("__bucket", bucket)
     counts = marked.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
@@ -40,12 +40,12 @@ def number_distinct(df: DataFrame, bucket: Column, order: Sequence[str], out: st
 
 
 def hash_bucket(columns: Sequence[str]) -> Column:
-    """One of 4096 buckets from the md5 of the columns."""
+    """One of 65,536 buckets from the md5 of the columns."""
     parts = [F.coalesce(F.col(column).cast("string"), F.lit("")) for column in columns]
-    return F.substring(F.md5(F.concat_ws("|", *parts)), 1, 3)
+    return F.substring(F.md5(F.concat_ws("|", *parts)), 1, 4)
 
 
-def range_bucket(df: DataFrame, position: str, buckets: int = 4096) -> Column:
+def range_bucket(df: DataFrame, position: str, buckets: int = 65536) -> Column:
     """One of ``buckets`` equal ranges of a whole-number position, in position order."""
     low = df.agg(F.min(position)).scalar()
     high = df.agg(F.max(position)).scalar()

@@ -37,7 +37,7 @@ def numbered_sql(columns: Sequence[str], source: str, start: str = "0") -> str:
     text = ", ".join(f"coalesce(cast({c} as varchar), '')" for c in columns)
     order = ", ".join(f"{c} nulls first" for c in columns)
     return (
-        f"select cast({start} + row_number() over (order by substr(md5(concat_ws('|', {text})), 1, 3), {order})"
+        f"select cast({start} + row_number() over (order by substr(md5(concat_ws('|', {text})), 1, 4), {order})"
         f" as bigint) as id, {', '.join(columns)} from {source}"
     )
 

@@ -400,7 +400,7 @@ def parent_precedence(spark, folder):
     "number_rows",
     """
 select status, y, cast(row_number() over (order by y, status) + 22 as integer) as experiment_id
-from (select distinct o_orderstatus as status, year(o_orderdate) as y from orders)""",
+from (select distinct o_orderstatus as status, cast(year(o_orderdate) as integer) as y from orders)""",
 )
 def number_rows_query(spark, folder):
     kinds = table(spark, folder, "orders").select(F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("y"))

@@ -703,7 +703,19 @@ def load_grain(spark, folder):
     return E.load_grain(sheet, {"germinatebase": base(spark, folder)}).new_rows
 
 
-@query("load_entity_tree")
+TREE_COUNT_SQL = f"""
+with {ACCESSION_SQL}, {BASE_SQL}, {SHEET_SQL}, live as (select * from sheet where notes is distinct from 'Surplus Sample Number')
+select 'germinatebase' as target, count(*) as rows_added, 'accessions' as kind from accession
+  where "Accession_ID" not in (select general_identifier from base)
+union all select 'attributedata', {" + ".join(f'count("{name}")' for name in E.ACCESSION_ATTRIBUTES)}, 'accession_attributes' from accession
+union all select 'germinatebase', count(accession), 'plots' from sheet
+union all select 'germinatebase', count(*), 'samples' from live
+union all select 'attributedata', count(notes) + count(case when substr(priority, 1, 1) in ('2', '3', '4') then 1 end)
+  + count(nullif(priority, '1-URGENT')) + count(nullif(status, 'O')), 'sample_attributes' from live
+union all select 'germinatebase', count(*), 'grain' from sheet"""
+
+
+@query("load_entity_tree", TREE_COUNT_SQL)
 def load_entity_tree(spark, folder):
     """All kinds in order, each seeing the entities added before; rows added per kind."""
     from plotloom.operators.reshape import union_all

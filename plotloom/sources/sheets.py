@@ -11,6 +11,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -63,18 +64,27 @@ def headers(files: DataFrame, skip: int = 0) -> DataFrame:
 
 
 def _drop_top(batches: Iterable[pa.RecordBatch], lines: int) -> Iterator[pa.RecordBatch]:
-    """Drop the first lines of every file from a text scan, which reads a file in order."""
+    """Drop the first lines of every file from a text scan, which reads a file in order.
+
+    Works on runs of rows of one file block; only the rows at the top of a file are cut.
+    """
     current, seen = None, 0
     for batch in batches:
-        files = batch.column("file").to_pylist()
-        starts = batch.column("block_start").to_pylist()
-        keep = []
-        for file, start in zip(files, starts):
-            if (file, start) != current:
-                current, seen = (file, start), 0
-            seen += 1
-            keep.append(start > 0 or seen > lines)
-        yield batch.filter(pa.array(keep))
+        files = batch.column("file").dictionary_encode()
+        codes = files.indices.to_numpy(zero_copy_only=False)
+        starts = batch.column("block_start").to_numpy(zero_copy_only=False)
+        turns = np.flatnonzero((codes[1:] != codes[:-1]) | (starts[1:] != starts[:-1])) + 1
+        edges = [0, *turns.tolist(), len(codes)]
+        for begin, end in zip(edges[:-1], edges[1:]):
+            if begin == end:
+                continue
+            block = (files.dictionary[int(codes[begin])].as_py(), int(starts[begin]))
+            if block != current:
+                current, seen = block, 0
+            cut = max(lines - seen, 0) if block[1] == 0 else 0
+            seen += end - begin
+            if end - begin > cut:
+                yield batch.slice(begin + cut, end - begin - cut)
 
 
 def _scanned_file():
