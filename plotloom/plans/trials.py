@@ -163,9 +163,9 @@ def refresh_entities(plots: DataFrame, tables: Tables) -> DataFrame:
     """Entities with location and institution of the trial they were grown in.
 
     The whole table with two columns recomputed; write it with ``sources.tables.replace``.
+    Both depend on the file alone, so the last file that shows an identifier decides.
     """
-    trials = plots.groupBy("ID", "file").agg(F.max("place").alias("place"))
-    sited = normalise_site(file_name_parts(trials))
+    sited = normalise_site(file_name_parts(plots.select("ID", "file").distinct()))
     placed = lookup(
         sited, tables["locations"], "site_name_short", "site_name_short", {"location_id": "id"}, ["id"]
     ).withColumn("institution_id", institution("site_name_short"))
@@ -175,7 +175,7 @@ def refresh_entities(plots: DataFrame, tables: Tables) -> DataFrame:
         ["general_identifier", "number", "name"],
         "ID",
         {"location_id": "location_id", "institution_id": "institution_id"},
-        ["place"],
+        ["file"],
         latest=True,
     )
 

@@ -132,3 +132,40 @@ def test_growth_rate_steps(spark):
     import math
 
     assert steps[1.0] is None and steps[3.0] == pytest.approx(math.log(4) / 2) and steps[4.0] is None
+
+
+def test_hot_third_keeps_every_row(spark):
+    """A third of the rows share one key, a tenth have none; counts stay whole on every route."""
+    rows = spark.range(30000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, None).otherwise(F.col("id").cast("string")).alias("k")
+    )
+    dim = rows.select(F.col("k").alias("dk"), "id")
+    for salts in (0, 16):
+        found = K.lookup(rows, dim, "k", "dk", {"first": "id"}, ["id"], salts=salts)
+        total, hot, missing = found.agg(
+            F.count("*"), F.sum(F.when(F.col("k") == "hot", F.col("first"))), F.max(F.when(F.col("k").isNull(), F.col("first")))
+        ).first()
+        assert (total, hot, missing) == (30000, 0, 1)
+    assert K.only_new(rows, rows.where("k = 'hot' or k is null"), ["k"]).count() == rows.where("k <> 'hot'").count()
+    parts = dim.select(F.col("id").alias("v"), F.col("dk").alias("k")).groupBy("k").agg(F.min("v").alias("id"))
+    joined = K.denormalise(rows.select("id", F.col("id").alias("n")), [("id", "_d", parts)])
+    assert joined.count() == 30000
+
+
+def test_no_join_is_a_nested_loop(spark, left, dim):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        frames = [
+            K.lookup(left, dim, "key", "k", {"v": "v"}, ["id"]),
+            K.only_new(left, dim, {"key": "k"}),
+            K.lookup_fallback(left, dim, "key", ["k", "v"], "id", "found", ["id"]),
+            K.denormalise(left.withColumnRenamed("row", "x"), [("x", "_d", dim)]),
+        ]
+        for frame in frames:
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+        # the exchange of the reduction is the one of the join: one per side
+        assert frames[0]._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        assert frames[1]._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
