@@ -43,7 +43,8 @@ from events group by 1""",
 )
 def fit_linear_by_user(spark, folder):
     """One regression per user over all raw events."""
-    day = F.unix_micros(F.col("ts").cast("timestamp")) / 86_400_000_000 - 19723
+    begin = F.lit("2024-01-01").cast("timestamp_ntz")
+    day = F.timestamp_diff("MICROSECOND", begin, F.col("ts")) / 86_400_000_000
     events = table(spark, folder, "events").select(F.col("user_id").alias("g"), day.alias("x"), F.col("value").alias("y"))
     return _round_all(G.fit_linear(events, ["g"]), ["a", "M0"])
 

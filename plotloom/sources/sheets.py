@@ -23,6 +23,9 @@ from plotloom.functions.scalar import missing_to_null
 
 NAME_PATTERN = "*csv*"
 
+# Quotes inside quoted cells are doubled; blanks around cells are no part of them.
+CELL_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+
 # Header names in all files up to which the header table is broadcast (a few megabytes).
 # Beyond it the rows are shuffled by file and hot files are split at run time.
 BROADCAST_NAMES = 100_000
@@ -53,7 +56,7 @@ def _top_lines(batches: Iterator[pd.DataFrame], lines: int) -> Iterator[pd.DataF
                     text += chunk
             kept = text.decode("utf-8-sig").splitlines()[:lines]
             tops.append(kept[-1] if len(kept) == lines else "")
-        headers = [next(csv.reader([top]), []) for top in tops]
+        headers = [[name.strip() for name in next(csv.reader([top]), [])] for top in tops]
         yield pd.DataFrame({"path": batch["path"], "file": batch["file"], "header": headers})
 
 
@@ -101,7 +104,7 @@ def _scan(spark: SparkSession, paths: Sequence[str], width: int, skip: int) -> D
     schema = _string_columns(width)
     cells = [f"_c{i}" for i in range(width)]
     if skip == 0:
-        raw = spark.read.schema(schema).option("header", True).csv(list(paths))
+        raw = spark.read.schema(schema).options(header=True, **CELL_OPTIONS).csv(list(paths))
         return raw.select(
             _scanned_file(),
             F.col("_metadata.file_block_start").alias("block_start"),
@@ -113,7 +116,8 @@ def _scan(spark: SparkSession, paths: Sequence[str], width: int, skip: int) -> D
     )
     body = raw.mapInArrow(lambda batches: _drop_top(batches, skip + 1), raw.schema)
     numbered = body.select("file", "block_start", F.monotonically_increasing_id().alias("line"), "value")
-    parsed = numbered.withColumn("r", F.from_csv("value", schema.simpleString()[7:-1].replace(":", " ")))
+    filled = numbered.where(F.trim("value") != "")
+    parsed = filled.withColumn("r", F.from_csv("value", ", ".join(f"{c} string" for c in cells), CELL_OPTIONS))
     return parsed.select("file", "block_start", "line", *[F.col(f"r.{c}").alias(c) for c in cells])
 
 
