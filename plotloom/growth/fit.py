@@ -212,8 +212,7 @@ def fit_long(points: DataFrame, keys: Sequence[str], model: str, starts: DataFra
         F.array(*[F.lit(0.0)] * (p * p)).alias("normal"), F.array(*[F.lit(0.0)] * p).alias("gradient"),
     )
     state = cut_lineage(state)
-    fixed = [(name, starts) for name in spec.fixed]
-    given = starts.select(*keys, *spec.fixed) if fixed else None
+    given = starts.select(*keys, *spec.fixed) if spec.fixed else None
     for _ in range(LARGE_STEPS):
         open_groups = state.where(~F.col("done"))
         if open_groups.isEmpty():

@@ -16,26 +16,10 @@ MARKER_TYPES = [("SNP",), ("AFLP",), ("KASP",), ("MicroSat",)]
 GROUP_TYPES = [("trialsite", "locations")]
 LICENSES = [
     ("IWYP pending", "license pending grants by IWYP"),
-    (
-        "CC-BY-NC-ND",
-        "Anyone can share this material, provided it remains unaltered in any way, this is not done for commercial"
-        " purposes, and the original authors are credited and cited.",
-    ),
-    (
-        "CC-BY-ND",
-        "Anyone can share this material, providing it remains unaltered in any way and the original authors are"
-        " credited and cited.",
-    ),
-    (
-        "CC-BY-NC",
-        "Anyone can share, reuse, remix, or adapt this material, providing this is not done for commercial purposes"
-        " and the original authors are credited and cited.",
-    ),
-    (
-        "CC-BY",
-        "Anyone can share, reuse, remix, or adapt this material for any purpose, providing the original authors are"
-        " credited and cited.",
-    ),
+    ("CC-BY-NC-ND", "Anyone can share this material, provided it remains unaltered in any way, this is not done for commercial purposes, and the original authors are credited and cited."),
+    ("CC-BY-ND", "Anyone can share this material, providing it remains unaltered in any way and the original authors are credited and cited."),
+    ("CC-BY-NC", "Anyone can share, reuse, remix, or adapt this material, providing this is not done for commercial purposes and the original authors are credited and cited."),
+    ("CC-BY", "Anyone can share, reuse, remix, or adapt this material for any purpose, providing the original authors are credited and cited."),
 ]
 
 # target -> (rows, schema, natural key)
