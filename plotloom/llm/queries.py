@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotloom.llm import lines
+from plotloom.llm import lines, secret_scan
 from plotloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -39,3 +39,31 @@ def op1_line_dedup(spark, folder):
     found = lines.dedup_lines(table(spark, folder, "documents"))
     spans = F.transform("removed_lines", lambda s: F.concat_ws("-", s["first"], s["last"]))
     return found.select("doc_id", "n_lines", "n_removed", F.array_join(spans, ",").alias("removed_lines"), "text")
+
+
+def spans_text(spans):
+    """kind:start:end of each span, comma-joined."""
+    names = F.array(*[F.lit(kind) for kind in secret_scan.KINDS])
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ","
+    )
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = secret_scan.train(secret_scan.sample_strings(docs))
+    found = secret_scan.scan(docs, model).select("doc_id", "spans")
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+
+    def of_kind(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        of_kind(0).alias("n_assign"),
+        of_kind(1).alias("n_access"),
+        of_kind(2).alias("n_hex"),
+        F.sha2(spans_text(base), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
