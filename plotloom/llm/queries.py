@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotloom.llm import lines, secret_scan
+from plotloom.llm import lines, near_dedup, secret_scan
 from plotloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -67,3 +67,9 @@ def op10_secret_scan(spark, folder):
         F.sha2(spans_text(base), 256).alias("base_sha256"),
         spans_text(F.col("spans")).alias("spans"),
     )
+
+
+@query("op8_near_dedup")
+def op8_near_dedup(spark, folder):
+    """Every document with its class and the least document of the same text."""
+    return near_dedup.near_classes(table(spark, folder, "documents"))
