@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotloom.llm import lines, near_dedup, secret_scan
+from plotloom.llm import fingerprints, lines, near_dedup, secret_scan
 from plotloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -73,3 +73,8 @@ def op10_secret_scan(spark, folder):
 def op8_near_dedup(spark, folder):
     """Every document with its class and the least document of the same text."""
     return near_dedup.near_classes(table(spark, folder, "documents"))
+
+
+@query("op7_fingerprints")
+def op7_fingerprints(spark, folder):
+    return fingerprints.with_edits(table(spark, folder, "documents"))
