@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotloom.llm import fingerprints, lines, near_dedup, secret_scan
+from plotloom.llm import bpe, fingerprints, lines, near_dedup, secret_scan
 from plotloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -78,3 +78,9 @@ def op8_near_dedup(spark, folder):
 @query("op7_fingerprints")
 def op7_fingerprints(spark, folder):
     return fingerprints.with_edits(table(spark, folder, "documents"))
+
+
+@query("op3_byte_bpe")
+def op3_byte_bpe(spark, folder):
+    ranks, pattern = bpe.default_tokenizer()
+    return bpe.with_digests(bpe.decode(bpe.encode(table(spark, folder, "documents"), ranks, pattern), ranks))
