@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotloom.llm import bpe, fingerprints, lines, near_dedup, secret_scan
+from plotloom.llm import bpe, fingerprints, hidden_markov, lines, near_dedup, secret_scan
 from plotloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -84,3 +84,13 @@ def op7_fingerprints(spark, folder):
 def op3_byte_bpe(spark, folder):
     ranks, pattern = bpe.default_tokenizer()
     return bpe.with_digests(bpe.decode(bpe.encode(table(spark, folder, "documents"), ranks, pattern), ranks))
+
+
+def part_of(parts):
+    """crc32 of the id as text, modulo the number of parts."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(parts))
+
+
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark, folder):
+    return hidden_markov.score(table(spark, folder, "documents"), part_of(5) == 1)
