@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotloom.llm import bpe, fingerprints, hidden_markov, lines, near_dedup, secret_scan
+from plotloom.llm import bpe, fingerprints, hidden_markov, lines, near_dedup, secret_scan, toxicity
 from plotloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -94,3 +94,11 @@ def part_of(parts):
 @query("op9_lm_scoring")
 def op9_lm_scoring(spark, folder):
     return hidden_markov.score(table(spark, folder, "documents"), part_of(5) == 1)
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, folder):
+    held_out = part_of(4) == 2
+    labels = table(spark, folder, "labels").where(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    found = toxicity.score(table(spark, folder, "documents"), labels)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
