@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotloom.llm import bpe, fingerprints, hidden_markov, lines, near_dedup, secret_scan, toxicity
+from plotloom.llm import bpe, chat, fingerprints, hidden_markov, lines, near_dedup, secret_scan, toxicity
 from plotloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -102,3 +102,17 @@ def op6_toxicity(spark, folder):
     labels = table(spark, folder, "labels").where(~held_out).select("doc_id", F.col("toxic").alias("label"))
     found = toxicity.score(table(spark, folder, "documents"), labels)
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+# A conversation that consists of control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query("op4_chat_format")
+def op4_chat_format(spark, folder):
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
+        "conv_id long, turn long, role string, text string",
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_turns(rows))
