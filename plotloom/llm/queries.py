@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotloom.llm import bpe, chat, fingerprints, hidden_markov, lines, near_dedup, secret_scan, toxicity
+from plotloom.llm import bpe, chat, decontam, fingerprints, hidden_markov, lines, near_dedup, secret_scan, toxicity
 from plotloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -116,3 +116,9 @@ def op4_chat_format(spark, folder):
     )
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.read_back(chat.format_turns(rows))
+
+
+@query("op2_decontaminate")
+def op2_decontaminate(spark, folder):
+    """One row per passage found, with the document and the item."""
+    return decontam.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
