@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plotloom.llm import bpe, chat, decontam, fingerprints, hidden_markov, lines, near_dedup, secret_scan, toxicity
+from plotloom.llm import bpe, chat, decontam, fingerprints, hidden_markov, lines, near_dedup, quality, secret_scan, toxicity
 from plotloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -122,3 +122,8 @@ def op4_chat_format(spark, folder):
 def op2_decontaminate(spark, folder):
     """One row per passage found, with the document and the item."""
     return decontam.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op5_quality")
+def op5_quality(spark, folder):
+    return quality.classify(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "score", "keep")
