@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotloom.llm.arrow_text import text_slices
+from plotloom.llm.rows import rows_by_id
 
 EDITS = 0.1
 GRAM = 8
@@ -313,5 +314,4 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any such passage; all columns.  Decisions are by doc_id, null too."""
-    hit = find_passages(docs, benchmark).select(F.col("doc_id").alias("_hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit_id")), "left_anti")
+    return rows_by_id(docs, find_passages(docs, benchmark).select("doc_id"), "left_anti")

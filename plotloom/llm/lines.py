@@ -121,9 +121,12 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         "n_removed": F.coalesce(removed, F.lit(0)).cast("long"),
         "removed_lines": F.coalesce(F.col("spans"), F.array().cast("array<struct<first:int,last:int>>")),
     }
-    columns = [
-        F.when(hit, kept_text(lines, F.col("spans"))).otherwise(text).alias("text") if c == "text" else F.col("row")[c].alias(c)
+    # First all results, then the columns of the row, which may have any name.
+    added["text"] = F.when(hit, kept_text(lines, F.col("spans"))).otherwise(text)
+    done = joined.select("row", F.struct(*[value.alias(name) for name, value in added.items()]).alias("new"))
+    kept = [
+        (F.col("new")["text"] if c == "text" else F.col("row")[c]).alias(c)
         for c in docs.columns
-        if c not in added
+        if c == "text" or c not in added
     ]
-    return joined.select(*columns, *[value.alias(name) for name, value in added.items()])
+    return done.select(*kept, *[F.col("new")[name].alias(name) for name in added if name != "text"])

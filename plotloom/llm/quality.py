@@ -169,7 +169,7 @@ def train_scorer(x: np.ndarray, label: np.ndarray, rounds: int = 300, rate: floa
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         w -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
-    return w
+    return w.astype(np.float64)
 
 
 def vote_counts(docs: DataFrame) -> DataFrame:

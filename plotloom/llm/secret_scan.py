@@ -35,10 +35,12 @@ KINDS = ("assign", "access", "hex", "markov")
 
 # Key characters lie between '+' and 'z'.
 FIRST_CHAR, CHARS = 43, 80
-# Added to every pair count.
+# Added to every character's count.
 SMOOTHING = 0.5
+# Pseudo-counts with which the pairs of a first character lean on the characters' overall shares.
+BACKOFF = 20
 # Mean log-likelihood ratio per step, in nats, above which a run is reported.
-THRESHOLD = 0.7
+THRESHOLD = 1.0
 # Expected number of documents whose strings serve as labelled samples.
 SAMPLE_DOCS = 2000
 
@@ -149,13 +151,15 @@ def train(samples: DataFrame) -> list[float]:
     counted = (
         usable.select("label", F.explode(pair_places(F.col("value"))).alias("pair")).groupBy("label", "pair").count()
     )
-    counts = [[SMOOTHING] * (CHARS * CHARS) for _ in range(2)]
+    counts = [[0] * (CHARS * CHARS) for _ in range(2)]
     for row in counted.collect():  # at most 2 * 80 * 80 rows
-        counts[row["label"]][row["pair"]] += row["count"]
+        counts[row["label"]][row["pair"]] = row["count"]
     logs = []
     for table in counts:
-        totals = [sum(table[a * CHARS : (a + 1) * CHARS]) for a in range(CHARS)]
-        logs.append([math.log(n / totals[i // CHARS]) for i, n in enumerate(table)])
+        by_second = [sum(table[b::CHARS]) + SMOOTHING for b in range(CHARS)]
+        overall = [n / sum(by_second) for n in by_second]
+        totals = [sum(table[a * CHARS : (a + 1) * CHARS]) + BACKOFF for a in range(CHARS)]
+        logs.append([math.log((n + BACKOFF * overall[i % CHARS]) / totals[i // CHARS]) for i, n in enumerate(table)])
     return [random - ordinary for ordinary, random in zip(*logs)]
 
 
@@ -180,4 +184,6 @@ def scan(docs: DataFrame, model: list[float], threshold: float = THRESHOLD) -> D
         likely, lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     )
     spans = F.array_sort(F.concat("_base", free))
-    return scored.select(*[F.col("_row")[c].alias(c) for c in kept], spans.alias("spans"))
+    # First all results, then the columns of the row, which may have any name.
+    done = scored.select("_row", spans.alias("_spans"))
+    return done.select(*[F.col("_row")[c].alias(c) for c in kept], F.col("_spans").alias("spans"))
