@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotloom.llm.coding import coded, unpack
+from plotloom.llm.coding import coded, pack, pack_words, unpack, unpack_words
 from plotloom.session import shuffle_partitions
 
 MAX_TOKENS = 1_000_000
 # Distinct words whose ids a task remembers; beyond it the memory is emptied.
 REMEMBERED = 1_000_000
+# Words of whole texts that are put together at once.
+BATCH_WORDS = 1 << 19
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -107,33 +109,29 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     def by_word(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The word lists, cut by hash of the word."""
         for batch in batches:
-            lists = batch.filter(batch.column(4).is_valid())
-            for chunk, first, words in zip(*(lists.column(i).to_pylist() for i in (0, 4, 5))):
-                place = np.fromiter((zlib.crc32(w) % partitions for w in words), dtype=np.int64, count=len(words))
-                order = np.argsort(place, kind="stable")
-                heads = np.flatnonzero(np.concatenate(([True], np.diff(place[order]) > 0)))
-                offsets = pa.array(np.concatenate((heads, [len(words)])), pa.int32())
+            for chunk, words in zip(batch.column(0).to_pylist(), batch.column(5).to_pylist()):
+                parts: dict[int, list[bytes]] = {}
+                for word in unpack_words(words):
+                    parts.setdefault(zlib.crc32(word) % partitions, []).append(word)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(place[order][heads], pa.int32()),
-                        pa.array([chunk] * len(heads), pa.int64()),
-                        pa.ListArray.from_arrays(offsets, pa.array(order + first, pa.int32())),
-                        pa.ListArray.from_arrays(offsets, pa.array([words[i] for i in order], pa.binary())),
+                        pa.array(list(parts), pa.int32()),
+                        pa.array([chunk] * len(parts), pa.int64()),
+                        pa.array([pack_words(own) for own in parts.values()], pa.binary()),
                     ],
-                    ["part", "chunk", "codes", "words"],
+                    ["part", "word_chunk", "words"],
                 )
 
-    lists = rows.mapInArrow(by_word, "part int, chunk long, codes array<int>, words array<binary>")
-    lists = lists.repartition(partitions, "part")
+    lists = rows.mapInArrow(by_word, "part int, word_chunk long, words binary").repartition(partitions, "part")
 
     def encode_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = table.value
         known: dict[bytes, list[int]] = {}
         for batch in batches:
             all_ids, all_sizes = [], []
-            for words in batch.column(3).to_pylist():
+            for packed in batch.column(2).to_pylist():
                 ids, sizes = [], []
-                for word in words:
+                for word in unpack_words(packed):
                     found = known.get(word)
                     if found is None:
                         if len(known) >= REMEMBERED:
@@ -141,51 +139,54 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
                         found = known[word] = merge(word, ranks)
                     ids += found
                     sizes.append(len(found))
-                all_ids.append(ids)
-                all_sizes.append(sizes)
-            lists_of = pa.list_(pa.int32())
+                all_ids.append(pack(np.array(ids, dtype=np.int64)))
+                all_sizes.append(pack(np.array(sizes, dtype=np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(all_sizes, lists_of), pa.array(all_ids, lists_of)],
-                ["word_chunk", "word_codes", "sizes", "ids"],
+                [batch.column(0), batch.column(1), pa.array(all_sizes, pa.binary()), pa.array(all_ids, pa.binary())],
+                ["part", "word_chunk", "word_sizes", "ids"],
             )
 
-    words = lists.mapInArrow(encode_words, "word_chunk long, word_codes array<int>, sizes array<int>, ids array<int>")
-    return (
-        rows.groupBy("chunk")
-        .cogroup(words.groupBy("word_chunk"))
-        .applyInArrow(_put_together, "doc_id long, ids array<int>")
-    )
-
-
-def _flat(table: pa.Table, name: str) -> np.ndarray:
-    column = table.column(name).combine_chunks()
-    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
-    parts = [np.asarray(c.flatten()) for c in chunks]
-    return np.concatenate(parts) if parts else np.empty(0, dtype=np.int32)
-
-
-def _put_together(rows: pa.Table, words: pa.Table) -> pa.Table:
-    """The ids of a chunk's documents from its codes and the ids of its words."""
-    import pyarrow.compute as pc
-
-    codes, sizes, ids = _flat(words, "word_codes"), _flat(words, "sizes"), _flat(words, "ids")
-    starts = np.cumsum(sizes) - sizes
-    size_of = np.zeros(len(codes), dtype=np.int64)
-    start_of = np.zeros(len(codes), dtype=np.int64)
-    size_of[codes], start_of[codes] = sizes, starts
-    docs = rows.filter(pc.is_valid(rows.column("codes"))).select(["doc_id", "codes"])
-    found, counts = [], []
-    for value in docs.column("codes"):
-        own = unpack(value.as_py())
-        length = size_of[own]
-        total = int(length.sum())
-        at = np.repeat(start_of[own] - (np.cumsum(length) - length), length) + np.arange(total)
-        found.append(ids[at])
-        counts.append(total)
-    flat = np.concatenate(found) if found else np.empty(0, dtype=np.int32)
-    bounds = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
-    array = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(flat, pa.int32())).cast(pa.list_(pa.int32()))
-    return pa.table({"doc_id": docs.column("doc_id"), "ids": array})
+    def put_together(rows: pa.Table, words: pa.Table) -> Iterator[pa.RecordBatch]:
+        """The ids of a chunk's documents from its codes and the ids of its words."""
+        row = rows.to_pylist()[0]
+        # The words of a part came in the order of their numbers.
+        place = np.fromiter((zlib.crc32(w) % partitions for w in unpack_words(row["words"])), dtype=np.int64)
+        order = np.argsort(place, kind="stable")
+        parts = sorted(words.select(["part", "word_sizes", "ids"]).to_pylist(), key=lambda p: p["part"])
+        nothing = [np.empty(0, dtype=np.int64)]
+        sizes = np.concatenate([unpack(p["word_sizes"]) for p in parts] or nothing)
+        ids = np.concatenate([unpack(p["ids"]) for p in parts] or nothing).astype(np.int32)
+        size_of, start_of = np.zeros(len(order), dtype=np.int64), np.zeros(len(order), dtype=np.int64)
+        size_of[order], start_of[order] = sizes, np.cumsum(sizes) - sizes
+        ends = np.cumsum(row["sizes"])
+        codes = unpack(row["codes"])
+        begin = 0
+        while begin < len(ends):
+            # Some documents at a time, one at least.
+            first = int(ends[begin - 1]) if begin else 0
+            stop = max(int(np.searchsorted(ends, first + BATCH_WORDS, side="right")), begin + 1)
+            own = codes[first : ends[stop - 1]]
+            length = size_of[own]
+            total = np.concatenate(([0], np.cumsum(length)))
+            at = np.repeat(start_of[own] - total[:-1], length) + np.arange(total[-1])
+            bounds = total[np.concatenate(([0], ends[begin:stop] - first))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(row["doc_ids"][begin:stop], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids[at], pa.int32())),
+                ],
+                ["doc_id", "ids"],
+            )
+            begin = stop
+
+    words = lists.mapInArrow(encode_words, "part int, word_chunk long, word_sizes binary, ids binary")
+
+    def gather(rows: pa.Table, words: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(
+            list(put_together(rows, words)), pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+        )
+
+    return rows.groupBy("chunk").cogroup(words.groupBy("word_chunk")).applyInArrow(gather, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -194,18 +195,22 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     tokens: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         tokens[rank] = token
-    table = spark.sparkContext.broadcast(tokens)
+    sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+    letters = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+    table = spark.sparkContext.broadcast((sizes, np.cumsum(sizes) - sizes, letters))
     place = encoded.columns.index("ids")
     others = [c for c in encoded.schema.fields if c.name != "decoded"]
 
     def join_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = table.value.__getitem__
+        sizes, starts, letters = table.value
         for batch in batches:
-            lists = batch.column(place)
             values = []
-            for i in range(batch.num_rows):
-                item = lists[i]
-                values.append(b"".join(map(token, item.values.to_pylist())) if item.is_valid else b"")
+            for ids in batch.column(place):
+                own = np.asarray(ids.values) if ids.is_valid else np.empty(0, dtype=np.int32)
+                length = sizes[own]
+                before = np.cumsum(length) - length
+                at = np.repeat(starts[own] - before, length) + np.arange(length.sum())
+                values.append(letters[at].tobytes())
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in others]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(values, pa.binary())], [*(f.name for f in others), "decoded"]
