@@ -24,7 +24,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from plotloom.llm.coding import coded, pack, pack_words, unpack, unpack_words
 from plotloom.session import shuffle_partitions
@@ -32,6 +31,8 @@ from plotloom.session import shuffle_partitions
 MAX_TOKENS = 1_000_000
 # Distinct words whose ids a task remembers; beyond it the memory is emptied.
 REMEMBERED = 1_000_000
+# Bytes of text per chunk; a task holds a few times as much.
+CHUNK_BYTES = 8 << 20
 # Words of whole texts that are put together at once.
 BATCH_WORDS = 1 << 19
 
@@ -104,7 +105,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(ranks)
     partitions = shuffle_partitions(spark)
-    rows = coded(docs, splitter(pattern))
+    rows = coded(docs, splitter(pattern), chunk_bytes=CHUNK_BYTES)
 
     def by_word(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The word lists, cut by hash of the word."""
@@ -189,57 +190,66 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     return rows.groupBy("chunk").cogroup(words.groupBy("word_chunk")).applyInArrow(gather, "doc_id long, ids array<int>")
 
 
+class TokenTable:
+    """The bytes of every id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def join(self, ids: np.ndarray) -> bytes:
+        length = self.sizes[ids]
+        before = np.cumsum(length) - length
+        at = np.repeat(self.starts[ids] - before, length) + np.arange(length.sum())
+        return self.letters[at].tobytes()
+
+
+def _id_arrays(column: pa.Array) -> Iterator[np.ndarray]:
+    for ids in column:
+        yield np.asarray(ids.values) if ids.is_valid else np.empty(0, dtype=np.int32)
+
+
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """Adds ``decoded``, the bytes of the ids, to a table with ``ids``."""
-    spark = encoded.sparkSession
-    tokens: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
-    letters = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-    table = spark.sparkContext.broadcast((sizes, np.cumsum(sizes) - sizes, letters))
+    table = encoded.sparkSession.sparkContext.broadcast(TokenTable(ranks))
     place = encoded.columns.index("ids")
-    others = [c for c in encoded.schema.fields if c.name != "decoded"]
+    others = [f.name for f in encoded.schema.fields if f.name != "decoded"]
 
     def join_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes, starts, letters = table.value
         for batch in batches:
-            values = []
-            for ids in batch.column(place):
-                own = np.asarray(ids.values) if ids.is_valid else np.empty(0, dtype=np.int32)
-                length = sizes[own]
-                before = np.cumsum(length) - length
-                at = np.repeat(starts[own] - before, length) + np.arange(length.sum())
-                values.append(letters[at].tobytes())
-            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in others]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(values, pa.binary())], [*(f.name for f in others), "decoded"]
-            )
+            values = [table.value.join(ids) for ids in _id_arrays(batch.column(place))]
+            columns = [batch.column(batch.schema.get_field_index(name)) for name in others]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.binary())], [*others, "decoded"])
 
     schema = encoded.drop("decoded").schema.add("decoded", "binary")
     return encoded.mapInArrow(join_tokens, schema)
 
 
-def with_digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of a table with doc_id, ids and decoded."""
+def digests(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): the digest of the ids and of what they decode to."""
     import hashlib
 
+    table = encoded.sparkSession.sparkContext.broadcast(TokenTable(ranks))
+
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(1)
-            values = [np.asarray(ids[i].values, dtype="<u4").tobytes() for i in range(batch.num_rows)]
+            rows = []
+            for ids in _id_arrays(batch.column(1)):
+                own = hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest()
+                rows.append((len(ids), own, hashlib.sha256(table.value.join(ids)).hexdigest()))
+            n, own, decoded = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(v) // 4 for v in values], pa.int64()),
-                    pa.array([hashlib.sha256(v).hexdigest() for v in values], pa.string()),
-                    pa.array([hashlib.sha256(v).hexdigest() for v in batch.column(2).to_pylist()], pa.string()),
-                ],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(decoded, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    columns = decoded.select("doc_id", "ids", F.coalesce("decoded", F.lit(b"")).alias("decoded"))
-    return columns.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encoded.select("doc_id", "ids").mapInArrow(
+        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    )
 
 
 def default_tokenizer() -> tuple[dict[bytes, int], str]:

@@ -136,7 +136,9 @@ class _Chunk:
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _TYPES)], NAMES)
 
 
-def coded(docs: DataFrame, tokenise: Tokenise, flag: Column | None = None) -> DataFrame:
+def coded(
+    docs: DataFrame, tokenise: Tokenise, flag: Column | None = None, chunk_bytes: int = CHUNK_BYTES
+) -> DataFrame:
     """The rows described above, dealt out by chunk.
 
     ``tokenise`` turns a list of texts (UTF-8; null is empty) into lists of words.  ``flag`` says
@@ -151,7 +153,7 @@ def coded(docs: DataFrame, tokenise: Tokenise, flag: Column | None = None) -> Da
         for part, texts in text_slices(batches):
             ids, flags = part.column(0).to_pylist(), part.column(2).to_pylist()
             for doc_id, flagged, text in zip(ids, flags, texts):
-                if chunk.size and chunk.size + len(text) > CHUNK_BYTES:
+                if chunk.size and chunk.size + len(text) > chunk_bytes:
                     yield chunk.row(task + made)
                     made += 1
                     chunk = _Chunk()

@@ -83,7 +83,7 @@ def op7_fingerprints(spark, folder):
 @query("op3_byte_bpe")
 def op3_byte_bpe(spark, folder):
     ranks, pattern = bpe.default_tokenizer()
-    return bpe.with_digests(bpe.decode(bpe.encode(table(spark, folder, "documents"), ranks, pattern), ranks))
+    return bpe.digests(bpe.encode(table(spark, folder, "documents"), ranks, pattern), ranks)
 
 
 def part_of(parts):
