@@ -46,6 +46,11 @@ def rate_table(params: DataFrame, model: str, observations: DataFrame, x: str =
     return add_curves(rate_grid(spanned, F.col("__low"), F.col("__high"), count), model, "t", log_scale).drop("__low", "__high")
 
 
+def positive_mass(curves: DataFrame) -> DataFrame:
+    """Curve points with a predicted mass above zero: a line may start below it."""
+    return curves.where(F.col("M") > 0)
+
+
 def _draw_columns(model: str, keys: Sequence, seed: str, prefix: str = "") -> tuple[list[dict[str, Column]], dict[str, Column]]:
     """Levels of helper columns (Cholesky factor, then draws) for one set of parameters.
 

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plotloom.session import cut_lineage
+
 _KEY = "__key"
 _NO_KEY = "__no_key"
 _FOUND = "__found"
@@ -246,13 +248,22 @@ def complete_rows(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFr
 
 
 def denormalise(fact: DataFrame, dims: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
-    """Chain of full outer joins ``(fact column, suffix for clashing names, dim with id)``.
+    """Full outer joins ``(fact column, suffix for clashing names, dim with id)``.
+
+    The fact is left-joined with all dimensions in one chain, and the rows that only a dimension
+    has follow it, so the plan grows by one join and one anti-join per dimension.  The keys in use are
+    found for all dimensions together, in one aggregated read of the fact's key columns.
 
-    The key keeps the value of either side, and null equals null as in the lookups.  Each
-    step is a left join plus the dimension rows no fact row asks for: a left join may
-    broadcast a small dimension and may be split where a key is hot, a full join neither.
+    The key keeps the value of either side, and null equals null as in the lookups: a
+    fact row without a key takes a dimension row without an id.  A row that only a dimension has
+    asks for nothing in the others.
     """
-    result = fact
+    columns = [column for column, _, _ in dims]
+    used = fact.groupingSets([[c] for c in dict.fromkeys(columns)], *dict.fromkeys(columns)).agg(
+        *[F.grouping(c).alias(f"__g_{c}") for c in dict.fromkeys(columns)]
+    )
+    used = cut_lineage(used)
+    result, only_dims = fact, []
     for column, suffix, dim in dims:
         renamed = dim.withColumnsRenamed(
             {name: f"{name}{suffix}" for name in dim.columns if name != "id" and name in result.columns}
@@ -263,9 +274,11 @@ def denormalise(fact: DataFrame, dims: Sequence[tuple[str, str, DataFrame]]) ->
         left = result.withColumns({"__k": value, "__m": missing})
         right = renamed.withColumns({"__e": other, "__f": absent})
         same = (F.col("__k") == F.col("__e")) & (F.col("__m") == F.col("__f"))
-        matched = left.join(right, same, "left").drop("__k", "__m", "__e", "__f", "__id")
-        unused = only_new(renamed, result, {"__id": column}).withColumnRenamed("__id", column)
-        result = matched.unionByName(unused, allowMissingColumns=True)
+        keys_in_use = used.where(F.col(f"__g_{column}") == 0).select(column)
+        only_dims.append(only_new(renamed, keys_in_use, {"__id": column}).withColumnRenamed("__id", column))
+        result = left.join(right, same, "left").drop("__k", "__m", "__e", "__f", "__id")
+    for rows in only_dims:
+        result = result.unionByName(rows, allowMissingColumns=True)
     return result
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plotloom.session import shuffle_partitions
 
-# Copies of one row are numbered in runs of this length, so that the copies of a hot
+# Copies of one row are written in runs of this length, so that the copies of a hot
 # row are written by many tasks.
 RUN_LENGTH = 100_000
 
@@ -62,14 +62,14 @@ def assign_ids(df: DataFrame, existing: DataFrame, id_column: str = "id") -> Dat
     columns = df.columns
     start = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long")).scalar()
     packed = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies")).withColumn("__bucket", hash_bucket(columns))
-    few = _first_ids(packed.where(F.col("__copies") <= RUN_LENGTH), columns, start)
-    single = few.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)))
+    first = _first_ids(packed, columns, start)
+    ordinary = first.where(F.col("__copies") <= RUN_LENGTH)
+    single = ordinary.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)))
 
-    # Rows with very many copies are numbered after the others; their copies are split
-    # into runs that many tasks write.
-    ordinary = packed.where(F.col("__copies") <= RUN_LENGTH).agg(F.coalesce(F.sum("__copies"), F.lit(0))).scalar()
-    hot = _first_ids(packed.where(F.col("__copies") > RUN_LENGTH), columns, start + ordinary)
+    # The copies of a row with very many are split into runs that many tasks write; ids and
+    # order are the same.
     step = F.lit(RUN_LENGTH).cast("long")
+    hot = first.where(F.col("__copies") > RUN_LENGTH)
     runs = hot.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1, step)))
     spread = runs.repartition(shuffle_partitions(df.sparkSession), "__first", "__run")
     last = F.least(F.col("__run") + RUN_LENGTH, F.col("__copies")) - 1

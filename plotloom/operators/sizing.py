@@ -8,18 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotloom.operators.keys import join_same
-from plotloom.session import ensure_checkpoint_dir
+from plotloom.session import cut_lineage
+
+__all__ = ["SMALL_ROWS", "attach", "broadcast_if_small", "cut_lineage"]
 
 # Rows (of keys and a few numbers) up to which a table is broadcast.
 SMALL_ROWS = 100_000
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a stage in the shared folder, so a lost executor costs no recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Materialise a reduced table, count it, and broadcast it only when it is small.
 

@@ -21,7 +21,7 @@ def growth_analysis(
     sowing: DataFrame,
     trait: str = "NDVI",
     model: str = "gompertz",
-    excluded_date: str | None = "2018-11-16",
+    excluded_date: str | None = None,
     count: int = 100,
 ) -> dict[str, DataFrame]:
     """Frames ``input``, ``comparison``, ``parameters``, ``rates`` and ``likelihoods``.

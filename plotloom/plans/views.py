@@ -63,7 +63,7 @@ def trait_series(tables: Tables, trait: str = "NDVI") -> DataFrame:
     return lookup(dated, tables["datasets"], "dataset_id", "id", {"dataset": "description"}, ["id"])
 
 
-def growth_input(series: DataFrame, sowing: DataFrame, excluded_date: str | None = "2018-11-16") -> DataFrame:
+def growth_input(series: DataFrame, sowing: DataFrame, excluded_date: str | None = None) -> DataFrame:
     """(Y, X = days since sowing, ID, dataset, logY) for the growth fits.
 
     A dataset without a sowing date has no days.  A row without a date is left out when a

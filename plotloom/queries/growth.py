@@ -198,6 +198,20 @@ for _model in MASS:
     _register_curves(_model)
 
 
+# Times long before the first observation, where a line is below zero.
+EARLY_SQL = "times as (select -100 + i * 130 / 19.0::double as t, cast(i as integer) as step from range(20) r(i))"
+
+
+@query(
+    "rates_positive_mass",
+    _curve_sql(MASS["linear"], AGR["linear"], RGRM["linear"], "where m > 0").replace(TIMES_SQL, EARLY_SQL),
+)
+def rates_positive_mass(spark, folder):
+    grid = C.rate_grid(_model_params(spark, folder, "linear"), -100.0, 30.0, 20)
+    curves = C.positive_mass(add_curves(grid, "linear"))
+    return _round_all(curves, ["t", *CURVES]).select("g", "t", *CURVES)
+
+
 @query(
     "transform_parameters",
     f"""

@@ -221,14 +221,13 @@ def peek(spark, folder):
 @query(
     "load_report",
     """
-select 'orders' as target, cast(count(*) as bigint) as rows_added from orders where o_orderdate >= date '1998-01-01'
+select 'orders' as target, cast(count(*) as bigint) as rows_added from orders
 union all select 'customer', cast(count(*) as bigint) from customer""",
 )
 def load_report(spark, folder):
     from plotloom.sources.tables import load_report as report
 
-    new = table(spark, folder, "orders").where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
-    return report({"orders": new, "customer": table(spark, folder, "customer")})
+    return report({"orders": table(spark, folder, "orders"), "customer": table(spark, folder, "customer")})
 
 
 @query(

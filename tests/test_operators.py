@@ -169,3 +169,23 @@ def test_no_join_is_a_nested_loop(spark, left, dim):
         assert frames[1]._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_denormalise_grows_by_one_join_per_dimension(spark):
+    fact = spark.createDataFrame([(1, 2, 3, 4, 5, 6), (1, 2, None, 9, 9, 9)], "a int, b int, c int, d int, e int, f int")
+    dim = spark.createDataFrame([(i, f"n{i}") for i in range(1, 9)], "id int, name string")
+
+    def joins(columns):
+        plan = K.denormalise(fact, [(c, f"_{c}", dim) for c in columns])._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("Join ")
+
+    assert joins("abcdef") == 2 * joins("abc") == 12
+
+
+def test_ids_do_not_depend_on_the_number_of_copies(spark, monkeypatch):
+    rows = spark.createDataFrame([(v,) for v in "aaaaabbbcm"], "v string")
+    none = spark.createDataFrame([], "id long, v string")
+    expected = sorted(tuple(r) for r in N.assign_ids(rows, none).collect())
+    monkeypatch.setattr(N, "RUN_LENGTH", 2)
+    assert sorted(tuple(r) for r in N.assign_ids(rows, none).collect()) == expected
+    assert [i for i, _ in expected] == list(range(1, 11))
