@@ -14,8 +14,9 @@ Documents with one multiset form a class first (128-bit sums of hashes), and onl
 each class goes on.  Its signature is cut into bands; classes that share a band are candidates, each
 against the least class of the band, and a pair is linked if the exact multiset overlap
 reaches the threshold.  Bands whose classes are not all connected by then are gone through
-again: small ones by all pairs of unconnected classes, larger ones against ever new centres
-until none of the classes has a new link.
+again: small ones by all pairs of unconnected classes; in larger ones every class outside the
+largest component tries its likeliest partners by signature, the next ones each turn, until a
+turn finds no new link.
 
 Defined results: null and empty texts are equal, and so one class.  Texts of one to four words
 have one shingle.  Words are compared as they stand, apart from blanks.  Rows with the same
@@ -25,16 +26,17 @@ doc_id in the class.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from plotloom.llm.arrow_text import text_slices
-from plotloom.llm.graph import components
+from plotloom.llm.arrow_text import SLICE_BYTES, text_slices
+from plotloom.llm.graph import components, few_partitions
+from plotloom.llm.rows import whole_rows
 from plotloom.llm.words import batch_shingles, mix, multisets, sum_by_text
 from plotloom.operators.sizing import cut_lineage
 
@@ -44,6 +46,9 @@ BANDS, ROWS = 26, 5
 PLACES = BANDS * ROWS
 # Bands with at most so many classes are resolved by all pairs of unconnected ones.
 ALL_PAIRS = 16
+# In larger ones: classes per block, partners that a class names per turn and block, and the share of
+# equal sketch places that a partner must have (at 0.8, less with probability 1e-8).
+BLOCK, PARTNERS, LIKELY = 1024, 3, 0.6
 
 _U53 = 1.0 / (1 << 53)
 
@@ -117,14 +122,16 @@ def _signature_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordB
         shingles, bounds = batch_shingles(texts)
         key_a, key_b = content_keys(shingles, bounds)
         owner, values, count = multisets(shingles, bounds)
-        bands = band_keys(bag_signatures(owner, values, count, len(texts)))
+        names = bag_signatures(owner, values, count, len(texts))
+        bands = band_keys(names)
+        sketch = pa.array([row.tobytes() for row in names.astype(np.uint8)], pa.binary())
         bands = pa.ListArray.from_arrays(
             pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(_signed(bands.reshape(-1)))
         )
         empty = pa.array(np.diff(bounds) == 0)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(_signed(key_a)), pa.array(_signed(key_b)), empty, bands],
-            ["doc_id", "key_a", "key_b", "empty", "bands"],
+            [part.column("doc_id"), part.column("text_key"), pa.array(_signed(key_a)), pa.array(_signed(key_b)), empty, bands, sketch],
+            ["doc_id", "text_key", "key_a", "key_b", "empty", "bands", "sketch"],
         )
 
 
@@ -132,16 +139,17 @@ def _content_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for part, texts in text_slices(batches):
         shingles, bounds = batch_shingles(texts)
         key_a, key_b = content_keys(shingles, bounds)
+        packed = pa.array([zlib.compress(t, 1) for t in texts], pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(_signed(key_a)), pa.array(_signed(key_b)), pa.array(np.diff(bounds) == 0), part.column("text")],
+            [pa.array(_signed(key_a)), pa.array(_signed(key_b)), pa.array(np.diff(bounds) == 0), packed],
             ["key_a", "key_b", "empty", "text"],
         )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, key_a, key_b, empty, bands) for documents with a long ``doc_id`` and ``text``."""
-    schema = "doc_id long, key_a long, key_b long, empty boolean, bands array<long>"
-    return docs.select("doc_id", "text").mapInArrow(_signature_batches, schema)
+    """(doc_id, text_key, key_a, key_b, empty, bands) for documents with a long ``doc_id`` and ``text``."""
+    schema = "doc_id long, text_key long, key_a long, key_b long, empty boolean, bands array<long>, sketch binary"
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(_signature_batches, schema)
 
 
 def overlap(left: list[bytes], right: list[bytes]) -> np.ndarray:
@@ -160,7 +168,7 @@ def overlap(left: list[bytes], right: list[bytes]) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts overlap enough; texts has (cls, text) of the classes.
+    """The pairs (a, b) whose texts overlap enough; texts has (cls, text), the text deflated.
 
     Both joins are by class; a class that is the centre of very many pairs is a hot key
     which adaptive execution splits.
@@ -172,10 +180,10 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, lefts in text_slices(batches, "left"):
-            rights = [v or b"" for v in part.column(3).cast(pa.large_binary()).to_pylist()]
-            good = pa.array(overlap(lefts, rights) >= threshold)
-            yield part.select([0, 1]).filter(good)
+        for part, lefts in text_slices(batches, "left", SLICE_BYTES // 8):
+            rights = part.column(3).to_pylist()
+            found = overlap([zlib.decompress(t) for t in lefts], [zlib.decompress(t) for t in rights])
+            yield part.select([0, 1]).filter(pa.array(found >= threshold))
 
     return both.mapInArrow(check, "a long, b long")
 
@@ -186,63 +194,121 @@ def star_pairs(bands: DataFrame) -> DataFrame:
     return bands.join(centre.select("band", "a"), "band").where("cls > a").select("a", F.col("cls").alias("b")).distinct()
 
 
-def open_pairs(bands: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """Pairs of classes that share a band and are not connected yet.
+def unsettled(bands: DataFrame, roots: DataFrame, first: bool) -> DataFrame:
+    """(band, cls, root, n): the bands of n classes that are not all connected yet.
 
-    Bands of up to ``ALL_PAIRS`` classes give all such pairs.  In larger ones every class is set
-    against a centre of another component, a different one each turn; that is one pair per class
-    and band, not one per pair of classes.
+    After the first turn all pairs of the small bands have been compared, and only larger ones are left.
     """
-    placed = bands.join(roots, F.col("cls") == F.col("node"), "left").select(
-        "band", "cls", F.coalesce("root", "cls").alias("root")
-    )
+    placed = bands.select("band", "cls").join(roots, F.col("cls") == F.col("node")).select("band", "cls", "root")
     mixed = (
         placed.groupBy("band")
         .agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
         .where("r < s")
         .select("band", "n")
     )
-    left = placed.join(mixed, "band")
+    return placed.join(mixed if first else mixed.where(F.col("n") > ALL_PAIRS), "band")
+
+
+def small_band_pairs(left: DataFrame) -> DataFrame:
+    """All pairs (a, b) of unconnected classes in unsettled bands of up to ``ALL_PAIRS`` classes."""
     small = left.where(F.col("n") <= ALL_PAIRS)
-    all_pairs = (
+    return (
         small.alias("x")
         .join(small.alias("y"), "band")
         .where("x.cls < y.cls and x.root <> y.root")
         .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+        .distinct()
     )
+
+
+def band_groups(left: DataFrame, rows: int) -> DataFrame:
+    """(node, grp) of the classes in larger unsettled bands: bands that share classes are one group."""
     large = left.where(F.col("n") > ALL_PAIRS)
-    rank = F.xxhash64("cls", "band", F.lit(turn))
-    centres = large.groupBy("band", "root").agg(F.min(F.struct(rank.alias("rank"), "cls")).alias("c"))
-    ring = Window.partitionBy("band").orderBy(F.xxhash64("root", F.lit(turn)), "root")
-    all_of_band = Window.partitionBy("band").orderBy(F.xxhash64("root", F.lit(turn)), "root").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    following = centres.select(
-        "band", "root", F.coalesce(F.lead("c.cls").over(ring), F.first("c.cls").over(all_of_band)).alias("other")
-    )
-    ring_pairs = large.join(following, ["band", "root"]).select(
-        F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")
-    )
-    return all_pairs.union(ring_pairs).where("a < b").distinct()
+    least = large.groupBy("band").agg(F.min("cls").alias("b"))
+    found = components(few_partitions(large.join(least, "band").select(F.col("cls").alias("a"), "b"), rows))
+    return cut_lineage(few_partitions(found.toDF("node", "grp"), rows))
 
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id, copy_id): each document's class, and the least document with its text.
+def closest_pairs(left: DataFrame, groups: DataFrame, sketches: DataFrame, turn: int, rows: int) -> DataFrame:
+    """Pairs (a, b) of unconnected classes in larger unsettled bands, the likeliest first.
 
-    One row per distinct doc_id and multiset.
+    A group of bands is cut into blocks of about ``BLOCK`` classes, and
+    every two blocks meet in one task, which compares sketches (one byte per signature place).  Each class
+    outside the group's largest component names its partners of ranks ``PARTNERS * turn`` on by
+    likeness, among classes of other components that are at least ``LIKELY`` alike; no other
+    pair leaves the task.
     """
+    large = left.where(F.col("n") > ALL_PAIRS)
+    members = few_partitions(large.select("cls", "root").distinct(), rows)
+    members = members.join(groups, F.col("cls") == F.col("node"), "left").select(
+        "cls", "root", F.coalesce("grp", "cls").alias("grp")
+    )
+    members = cut_lineage(few_partitions(members, rows))
+    sizes = members.groupBy("grp", "root").agg(F.count("*").alias("size"))
+    tops = sizes.groupBy("grp").agg(
+        F.max(F.struct("size", "root"))["root"].alias("top"), F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    placed = (
+        members.join(few_partitions(tops, rows), "grp")
+        .join(sketches, "cls")
+        .select("grp", "cls", "sketch", (F.col("root") == F.col("top")).alias("settled"), "root", block.alias("own"), "blocks")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "sketch", "settled", "root", "own")
+    )
+
+    def compare(batch: pa.Table) -> pa.Table:
+        batch = batch.sort_by("cls")
+        cls, root, own = (np.asarray(batch.column(c).combine_chunks()) for c in ("cls", "root", "own"))
+        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(cls), PLACES)
+        across = batch.column("i")[0] != batch.column("j")[0]
+        left, right = [], []
+        looking = np.flatnonzero(~np.asarray(batch.column("settled").to_pylist(), dtype=bool))
+        for begin in range(0, len(looking), 32):
+            mine = looking[begin : begin + 32]
+            alike = (sketch[mine][:, None, :] == sketch[None, :, :]).sum(axis=2)
+            alike[root[mine][:, None] == root[None, :]] = 0
+            if across:
+                alike[own[mine][:, None] == own[None, :]] = 0
+            order = np.argsort(-alike, axis=1, kind="stable")[:, PARTNERS * turn : PARTNERS * (turn + 1)]
+            likely = np.take_along_axis(alike, order, axis=1) >= LIKELY * PLACES
+            row, place = np.nonzero(likely)
+            left.append(cls[mine[row]])
+            right.append(cls[order[row, place]])
+        a = np.concatenate(left) if left else np.empty(0, dtype=np.int64)
+        b = np.concatenate(right) if right else np.empty(0, dtype=np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return placed.groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, root) after adding links: only their roots are connected anew."""
+    left = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    right = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    between = links.join(left, "a").join(right, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    between = few_partitions(between, roots.count())
+    joined = components(between).select(F.col("node").alias("root"), F.col("root").alias("new"))
+    return cut_lineage(roots.join(joined, "root", "left").select("node", F.coalesce("new", "root").alias("root")))
+
+
+def rooted(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, text_key, first_doc, root): every row's class, and the least document of the same multiset."""
     signed = cut_lineage(signatures(docs))
     content = ["key_a", "key_b", "empty"]
     # Nulls are the least: they take the place before all numbers.
     exact = signed.groupBy(*content).agg(
-        F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "bands")).alias("least")
+        F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("least"),
+        F.first("bands").alias("bands"),
+        F.first("sketch").alias("sketch"),
     )
     exact = cut_lineage(
         exact.select(
             *content,
             F.col("least.doc_id").alias("first_doc"),
             F.xxhash64(*content).alias("cls"),
-            F.col("least.bands").alias("bands"),
+            "bands",
+            "sketch",
         )
     )
     bands = exact.where(~F.col("empty")).select("cls", F.explode("bands").alias("band"))
@@ -253,35 +319,66 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = docs.select("doc_id", "text").join(
         source.select(F.col("first_doc").alias("id")).distinct(), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"
     )
-    texts = texts.mapInArrow(_content_batches, "key_a long, key_b long, empty boolean, text string")
+    texts = texts.mapInArrow(_content_batches, "key_a long, key_b long, empty boolean, text binary")
     texts = texts.select(F.xxhash64(*content).alias("cls"), "text").join(source.select("cls"), "cls")
+    sketches = cut_lineage(exact.join(bands.select("cls").distinct(), "cls").select("cls", "sketch"))
     texts = cut_lineage(texts.groupBy("cls").agg(F.min("text").alias("text")))
     seen = cut_lineage(star_pairs(bands))
-    links = cut_lineage(verified(seen, texts, threshold))
-    roots = components(links)
+    roots = bands.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct()
+    roots = merged(roots, verified(seen, texts, threshold))
     turn = 0
     while True:
-        pairs = cut_lineage(open_pairs(bands, roots, turn).join(seen, ["a", "b"], "left_anti"))
+        # Bands whose classes are all connected have nothing more to add, and need not be looked at again.
+        bands = cut_lineage(unsettled(bands, roots, first=turn == 0))
+        left = bands.count()
+        bands = few_partitions(bands, left)
+        if turn == 0:
+            groups = band_groups(bands, left)
+        pairs = closest_pairs(bands, groups, sketches, turn, left)
+        if turn == 0:
+            pairs = pairs.union(small_band_pairs(bands)).distinct()
+        pairs = cut_lineage(pairs.join(seen, ["a", "b"], "left_anti"))
         new = cut_lineage(verified(pairs, texts, threshold))
-        if not new.limit(1).count():
+        if new.isEmpty():
             break
         seen = seen.union(pairs)
-        links = links.union(new)
-        roots = components(links)
+        roots = merged(roots, new)
         turn += 1
     members = exact.join(roots, F.col("cls") == F.col("node"), "left").select(
         *content, "first_doc", F.coalesce("root", "cls").alias("root")
     )
-    least = members.groupBy("root").agg(
-        F.min(F.struct(F.col("first_doc").isNotNull().alias("known"), F.col("first_doc").alias("doc"))).alias("least")
+    return signed.select("doc_id", "text_key", *content).join(members, content).drop(*content)
+
+
+def _least(*columns: str) -> Column:
+    """The least of several columns by the first, nulls before all numbers."""
+    return F.min(F.struct(F.col(columns[0]).isNotNull().alias("known"), *columns))
+
+
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, class_id, copy_id): each document's class, and the least document with its text.
+
+    One row per distinct doc_id and multiset.
+    """
+    found = rooted(docs, threshold)
+    least = found.groupBy("root").agg(_least("first_doc").alias("least"))
+    named = found.join(least, "root").select(
+        "doc_id", F.col("least.first_doc").alias("class_id"), F.col("first_doc").alias("copy_id"), "root"
     )
-    named = members.join(least, "root").select(*content, F.col("least.doc").alias("class_id"), F.col("first_doc").alias("copy_id"))
-    return signed.select("doc_id", *content).distinct().join(named, content).select("doc_id", "class_id", "copy_id")
+    return named.distinct().drop("root")
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are the least of their class; all their rows and columns."""
-    kept = near_classes(docs, threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("_kept_id")
-    ).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """One row of each class with all its columns: the least by doc_id, then by hash of the text.
+
+    Of rows with that doc_id and text any one stays.
+    """
+    found = rooted(docs, threshold)
+    chosen = found.groupBy("root").agg(_least("doc_id", "text_key").alias("least"), F.count("*").alias("rows"))
+    chosen = cut_lineage(chosen.select(F.col("least.doc_id").alias("id"), F.col("least.text_key").alias("key"), "rows"))
+    rows = whole_rows(docs, row_id=F.col("doc_id"), row_key=F.xxhash64("text"))
+    same = F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key"))
+    # Only in classes of several rows can the chosen row be there twice.
+    alone = rows.join(chosen.where("rows = 1").drop("rows"), same, "left_semi")
+    several = rows.join(chosen.where("rows > 1").drop("rows"), same, "left_semi").dropDuplicates(["row_id", "row_key"])
+    return alone.unionByName(several).select("row.*")
