@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plotloom.growth.models import MODELS, SparkMath, add_natural
+from plotloom.functions.scalar import finite
+from plotloom.growth.long_groups import fit_chunked
+from plotloom.growth.models import MODELS, add_natural
 from plotloom.growth.points import (
     ARRAY_LIMIT,
     compress,
@@ -19,7 +21,7 @@ from plotloom.growth.points import (
     point_arrays,
     point_matrix,
 )
-from plotloom.growth.solver import OFFSET_TOLERANCE, covariance, damped_step, relative_offset, solve
+from plotloom.growth.solver import solve
 from plotloom.operators.keys import join_same
 from plotloom.operators.sizing import cut_lineage
 from plotloom.operators.stats import aic
@@ -27,7 +29,6 @@ from plotloom.session import shuffle_partitions
 
 # Padded cells held at once by one task.
 CELLS = 400_000
-LARGE_STEPS = 40
 
 
 def _result_schema(points: DataFrame, keys: Sequence[str], model: str) -> T.StructType:
@@ -89,52 +90,57 @@ def fit(
     """One row per group: raw and natural parameters, convergence, statistics, covariance.
 
     Observations are first reduced to one row per group and distinct time.  A group of
-    ordinary length is then solved from one array, many groups per numpy call; a group
-    with more distinct times than ``array_limit`` is solved by sums in Spark, so no
-    group has to fit in a task.
+    ordinary length is then solved from one array, many groups per numpy call; one with
+    more distinct times than ``array_limit`` goes through steps by the same rules to the same
+    tolerance, with its sums taken in Spark.  A group without usable observations gets a row that
+    has not converged.
     """
     fixed = dict(fixed or {})
     points = cut_lineage(compress(df, keys, x, y))
     spec = MODELS[model]
-    starts = initial_values(points, keys, model)
+    starts = cut_lineage(initial_values(points, keys, model))
     for name, value in fixed.items():
         starts = starts.withColumn(name, F.lit(float(value)))
     schema = _result_schema(points, keys, model)
-    packed = pack(points, keys, array_limit).where(F.col("chunks") == 1)
+    all_packed = cut_lineage(pack(points, keys, array_limit))
+    packed = all_packed.where(F.col("chunks") == 1)
     ready = join_same(packed, starts, keys).repartition(shuffle_partitions(df.sparkSession), *keys)
     columns = [*keys, *spec.raw, *spec.fixed, *point_arrays()]
     chosen = ready.select(*columns)
     key_list = list(keys)
     solved = chosen.mapInPandas(lambda it: _fit_batches(it, key_list, model, variance), schema)
-    long_groups = points.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__c"), F.min("x").alias("__lo"), F.max("x").alias("__hi")
-    ).where(F.col("__c") > array_limit)
+    long_groups = all_packed.where(F.col("chunks") > 1)
     if not long_groups.isEmpty():
-        if variance is not None:
-            raise ValueError("a variance model needs groups within array_limit; raise it")
-        long_points = join_same(points, long_groups, keys)
-        coarse = pack(_bin_means(long_points, keys), keys)
-        near = join_same(coarse, starts, keys).select(*columns).mapInPandas(
-            lambda it: _fit_batches(it, key_list, model, None), schema
-        )
-        rough = near.where("converged").select(*keys, *[F.col(name).alias(f"__s_{name}") for name in spec.raw])
-        better = join_same(starts, rough, keys, "left").withColumns(
-            {name: F.coalesce(F.col(f"__s_{name}"), F.col(name)) for name in spec.raw}
-        )
-        begin = cut_lineage(better.select(*keys, *spec.raw, *spec.fixed))
-        solved = solved.unionByName(fit_long(long_points.select(points.columns), keys, model, begin, schema))
-    return finish(solved, model)
-
-
-def _bin_means(points: DataFrame, keys: Sequence[str], bins: int = 512) -> DataFrame:
-    """Points averaged in time bins: only used to place the start of an exact fit."""
+        # The same steps from nearer by: the fit of the group's bin means, where that has converged.
+        rough = join_same(pack(_bin_means(points, long_groups, keys), keys), starts, keys).select(*columns)
+        rough = rough.mapInPandas(lambda it: _fit_batches(it, key_list, model, None), schema).where("converged")
+        near = join_same(starts, rough.select(*keys, *[F.col(c).alias(f"__{c}") for c in spec.raw]), keys, "left")
+        near = cut_lineage(near.withColumns({c: F.coalesce(f"__{c}", c) for c in spec.raw}).select(starts.columns))
+        solved = solved.unionByName(fit_chunked(long_groups, key_list, model, near, variance, schema))
+    return finish(solved.unionByName(_without_points(df, points, keys, x, y, schema)), model)
+
+
+def _bin_means(points: DataFrame, long_groups: DataFrame, keys: Sequence[str], bins: int = 512) -> DataFrame:
+    """Points of long groups averaged in time bins: only used to place the start of the exact fit."""
+    ends = join_same(points, long_groups.select(*keys).distinct(), keys, "left_semi")
+    ranges = ends.groupBy(*keys).agg(F.min("x").alias("__lo"), F.max("x").alias("__hi"))
+    placed = join_same(ends, ranges, keys)
     place = F.floor(F.try_divide(F.col("x") - F.col("__lo"), F.col("__hi") - F.col("__lo")) * (bins - 1))
     weighted = lambda name: F.sum(F.col("n") * F.col(name)) / F.sum("n")
-    return points.withColumn("__bin", place).groupBy(*keys, "__bin").agg(
+    return placed.withColumn("__bin", place).groupBy(*keys, "__bin").agg(
         weighted("x").alias("__x"), weighted("y").alias("__y"), F.sum("n").alias("__n")
     ).select(*keys, F.col("__x").alias("x"), F.col("__n").alias("n"), F.col("__y").alias("y"), F.lit(0.0).alias("within"))
 
 
+def _without_points(df: DataFrame, points: DataFrame, keys: Sequence[str], x: str, y: str, schema: T.StructType) -> DataFrame:
+    """One row, not converged, for each group that has no usable observation."""
+    usable = finite(F.col(x).cast("double")).isNotNull() & finite(F.col(y).cast("double")).isNotNull()
+    empty = df.groupBy(*keys).agg(F.count_if(usable).alias("__n")).where("__n = 0")
+    given = {"converged": F.lit(False), "n": F.lit(0.0)}
+    rest = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema if f.name not in keys]
+    return empty.select(*keys, *rest)
+
+
 def finish(solved: DataFrame, model: str) -> DataFrame:
     spec = MODELS[model]
     extra = F.when(F.col("delta") != 0, 1).otherwise(0)
@@ -147,122 +153,6 @@ def finish(solved: DataFrame, model: str) -> DataFrame:
     )
 
 
-def _triangle(p: int) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(p) for j in range(i, p)]
-
-
-def _advance(batches: Iterator[pd.DataFrame], keys, p, state_columns) -> Iterator[pd.DataFrame]:
-    """Accept or reject the evaluated trial of every group and propose the next one."""
-    for batch in batches:
-        b = len(batch)
-        normal = np.zeros((b, p, p))
-        for i, j in _triangle(p):
-            normal[:, i, j] = normal[:, j, i] = batch[f"a{i}{j}"].to_numpy(dtype=float)
-        gradient = np.stack([batch[f"g{i}"].to_numpy(dtype=float) for i in range(p)], axis=1)
-        trial = np.stack([batch[f"trial{i}"].to_numpy(dtype=float) for i in range(p)], axis=1)
-        theta = np.stack([batch[f"theta{i}"].to_numpy(dtype=float) for i in range(p)], axis=1)
-        kept_normal = np.stack([np.asarray(v, dtype=float) for v in batch["normal"]]).reshape(b, p, p)
-        kept_gradient = np.stack([np.asarray(v, dtype=float) for v in batch["gradient"]])
-        rss, damping = batch["rss"].to_numpy(dtype=float), batch["damping"].to_numpy(dtype=float)
-        new, n = batch["new_rss"].to_numpy(dtype=float), batch["n"].to_numpy(dtype=float)
-        new = np.where(np.isfinite(new), new, np.inf)
-        better = new <= rss
-        theta = np.where(better[:, None], trial, theta)
-        normal = np.where(better[:, None, None], normal, kept_normal)
-        gradient = np.where(better[:, None], gradient, kept_gradient)
-        offset = relative_offset(normal, gradient, np.where(better, new, rss), n)
-        damping = np.where(better, np.maximum(damping * 0.2, 1e-12), damping * 5)
-        settled = np.abs(new - rss) <= 1e-13 * rss
-        done = (better & (offset < OFFSET_TOLERANCE * 1e-2)) | settled | (damping > 1e12)
-        rss = np.where(better, new, rss)
-        trial = theta + damped_step(normal, gradient, damping)
-        out = {key: batch[key].to_numpy() for key in keys}
-        out.update({f"theta{i}": theta[:, i] for i in range(p)})
-        out.update({f"trial{i}": trial[:, i] for i in range(p)})
-        out.update({"rss": rss, "damping": damping, "n": n, "offset": offset, "done": done})
-        out["mss"] = np.where(better, batch["new_mss"].to_numpy(dtype=float), batch["mss"].to_numpy(dtype=float))
-        out["normal"] = list(normal.reshape(b, p * p))
-        out["gradient"] = list(gradient)
-        yield pd.DataFrame(out)[state_columns]
-
-
-def fit_long(points: DataFrame, keys: Sequence[str], model: str, starts: DataFrame, schema: T.StructType) -> DataFrame:
-    """Groups with very many distinct times: every step is one partially aggregated sum
-    of the normal equations over all points, and a small solve per group."""
-    spec = MODELS[model]
-    p = len(spec.raw)
-    key_list = list(keys)
-    state_fields = [schema[key] for key in keys]
-    state_fields += [T.StructField(f"{kind}{i}", T.DoubleType()) for kind in ("theta", "trial") for i in range(p)]
-    state_fields += [T.StructField(name, T.DoubleType()) for name in ("rss", "mss", "damping", "n", "offset")]
-    state_fields += [
-        T.StructField("done", T.BooleanType()),
-        T.StructField("normal", T.ArrayType(T.DoubleType())),
-        T.StructField("gradient", T.ArrayType(T.DoubleType())),
-    ]
-    state_schema = T.StructType(state_fields)
-    names = [f.name for f in state_fields]
-    first = join_same(starts, points.select(*keys).distinct(), keys, "left_semi")
-    state = first.select(
-        *keys,
-        *[F.col(name).alias(f"theta{i}") for i, name in enumerate(spec.raw)],
-        *[F.col(name).alias(f"trial{i}") for i, name in enumerate(spec.raw)],
-        F.lit(float("inf")).alias("rss"), F.lit(0.0).alias("mss"), F.lit(1e-3).alias("damping"), F.lit(0.0).alias("n"),
-        F.lit(float("inf")).alias("offset"), F.lit(False).alias("done"),
-        F.array(*[F.lit(0.0)] * (p * p)).alias("normal"), F.array(*[F.lit(0.0)] * p).alias("gradient"),
-    )
-    state = cut_lineage(state)
-    given = starts.select(*keys, *spec.fixed) if spec.fixed else None
-    for _ in range(LARGE_STEPS):
-        open_groups = state.where(~F.col("done"))
-        if open_groups.isEmpty():
-            break
-        joined = join_same(points, open_groups.select(*keys, *[f"trial{i}" for i in range(p)]), keys)
-        if given is not None:
-            joined = join_same(joined, given, keys)
-
-        def at(shift: int, sign: float, step):
-            values = {name: F.col(f"trial{i}") for i, name in enumerate(spec.raw)}
-            if shift >= 0:
-                values[spec.raw[shift]] = values[spec.raw[shift]] + sign * step
-            values.update({name: F.col(name) for name in spec.fixed})
-            return spec.predict(SparkMath, values, F.col("x"))
-
-        steps = [F.greatest(F.abs(F.col(f"trial{i}")), F.lit(1e-6)) * 1e-6 for i in range(p)]
-        evaluated = joined.withColumn("__f", at(-1, 0, None)).withColumns(
-            {f"__j{i}": (at(i, 1.0, steps[i]) - at(i, -1.0, steps[i])) / (2 * steps[i]) for i in range(p)}
-        )
-        resid = F.col("y") - F.col("__f")
-        sums = evaluated.groupBy(*keys).agg(
-            *[F.sum(F.col("n") * F.col(f"__j{i}") * F.col(f"__j{j}")).alias(f"a{i}{j}") for i, j in _triangle(p)],
-            *[F.sum(F.col("n") * F.col(f"__j{i}") * resid).alias(f"g{i}") for i in range(p)],
-            F.sum(F.col("n") * resid * resid + F.col("within")).alias("new_rss"),
-            (F.sum(F.col("n") * F.col("__f") * F.col("__f")) - F.pow(F.sum(F.col("n") * F.col("__f")), 2) / F.sum("n")).alias("new_mss"),
-            F.sum("n").alias("__n"),
-        ).withColumnRenamed("__n", "seen")
-        merged = join_same(open_groups, sums, keys).withColumn("n", F.col("seen")).drop("seen")
-        moved = merged.mapInPandas(lambda it: _advance(it, key_list, p, names), state_schema)
-        state = cut_lineage(state.where(F.col("done")).unionByName(moved))
-
-    def summarise(batches):
-        for batch in batches:
-            normal = np.stack([np.asarray(v, dtype=float) for v in batch["normal"]]).reshape(-1, p, p)
-            rss, n = batch["rss"].to_numpy(dtype=float), batch["n"].to_numpy(dtype=float)
-            cov = covariance(normal, rss, n).reshape(-1, p * p)
-            with np.errstate(all="ignore"):
-                ll = -0.5 * n * (np.log(2 * np.pi) + 1 - np.log(n) + np.log(rss))
-            out = {key: batch[key].to_numpy() for key in key_list}
-            out.update({name: batch[f"theta{i}"].to_numpy() for i, name in enumerate(spec.raw)})
-            out.update({name: batch[name].to_numpy() for name in spec.fixed})
-            good = np.isfinite(cov).all(axis=1) & (batch["offset"].to_numpy(dtype=float) < OFFSET_TOLERANCE)
-            out.update({"converged": good, "n": n, "rss": rss, "mss": batch["mss"].to_numpy(), "ll": ll, "delta": np.zeros(len(n))})
-            out["cov"] = [list(row) if np.isfinite(row).all() else None for row in cov]
-            yield pd.DataFrame(out)[schema.fieldNames()]
-
-    ended = state if given is None else join_same(state, given, keys)
-    return ended.mapInPandas(summarise, schema)
-
-
 def fit_linear(df: DataFrame, keys: Sequence[str], x: str = "x", y: str = "y") -> DataFrame:
     """Straight line by regression sums: one aggregate, no iteration."""
     usable = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())

@@ -135,6 +135,13 @@ def _variance_slope(fitted, squares, w):
     return (low + high) / 2
 
 
+def accepted(theta, weighted, n, offset, cov, size):
+    """Whether a group counts as fitted; ``size`` is the sum of squares of its values."""
+    exact = weighted <= 1e-20 * size
+    sound = np.isfinite(theta).all(axis=1) & np.isfinite(weighted) & (n > theta.shape[1])
+    return sound & ((offset < OFFSET_TOLERANCE) | exact) & (np.isfinite(cov).all(axis=1) | exact)
+
+
 def solve(model, start, fixed, x, y, w, within_x, variance=None):
     """Fit every group of a batch.
 
@@ -175,11 +182,9 @@ def solve(model, start, fixed, x, y, w, within_x, variance=None):
             # the weights were centred on the mean fitted value, which shifts nothing else
             ll = ll - delta * (w * (fitted - mean[:, None])).sum(axis=1)
         offset = relative_offset(normal, gradient, weighted, n)
-        exact = weighted <= 1e-20 * (w * y * y).sum(axis=1)
-        converged = np.isfinite(theta).all(axis=1) & np.isfinite(weighted) & (n > p) & ((offset < OFFSET_TOLERANCE) | exact)
-        cov = covariance(normal, weighted, n)
-        converged &= np.isfinite(cov).all(axis=(1, 2)) | exact
+        cov = covariance(normal, weighted, n).reshape(len(n), p * p)
+        converged = accepted(theta, weighted, n, offset, cov, (w * y * y).sum(axis=1))
     return {
         "theta": theta, "converged": converged, "n": n, "rss": plain, "mss": mss, "ll": ll,
-        "delta": delta, "cov": cov.reshape(len(n), p * p),
+        "delta": delta, "cov": cov,
     }

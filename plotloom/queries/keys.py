@@ -276,7 +276,7 @@ where not exists (select 1 from n s where s.l_shipdate < date '{before}' and {ma
 
 
 # Few lines were shipped before the first date, so keys are found on both sides at every scale.
-_absent("append_if_absent_one_key", ["part_key"], ["nullif(l_partkey, 7)"], "1992-04-01")
+_absent("append_if_absent_one_key", ["part_key"], ["nullif(l_partkey, 7)"], "1995-01-20")
 _absent(
     "append_if_absent_two_keys", ["part_key", "flag"], ["l_partkey", "nullif(l_returnflag, 'N')"], LOADED_BEFORE
 )
@@ -284,7 +284,7 @@ _absent(
     "append_if_absent_three_keys",
     ["supplier_key", "flag", "line"],
     ["nullif(l_suppkey, 5)", "nullif(l_returnflag, 'A')", "l_linenumber"],
-    "1992-04-01",
+    "1995-01-20",
 )
 
 

@@ -102,6 +102,52 @@ def test_groups_with_many_times_give_the_same_fit(spark, model, fixed):
         assert long[g]["cov"] == pytest.approx(short[g]["cov"], rel=1e-3)
 
 
+NOISY = {
+    "logistic": lambda t: 50 / (1 + np.exp((30 - t) / 6)),
+    "fpl": lambda t: 4 + 46 / (1 + np.exp((30 - t) / 6)),
+    "gompertz": lambda t: 50 * np.exp(-6 * 0.9**t),
+    "exponential": lambda t: 2 * np.exp(0.05 * t),
+    "monomolecular": lambda t: 50 - 45 * np.exp(-0.06 * t),
+    "power2": lambda t: (0.1**0.4 + 0.05 * t * 0.4) ** 2.5,
+}
+
+
+def noisy(model, times, spread=0.3, by_size=False):
+    t = np.linspace(0, 60, times)
+    draw = np.random.default_rng(times)
+    y = NOISY[model](t)
+    y = y + draw.normal(0, 1, times) * (spread * np.exp(0.03 * y) if by_size else spread)
+    return [(model, float(a), float(b)) for a, b in zip(t, y)]
+
+
+def same_fit(spark, model, rows, limit, variance=None):
+    data = spark.createDataFrame(rows, "g string, x double, y double")
+    fixed = {"M0": 0.1} if model == "power2" else {}
+    short = one(fit(data, ["g"], model, fixed=fixed, variance=variance, array_limit=10**6))
+    long = one(fit(data, ["g"], model, fixed=fixed, variance=variance, array_limit=limit))
+    assert short["converged"] == long["converged"]
+    for name in MODELS[model].raw:
+        assert long[name] == pytest.approx(short[name], rel=1e-5)
+    assert long["rss"] == pytest.approx(short["rss"], rel=1e-9 if variance is None else 1e-6)
+    for name in ("n", "ll", "mss", "delta", "aic"):
+        assert long[name] == pytest.approx(short[name], rel=1e-5, abs=1e-9)
+    return short
+
+
+@pytest.mark.parametrize("model", ["exponential", "fpl", "monomolecular", "power2"])
+def test_noisy_long_groups_give_the_same_fit(spark, model):
+    assert same_fit(spark, model, noisy(model, 600), 250)["converged"]
+
+
+def test_one_time_above_the_default_limit(spark):
+    assert same_fit(spark, "gompertz", noisy("gompertz", 4097), 4096)["converged"]
+
+
+def test_variance_model_on_long_groups(spark):
+    found = same_fit(spark, "logistic", noisy("logistic", 600, by_size=True), 250, "exp")
+    assert found["converged"] and found["delta"] == pytest.approx(0.03, rel=0.2)
+
+
 def test_copies_of_observations_only_change_the_count(spark):
     data = series(spark, "CER")
     once, thrice = one(fit(data, ["g"], "logistic")), one(fit(data.union(data).union(data), ["g"], "logistic"))
@@ -115,11 +161,11 @@ def test_a_bad_group_does_not_harm_the_others(spark):
     data = series(spark, "CER").union(spark.createDataFrame(bad, "g string, x double, y double"))
     rows = {r["g"]: r for r in fit(data, ["g"], "logistic").collect()}
     assert rows["CER"]["converged"] and not rows["flat"]["converged"] and not rows["short"]["converged"]
-    assert "null" not in rows
+    assert not rows["null"]["converged"] and rows["null"]["n"] == 0 and rows["null"]["Asym"] is None
     few = {r["g"]: r for r in fit(data, ["g"], "power2", fixed={"M0": 0.01}).collect()}
     assert not few["short"]["converged"]
     shares = one(compare_models({"logistic": fit(data, ["g"], "logistic")}, ["g"]))
-    assert (shares["groups"], shares["converged"]) == (3, 1)
+    assert (shares["groups"], shares["converged"]) == (4, 1)
 
 
 def test_fit_of_known_curves(spark):
