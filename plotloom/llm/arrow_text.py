@@ -9,8 +9,9 @@ import pyarrow as pa
 
 from plotloom.llm.words import slices
 
-# Bytes of text that a task handles at once; one longer text is handled alone.
-SLICE_BYTES = 4 << 20
+# Bytes of text that a task handles at once, with some forty times as much in arrays; one longer
+# text is handled alone.
+SLICE_BYTES = 1 << 20
 
 
 def byte_lengths(column: pa.Array) -> np.ndarray:

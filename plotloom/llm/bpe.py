@@ -34,7 +34,7 @@ REMEMBERED = 1_000_000
 # Bytes of text per chunk; a task holds a few times as much.
 CHUNK_BYTES = 8 << 20
 # Words of whole texts that are put together at once.
-BATCH_WORDS = 1 << 19
+BATCH_WORDS = 1 << 17
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -180,7 +180,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, lefts in text_slices(batches, "left", SLICE_BYTES // 8):
+        for part, lefts in text_slices(batches, "left", SLICE_BYTES // 4):
             rights = part.column(3).to_pylist()
             found = overlap([zlib.decompress(t) for t in lefts], [zlib.decompress(t) for t in rights])
             yield part.select([0, 1]).filter(pa.array(found >= threshold))
