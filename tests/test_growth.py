@@ -112,23 +112,23 @@ NOISY = {
 }
 
 
-def noisy(model, times, spread=0.3, by_size=False):
+def noisy(model, times, spread=0.3):
     t = np.linspace(0, 60, times)
     draw = np.random.default_rng(times)
     y = NOISY[model](t)
-    y = y + draw.normal(0, 1, times) * (spread * np.exp(0.03 * y) if by_size else spread)
+    y = y + draw.normal(0, spread, times)
     return [(model, float(a), float(b)) for a, b in zip(t, y)]
 
 
-def same_fit(spark, model, rows, limit, variance=None):
+def same_fit(spark, model, rows, limit):
     data = spark.createDataFrame(rows, "g string, x double, y double")
     fixed = {"M0": 0.1} if model == "power2" else {}
-    short = one(fit(data, ["g"], model, fixed=fixed, variance=variance, array_limit=10**6))
-    long = one(fit(data, ["g"], model, fixed=fixed, variance=variance, array_limit=limit))
+    short = one(fit(data, ["g"], model, fixed=fixed, array_limit=10**6))
+    long = one(fit(data, ["g"], model, fixed=fixed, array_limit=limit))
     assert short["converged"] == long["converged"]
     for name in MODELS[model].raw:
         assert long[name] == pytest.approx(short[name], rel=1e-5)
-    assert long["rss"] == pytest.approx(short["rss"], rel=1e-9 if variance is None else 1e-6)
+    assert long["rss"] == pytest.approx(short["rss"], rel=1e-9)
     for name in ("n", "ll", "mss", "delta", "aic"):
         assert long[name] == pytest.approx(short[name], rel=1e-5, abs=1e-9)
     return short
@@ -143,11 +143,6 @@ def test_one_time_above_the_default_limit(spark):
     assert same_fit(spark, "gompertz", noisy("gompertz", 4097), 4096)["converged"]
 
 
-def test_variance_model_on_long_groups(spark):
-    found = same_fit(spark, "logistic", noisy("logistic", 600, by_size=True), 250, "exp")
-    assert found["converged"] and found["delta"] == pytest.approx(0.03, rel=0.2)
-
-
 def test_copies_of_observations_only_change_the_count(spark):
     data = series(spark, "CER")
     once, thrice = one(fit(data, ["g"], "logistic")), one(fit(data.union(data).union(data), ["g"], "logistic"))
