@@ -15,8 +15,8 @@ each class goes on.  Its signature is cut into bands; classes that share a band
 against the least class of the band, and a pair is linked if the exact multiset overlap
 reaches the threshold.  Bands whose classes are not all connected by then are gone through
 again: small ones by all pairs of unconnected classes; in larger ones every class outside the
-largest component tries its likeliest partners by signature, the next ones each turn, until a
-turn finds no new link.
+largest component tries its likeliest partners by signature, the next ones each turn and more of
+them, until it has tried every unconnected one that is likely enough.
 
 Defined results: null and empty texts are equal, and so one class.  Texts of one to four words
 have one shingle.  Words are compared as they stand, apart from blanks.  Rows with the same
@@ -46,9 +46,10 @@ BANDS, ROWS = 26, 5
 PLACES = BANDS * ROWS
 # Bands with at most so many classes are resolved by all pairs of unconnected ones.
 ALL_PAIRS = 16
-# In larger ones: classes per block, partners that a class names per turn and block, and the share of
-# equal sketch places that a partner must have (at 0.8, less with probability 1e-8).
-BLOCK, PARTNERS, LIKELY = 1024, 3, 0.6
+# In larger ones: classes per block, partners that a class names per block in the first turn, how many times
+# as many in each further one, and the share of equal sketch places that a partner must have (at 0.8,
+# less with probability 1e-8).
+BLOCK, PARTNERS, MORE, LIKELY = 1024, 3, 4, 0.6
 
 _U53 = 1.0 / (1 << 53)
 
@@ -229,57 +230,75 @@ def band_groups(left: DataFrame, rows: int) -> DataFrame:
     return cut_lineage(few_partitions(found.toDF("node", "grp"), rows))
 
 
-def closest_pairs(left: DataFrame, groups: DataFrame, sketches: DataFrame, turn: int, rows: int) -> DataFrame:
-    """Pairs (a, b) of unconnected classes in larger unsettled bands, the likeliest first.
+def block_homes(left: DataFrame, groups: DataFrame, rows: int) -> DataFrame:
+    """(cls, grp, own, blocks): the group of each class in larger unsettled bands, and its block of about ``BLOCK`` classes."""
+    large = left.where(F.col("n") > ALL_PAIRS)
+    members = few_partitions(large.select("cls").distinct(), rows)
+    members = members.join(groups, F.col("cls") == F.col("node"), "left").select("cls", F.coalesce("grp", "cls").alias("grp"))
+    members = cut_lineage(few_partitions(members, rows))
+    sizes = members.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    homes = members.join(few_partitions(sizes, rows), "grp").select("cls", "grp", block.alias("own"), "blocks")
+    return cut_lineage(few_partitions(homes, rows))
+
 
-    A group of bands is cut into blocks of about ``BLOCK`` classes, and
-    every two blocks meet in one task, which compares sketches (one byte per signature place).  Each class
-    outside the group's largest component names its partners of ranks ``PARTNERS * turn`` on by
-    likeness, among classes of other components that are at least ``LIKELY`` alike; no other
-    pair leaves the task.
+def closest_pairs(
+    left: DataFrame, homes: DataFrame, sketches: DataFrame, tried: DataFrame, partners: int, rows: int
+) -> DataFrame:
+    """(cls, other, partner, unlike): unconnected classes in larger unsettled bands, the likeliest first.
+
+    Every two blocks of a group meet in one task, which compares sketches (one byte per signature
+    place).  Each class outside the group's largest component names its next ``partners`` partners in
+    the ``other`` block by likeness, then class, among classes of other components that are
+    at least ``LIKELY`` alike; no other pair leaves the task.  ``tried`` has (cls, other, last):
+    the last place (unlike, partner) that a class has come to, ``unlike`` being the number of unequal sketch places.
     """
     large = left.where(F.col("n") > ALL_PAIRS)
-    members = few_partitions(large.select("cls", "root").distinct(), rows)
-    members = members.join(groups, F.col("cls") == F.col("node"), "left").select(
-        "cls", "root", F.coalesce("grp", "cls").alias("grp")
-    )
+    members = few_partitions(large.select("cls", "root").distinct(), rows).join(homes, "cls")
     members = cut_lineage(few_partitions(members, rows))
     sizes = members.groupBy("grp", "root").agg(F.count("*").alias("size"))
-    tops = sizes.groupBy("grp").agg(
-        F.max(F.struct("size", "root"))["root"].alias("top"), F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks")
-    )
-    block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    tops = sizes.groupBy("grp").agg(F.max(F.struct("size", "root"))["root"].alias("top"))
     placed = (
         members.join(few_partitions(tops, rows), "grp")
-        .join(sketches, "cls")
-        .select("grp", "cls", "sketch", (F.col("root") == F.col("top")).alias("settled"), "root", block.alias("own"), "blocks")
+        .select("grp", "cls", (F.col("root") == F.col("top")).alias("settled"), "root", "own", "blocks")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "sketch", "settled", "root", "own")
+        .join(tried, ["cls", "other"], "left")
+        .join(sketches, "cls")
+        .select(
+            "grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "sketch", "settled", "root",
+            "own", "other", F.coalesce("last.unlike", F.lit(-1)).alias("unlike"), F.coalesce("last.partner", F.lit(0)).alias("partner"),
+        )
     )
 
     def compare(batch: pa.Table) -> pa.Table:
         batch = batch.sort_by("cls")
-        cls, root, own = (np.asarray(batch.column(c).combine_chunks()) for c in ("cls", "root", "own"))
+        cls, root, own, other, unlike, partner = (
+            np.asarray(batch.column(c).combine_chunks()) for c in ("cls", "root", "own", "other", "unlike", "partner")
+        )
         sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(cls), PLACES)
         across = batch.column("i")[0] != batch.column("j")[0]
-        left, right = [], []
+        found = [[np.empty(0, dtype=np.int64)] for _ in range(4)]
         looking = np.flatnonzero(~np.asarray(batch.column("settled").to_pylist(), dtype=bool))
         for begin in range(0, len(looking), 32):
             mine = looking[begin : begin + 32]
-            alike = (sketch[mine][:, None, :] == sketch[None, :, :]).sum(axis=2)
-            alike[root[mine][:, None] == root[None, :]] = 0
+            apart = (sketch[mine][:, None, :] != sketch[None, :, :]).sum(axis=2)
+            open_ = root[mine][:, None] != root[None, :]
             if across:
-                alike[own[mine][:, None] == own[None, :]] = 0
-            order = np.argsort(-alike, axis=1, kind="stable")[:, PARTNERS * turn : PARTNERS * (turn + 1)]
-            likely = np.take_along_axis(alike, order, axis=1) >= LIKELY * PLACES
-            row, place = np.nonzero(likely)
-            left.append(cls[mine[row]])
-            right.append(cls[order[row, place]])
-        a = np.concatenate(left) if left else np.empty(0, dtype=np.int64)
-        b = np.concatenate(right) if right else np.empty(0, dtype=np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return placed.groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+                open_ &= own[mine][:, None] != own[None, :]
+            last = unlike[mine][:, None]
+            open_ &= (apart > last) | ((apart == last) & (cls[None, :] > partner[mine][:, None]))
+            open_ &= apart <= (1 - LIKELY) * PLACES
+            apart[~open_] = PLACES + 1
+            order = np.argsort(apart, axis=1, kind="stable")[:, :partners]
+            row, place = np.nonzero(np.take_along_axis(open_, order, axis=1))
+            with_ = order[row, place]
+            for column, values in zip(found, (cls[mine[row]], other[mine[row]], cls[with_], apart[row, with_])):
+                column.append(values)
+        columns = [np.concatenate(column) for column in found]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+        return pa.table([pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(columns, kinds)], ["cls", "other", "partner", "unlike"])
+
+    return placed.groupBy("grp", "i", "j").applyInArrow(compare, "cls long, other int, partner long, unlike int")
 
 
 def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -326,6 +345,8 @@ def rooted(docs: DataFrame, threshold: float) -> DataFrame:
     seen = cut_lineage(star_pairs(bands))
     roots = bands.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct()
     roots = merged(roots, verified(seen, texts, threshold))
+    spark = docs.sparkSession
+    tried = spark.createDataFrame([], "cls long, other int, last struct<unlike: int, partner: long>")
     turn = 0
     while True:
         # Bands whose classes are all connected have nothing more to add, and need not be looked at again.
@@ -333,16 +354,22 @@ def rooted(docs: DataFrame, threshold: float) -> DataFrame:
         left = bands.count()
         bands = few_partitions(bands, left)
         if turn == 0:
-            groups = band_groups(bands, left)
-        pairs = closest_pairs(bands, groups, sketches, turn, left)
+            # Blocks stay as they are, so that a class's partners keep their order.
+            homes = block_homes(bands, band_groups(bands, left), left)
+        named = cut_lineage(closest_pairs(bands, homes, sketches, tried, PARTNERS * MORE**turn, left))
+        pairs = named.select(F.least("cls", "partner").alias("a"), F.greatest("cls", "partner").alias("b"))
         if turn == 0:
-            pairs = pairs.union(small_band_pairs(bands)).distinct()
-        pairs = cut_lineage(pairs.join(seen, ["a", "b"], "left_anti"))
+            pairs = pairs.union(small_band_pairs(bands))
+        pairs = cut_lineage(pairs.distinct().join(seen, ["a", "b"], "left_anti"))
         new = cut_lineage(verified(pairs, texts, threshold))
-        if new.isEmpty():
+        if not new.isEmpty():
+            roots = merged(roots, new)
+        # A turn without a link says nothing about the partners that are left; one without a name does.
+        if named.isEmpty():
             break
         seen = seen.union(pairs)
-        roots = merged(roots, new)
+        last = named.groupBy("cls", "other").agg(F.max(F.struct("unlike", "partner")).alias("last"))
+        tried = cut_lineage(few_partitions(tried.union(last).groupBy("cls", "other").agg(F.max("last").alias("last")), left))
         turn += 1
     members = exact.join(roots, F.col("cls") == F.col("node"), "left").select(
         *content, "first_doc", F.coalesce("root", "cls").alias("root")

@@ -144,6 +144,18 @@ def test_a_large_group_of_near_copies(spark):
     assert {frozenset(Counter(g).items()) for g in got.values()} == brute_classes(rows)
 
 
+def test_links_behind_likelier_partners(spark):
+    draw = random.Random(31)
+    text = prose(draw, 400)
+    # Hardly a pair reaches the threshold, but all are likely by signature.
+    rows = [(i, near(draw, text, draw.randrange(6, 8))) for i in range(200)]
+    found = near_dedup.near_classes(docs_of(spark, rows)).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.class_id, []).append(r.doc_id)
+    assert {frozenset(Counter(g).items()) for g in got.values()} == brute_classes(rows)
+
+
 def test_one_row_of_each_class_stays(spark):
     draw = random.Random(6)
     text, other = prose(draw, 80), prose(draw, 80)
