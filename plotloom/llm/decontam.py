@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotloom.llm.arrow_text import text_slices
-from plotloom.llm.rows import rows_by_id
+from plotloom.llm.rows import whole_rows
 
 EDITS = 0.1
 GRAM = 8
@@ -288,7 +288,12 @@ def item_slices(benchmark: DataFrame) -> Iterator[Items]:
 
 def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, end, distance): every passage of a document that is close to an item."""
-    schema = "doc_id long, item_id long, start long, end long, distance int"
+    return keyed_passages(docs, benchmark).drop("text_key")
+
+
+def keyed_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The passages with ``text_key``, the hash of the text that each was found in."""
+    schema = "doc_id long, text_key long, item_id long, start long, end long, distance int"
     spark = docs.sparkSession
     result = spark.createDataFrame([], schema)
     for items in item_slices(benchmark):
@@ -298,20 +303,24 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             items = shared.value
             for part, texts in text_slices(batches, limit=SLICE):
                 rows = []
-                for doc_id, text, passages in zip(part.column(0).to_pylist(), texts, items.search(texts)):
+                ids, keys = part.column("doc_id").to_pylist(), part.column("text_key").to_pylist()
+                for doc_id, key, text, passages in zip(ids, keys, texts, items.search(texts)):
                     for item, start, end, distance in passages:
                         first = len(text[:start].decode(errors="ignore"))
                         size = len(text[start:end].decode(errors="ignore"))
-                        rows.append((doc_id, items.ids[item], first, first + size, distance))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-                names = ["doc_id", "item_id", "start", "end", "distance"]
+                        rows.append((doc_id, key, items.ids[item], first, first + size, distance))
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+                names = ["doc_id", "text_key", "item_id", "start", "end", "distance"]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-        result = result.union(docs.select("doc_id", "text").mapInArrow(search, schema))
+        result = result.union(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(search, schema))
     return result
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any such passage; all columns.  Decisions are by doc_id, null too."""
-    return rows_by_id(docs, find_passages(docs, benchmark).select("doc_id"), "left_anti")
+    """The documents without any such passage; all columns.  Decisions are by doc_id, null too, and text."""
+    hits = keyed_passages(docs, benchmark).select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).distinct()
+    rows = whole_rows(docs, row_id=F.col("doc_id"), row_key=F.xxhash64("text"))
+    same = F.col("row_id").eqNullSafe(F.col("hit_id")) & (F.col("row_key") == F.col("hit_key"))
+    return rows.join(hits, same, "left_anti").select("row.*")

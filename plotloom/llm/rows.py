@@ -1,4 +1,4 @@
-"""Joining whole rows by doc_id, whatever other columns the rows have."""
+"""Whole rows beside keys to join them by, whatever other columns the rows have."""
 
 from __future__ import annotations
 
@@ -10,9 +10,3 @@ def whole_rows(docs: DataFrame, **keys: Column) -> DataFrame:
     """Every row as one struct column ``row``, beside the named keys."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     return docs.select(row, *[value.alias(name) for name, value in keys.items()])
-
-
-def rows_by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The rows whose doc_id is (``left_semi``) or is not (``left_anti``) in the one column of ``ids``; null is a value."""
-    hits = ids.toDF("hit_id").distinct()
-    return whole_rows(docs, row_id=F.col("doc_id")).join(hits, F.col("row_id").eqNullSafe(F.col("hit_id")), how).select("row.*")

@@ -211,6 +211,14 @@ def test_decontamination_of_empty_tables(spark):
     assert decontam.find_passages(docs_of(spark, []), items).count() == 0
 
 
+def test_other_texts_of_a_contaminated_id_stay(spark):
+    item = prose(random.Random(8), 20)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"so {item}"), (None, "another"), (None, None), (7, item), (7, "clean"), (8, "clean")]
+    kept = decontam.drop_contaminated(with_clashes(docs_of(spark, rows)), items)
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {rows[1], rows[2], rows[4], rows[5]}
+
+
 def test_short_items_are_searched_exactly(spark):
     items = spark.createDataFrame([(1, "tiny")], "item_id long, text string")
     found = decontam.find_passages(docs_of(spark, [(1, "a tiny, tiny text"), (2, "tinx")]), items)
