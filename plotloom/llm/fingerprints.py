@@ -6,8 +6,9 @@ hash); all of them are computed in numpy, batch by batch.  Two signatures agree
 the Jaccard similarity of the shingle sets as probability, so the share of equal places is their likeness.
 
 ``fingerprints`` gives signatures, ``similar_pairs`` joins signature bands in Spark and keeps the
-pairs whose exact Jaccard similarity reaches the threshold, and ``with_edits`` compares every text
-with an edited version of itself and with its neighbour by descending doc_id.
+pairs whose exact Jaccard similarity reaches the threshold, ``near_groups`` connects all rows by such
+pairs, ``with_edits`` compares every text with an edited version of itself and with its neighbour by
+descending doc_id, and ``with_groups`` adds each row's group to that.
 
 Defined results: null counts as the empty text.  A text without words has the signature of
 no shingle (all places at their greatest value); two such texts are equal (likeness 1), and
@@ -19,16 +20,18 @@ one document, that document is its own neighbour.  Further columns are not read.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plotloom.llm.arrow_text import text_slices
-from plotloom.llm.words import batch_shingles
+from plotloom.llm.arrow_text import SLICE_BYTES, text_slices
+from plotloom.llm.near_dedup import linked, shared_bands
+from plotloom.llm.words import batch_shingles, mix
 from plotloom.operators.sizing import cut_lineage
 from plotloom.session import shuffle_partitions
 
@@ -106,45 +109,106 @@ def _jaccard(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return out
 
 
+def _banded_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, texts in text_slices(batches):
+        found = signatures(*batch_shingles(texts))
+        grouped = found.astype(np.uint64).reshape(len(found), -1, BAND_ROWS)
+        keys = np.broadcast_to(np.arange(1, grouped.shape[1] + 1, dtype=np.uint64), grouped.shape[:2])
+        for j in range(BAND_ROWS):
+            keys = mix(keys ^ grouped[:, :, j]) + np.uint64(j)
+        offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * grouped.shape[1])
+        bands = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(keys).reshape(-1).view(np.int64)))
+        whole = pa.array([row.tobytes() for row in found.astype(">u4")], pa.binary())
+        sketch = pa.array([row.tobytes() for row in found.astype(np.uint8)], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), part.column("text_key"), whole, bands, sketch],
+            ["doc_id", "text_key", "signature", "bands", "sketch"],
+        )
+
+
+def _deflated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, texts in text_slices(batches):
+        packed = pa.array([zlib.compress(t, 1) for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([part.column("cls"), packed], ["cls", "text"])
+
+
+def signature_class(signature: Column) -> Column:
+    return F.xxhash64(signature)
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, text_key, cls), and of the classes (cls, doc_id, sketch), shared bands and deflated texts.
+
+    Rows of one signature are a class, named by its least doc_id, so copies are never expanded.
+    """
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    schema = "doc_id long, text_key long, signature binary, bands array<long>, sketch binary"
+    signed = keyed.mapInArrow(_banded_batches, schema).withColumn("cls", signature_class(F.col("signature")))
+    signed = cut_lineage(signed.drop("signature"))
+    # Nulls are the least: they take the place before all numbers.
+    least = F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_key"))
+    exact = signed.groupBy("cls").agg(least.alias("least"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    exact = cut_lineage(exact.select("cls", "least.doc_id", "least.text_key", "bands", "sketch"))
+    bands = shared_bands(exact.select("cls", F.explode("bands").alias("band")))
+    used = exact.join(bands.select("cls").distinct(), "cls").select("cls", F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))
+    texts = keyed.join(used, same).select("cls", "text").mapInArrow(_deflated, "cls long, text binary")
+    texts = cut_lineage(texts.groupBy("cls").agg(F.min("text").alias("text")))
+    return signed.select("doc_id", "text_key", "cls"), exact.select("cls", "doc_id", "sketch"), bands, texts
+
+
 def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(members, pairs): membership of signature classes, and verified pairs of classes.
 
-    Documents of one signature are a class, named by its least doc_id, so copies are never
-    expanded.  The classes of a band are each paired with the least class of that band; since
-    the bands differ, so do the centres a class meets.  ``pairs`` has (a, b, similarity).
+    ``members`` has (doc_id, text_key, class_id).  All pairs of classes that share a band are verified;
+    ``pairs`` has (a, b, similarity), the lesser class first.
     """
-    signed = cut_lineage(fingerprints(docs.where("doc_id is not null")))
-    classes = signed.groupBy("signature").agg(F.min("doc_id").alias("class_id"))
-    members = signed.join(classes, "signature").select("doc_id", "class_id")
-    bands = classes.select(
-        "class_id",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(PERMUTATIONS - BAND_ROWS), F.lit(BAND_ROWS)),
-                lambda i: F.xxhash64(F.slice("signature", i + 1, BAND_ROWS)),
-            )
-        ).alias("place", "band"),
-    )
-    centres = bands.groupBy("place", "band").agg(F.min("class_id").alias("a"), F.max("class_id").alias("z"))
+    signed, exact, bands, texts = _classes(docs)
+    names = exact.select("cls", F.col("doc_id").alias("class_id"))
     pairs = (
-        bands.join(centres.where("a < z"), ["place", "band"])
-        .where("class_id > a")
-        .select("a", F.col("class_id").alias("b"))
+        bands.alias("x")
+        .join(bands.alias("y"), "band")
+        .where("x.cls < y.cls")
+        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
         .distinct()
     )
-    texts = docs.select("doc_id", "text").dropDuplicates(["doc_id"])
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
+    left = texts.join(names, "cls").select(F.col("cls").alias("a"), F.col("text").alias("left"), F.col("class_id").alias("p"))
+    right = texts.join(names, "cls").select(F.col("cls").alias("b"), F.col("text").alias("right"), F.col("class_id").alias("q"))
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, lefts in text_slices(batches, "left"):
-            rights = [v or b"" for v in part.column(3).cast(pa.large_binary()).to_pylist()]
-            found = _jaccard(lefts, rights)
-            kept = part.select([0, 1]).append_column("similarity", pa.array(found))
+        for part, lefts in text_slices(batches, "left", SLICE_BYTES // 4):
+            rights = part.column("right").to_pylist()
+            found = _jaccard([zlib.decompress(t) for t in lefts], [zlib.decompress(t) for t in rights])
+            kept = part.select(["p", "q"]).append_column("similarity", pa.array(found))
             yield kept.filter(pa.array(found >= threshold))
 
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return members, both.mapInArrow(verify, "a long, b long, similarity double")
+    both = pairs.join(left, "a").join(right, "b").select("p", "q", "left", "right")
+    found = both.mapInArrow(verify, "p long, q long, similarity double")
+    lesser = F.col("p").isNull() | (F.col("q").isNotNull() & (F.col("p") <= F.col("q")))
+    pairs = found.select(
+        F.when(lesser, F.col("p")).otherwise(F.col("q")).alias("a"),
+        F.when(lesser, F.col("q")).otherwise(F.col("p")).alias("b"),
+        "similarity",
+    )
+    return signed.join(names, "cls").select("doc_id", "text_key", "class_id"), pairs
+
+
+def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(cls, group_id): each signature class, and the least doc_id that verified pairs connect it with."""
+    _, exact, bands, texts = _classes(docs)
+    sketches = cut_lineage(exact.join(bands.select("cls").distinct(), "cls").select("cls", "sketch"))
+    roots = linked(bands, sketches, texts, threshold, _jaccard)
+    placed = exact.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
+    least = F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("least")
+    groups = placed.groupBy("root").agg(least).select("root", F.col("least.doc_id").alias("group_id"))
+    return placed.join(groups, "root").select("cls", "group_id")
+
+
+def with_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``with_edits``, and as ``group_id`` the least doc_id of the rows that each is connected with."""
+    rows = with_edits(docs)
+    found = rows.withColumn("cls", signature_class(F.unhex("fingerprint"))).join(near_groups(docs, threshold), "cls")
+    return found.select(*rows.columns, "group_id")
 
 
 def edited(text: str, following: str) -> str:

@@ -27,7 +27,7 @@ doc_id in the class.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -168,7 +168,7 @@ def overlap(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return np.where(union > 0, common / np.maximum(union, 1), 1.0)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float, alike: Callable = overlap) -> DataFrame:
     """The pairs (a, b) whose texts overlap enough; texts has (cls, text), the text deflated.
 
     Both joins are by class; a class that is the centre of very many pairs is a hot key
@@ -183,7 +183,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, lefts in text_slices(batches, "left", SLICE_BYTES // 4):
             rights = part.column(3).to_pylist()
-            found = overlap([zlib.decompress(t) for t in lefts], [zlib.decompress(t) for t in rights])
+            found = alike([zlib.decompress(t) for t in lefts], [zlib.decompress(t) for t in rights])
             yield part.select([0, 1]).filter(pa.array(found >= threshold))
 
     return both.mapInArrow(check, "a long, b long")
@@ -275,7 +275,8 @@ def closest_pairs(
         cls, root, own, other, unlike, partner = (
             np.asarray(batch.column(c).combine_chunks()) for c in ("cls", "root", "own", "other", "unlike", "partner")
         )
-        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(cls), PLACES)
+        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(cls), -1)
+        places = sketch.shape[1]
         across = batch.column("i")[0] != batch.column("j")[0]
         found = [[np.empty(0, dtype=np.int64)] for _ in range(4)]
         looking = np.flatnonzero(~np.asarray(batch.column("settled").to_pylist(), dtype=bool))
@@ -287,8 +288,8 @@ def closest_pairs(
                 open_ &= own[mine][:, None] != own[None, :]
             last = unlike[mine][:, None]
             open_ &= (apart > last) | ((apart == last) & (cls[None, :] > partner[mine][:, None]))
-            open_ &= apart <= (1 - LIKELY) * PLACES
-            apart[~open_] = PLACES + 1
+            open_ &= apart <= (1 - LIKELY) * places
+            apart[~open_] = places + 1
             order = np.argsort(apart, axis=1, kind="stable")[:, :partners]
             row, place = np.nonzero(np.take_along_axis(open_, order, axis=1))
             with_ = order[row, place]
@@ -311,6 +312,50 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return cut_lineage(roots.join(joined, "root", "left").select("node", F.coalesce("new", "root").alias("root")))
 
 
+def shared_bands(bands: DataFrame) -> DataFrame:
+    """The bands (cls, band) that several classes have."""
+    shared = bands.groupBy("band").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a < z").select("band")
+    return cut_lineage(bands.join(shared, "band"))
+
+
+def linked(
+    bands: DataFrame, sketches: DataFrame, texts: DataFrame, threshold: float, alike: Callable = overlap
+) -> DataFrame:
+    """(node, root): the components of classes that share bands (cls, band) and are alike enough.
+
+    ``sketches`` has (cls, sketch) and ``texts`` (cls, text), the text deflated.
+    """
+    seen = cut_lineage(star_pairs(bands))
+    roots = bands.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct()
+    roots = merged(roots, verified(seen, texts, threshold, alike))
+    tried = bands.sparkSession.createDataFrame([], "cls long, other int, last struct<unlike: int, partner: long>")
+    turn = 0
+    while True:
+        # Bands whose classes are all connected have nothing more to add, and need not be looked at again.
+        bands = cut_lineage(unsettled(bands, roots, first=turn == 0))
+        left = bands.count()
+        bands = few_partitions(bands, left)
+        if turn == 0:
+            # Blocks stay as they are, so that a class's partners keep their order.
+            homes = block_homes(bands, band_groups(bands, left), left)
+        named = cut_lineage(closest_pairs(bands, homes, sketches, tried, PARTNERS * MORE**turn, left))
+        pairs = named.select(F.least("cls", "partner").alias("a"), F.greatest("cls", "partner").alias("b"))
+        if turn == 0:
+            pairs = pairs.union(small_band_pairs(bands))
+        pairs = cut_lineage(pairs.distinct().join(seen, ["a", "b"], "left_anti"))
+        new = cut_lineage(verified(pairs, texts, threshold, alike))
+        if not new.isEmpty():
+            roots = merged(roots, new)
+        # A turn without a link says nothing about the partners that are left; one without a name does.
+        if named.isEmpty():
+            break
+        seen = seen.union(pairs)
+        last = named.groupBy("cls", "other").agg(F.max(F.struct("unlike", "partner")).alias("last"))
+        tried = cut_lineage(few_partitions(tried.union(last).groupBy("cls", "other").agg(F.max("last").alias("last")), left))
+        turn += 1
+    return roots
+
+
 def rooted(docs: DataFrame, threshold: float) -> DataFrame:
     """(doc_id, text_key, first_doc, root): every row's class, and the least document of the same multiset."""
     signed = cut_lineage(signatures(docs))
@@ -331,8 +376,7 @@ def rooted(docs: DataFrame, threshold: float) -> DataFrame:
         )
     )
     bands = exact.where(~F.col("empty")).select("cls", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a < z").select("band")
-    bands = cut_lineage(bands.join(shared, "band"))
+    bands = shared_bands(bands)
     source = exact.join(bands.select("cls").distinct(), "cls").select("cls", "first_doc")
     # By id first, then by content, as an id may have several texts.
     texts = docs.select("doc_id", "text").join(
@@ -342,35 +386,7 @@ def rooted(docs: DataFrame, threshold: float) -> DataFrame:
     texts = texts.select(F.xxhash64(*content).alias("cls"), "text").join(source.select("cls"), "cls")
     sketches = cut_lineage(exact.join(bands.select("cls").distinct(), "cls").select("cls", "sketch"))
     texts = cut_lineage(texts.groupBy("cls").agg(F.min("text").alias("text")))
-    seen = cut_lineage(star_pairs(bands))
-    roots = bands.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct()
-    roots = merged(roots, verified(seen, texts, threshold))
-    spark = docs.sparkSession
-    tried = spark.createDataFrame([], "cls long, other int, last struct<unlike: int, partner: long>")
-    turn = 0
-    while True:
-        # Bands whose classes are all connected have nothing more to add, and need not be looked at again.
-        bands = cut_lineage(unsettled(bands, roots, first=turn == 0))
-        left = bands.count()
-        bands = few_partitions(bands, left)
-        if turn == 0:
-            # Blocks stay as they are, so that a class's partners keep their order.
-            homes = block_homes(bands, band_groups(bands, left), left)
-        named = cut_lineage(closest_pairs(bands, homes, sketches, tried, PARTNERS * MORE**turn, left))
-        pairs = named.select(F.least("cls", "partner").alias("a"), F.greatest("cls", "partner").alias("b"))
-        if turn == 0:
-            pairs = pairs.union(small_band_pairs(bands))
-        pairs = cut_lineage(pairs.distinct().join(seen, ["a", "b"], "left_anti"))
-        new = cut_lineage(verified(pairs, texts, threshold))
-        if not new.isEmpty():
-            roots = merged(roots, new)
-        # A turn without a link says nothing about the partners that are left; one without a name does.
-        if named.isEmpty():
-            break
-        seen = seen.union(pairs)
-        last = named.groupBy("cls", "other").agg(F.max(F.struct("unlike", "partner")).alias("last"))
-        tried = cut_lineage(few_partitions(tried.union(last).groupBy("cls", "other").agg(F.max("last").alias("last")), left))
-        turn += 1
+    roots = linked(bands, sketches, texts, threshold)
     members = exact.join(roots, F.col("cls") == F.col("node"), "left").select(
         *content, "first_doc", F.coalesce("root", "cls").alias("root")
     )

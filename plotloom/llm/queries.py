@@ -77,7 +77,8 @@ def op8_near_dedup(spark, folder):
 
 @query("op7_fingerprints")
 def op7_fingerprints(spark, folder):
-    return fingerprints.with_edits(table(spark, folder, "documents"))
+    """Every row beside its edited and its next text, with the group of similar rows that it is in."""
+    return fingerprints.with_groups(table(spark, folder, "documents"))
 
 
 @query("op3_byte_bpe")

@@ -224,3 +224,31 @@ def test_similar_pairs(spark):
     expected = {(i, 100 + i): set_jaccard(base[i], rows[20 + i][1]) for i in range(20)}
     assert set(got) == {p for p, s in expected.items() if s >= 0.8}
     assert all(abs(got[p] - expected[p]) < 1e-12 for p in got)
+
+
+def test_similar_rows_beside_an_unlike_least_class(spark):
+    draw = random.Random(12)
+    text = prose(draw, 400)
+    rows = [(i, near(draw, text, draw.randrange(6, 9))) for i in range(1, 60)]
+    rows += [(None, near(draw, rows[0][1], 1)), (5, near(draw, rows[1][1], 1)), (70, rows[0][1]), (80, None), (81, "")]
+    sets = [set(shingles(t)) for _, t in rows]
+    parent = list(range(len(rows)))
+    expected = set()
+    for x in range(len(rows)):
+        for y in range(x):
+            union = sets[x] | sets[y]
+            if not union or len(sets[x] & sets[y]) / len(union) >= 0.8:
+                old, new = max(parent[x], parent[y]), min(parent[x], parent[y])
+                parent = [new if p == old else p for p in parent]
+                if sets[x] != sets[y]:
+                    expected.add(frozenset((rows[x], rows[y])))
+    least = {}
+    for (doc_id, _), p in zip(rows, parent):
+        least[p] = min(least.get(p, doc_id), doc_id, key=lambda v: -1 if v is None else v) if p in least else doc_id
+    docs = docs_of(spark, rows)
+    found = Counter((r.doc_id, r.n_chars, r.group_id) for r in fingerprints.with_groups(docs).collect())
+    assert found == Counter((i, len(t or ""), least[p]) for (i, t), p in zip(rows, parent))
+    pairs = Counter(tuple(sorted((r.a, r.b), key=str)) for r in fingerprints.similar_pairs(docs)[1].collect())
+    # The copy of the first row is of its class.
+    named = [tuple(sorted((i for i, _ in pair), key=str)) for pair in expected if 70 not in {i for i, _ in pair}]
+    assert pairs == Counter(named)
