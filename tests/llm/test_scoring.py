@@ -157,6 +157,23 @@ def test_baum_welch_never_gets_worse(small_model):
         before, model = likelihood, hidden_markov.improved(*counts, shares)
 
 
+def test_training_goes_on_until_the_likelihood_settles(spark):
+    draw = np.random.default_rng(3)
+    rows = []
+    for _ in range(900):
+        # Runs of two kinds of symbols, so that there are states to be found.
+        kind = np.repeat(draw.integers(0, 2, 12), 5)
+        rows.append((bytearray((kind * 300 + draw.integers(0, 300, 60)).astype("<u2").tobytes()),))
+    sequences = spark.createDataFrame(rows, "symbols binary").repartition(3)
+    counts = np.bincount(np.concatenate([np.frombuffer(r[0], "<u2") for r in rows]), minlength=hidden_markov.SYMBOLS)
+    shares = (counts + 0.5) / (counts + 0.5).sum()
+    model = hidden_markov.train(sequences, shares)
+    every = [np.frombuffer(r[0], "<u2") for r in rows]
+    *found, likelihood = hidden_markov.expected_counts(every, model)
+    after = hidden_markov.expected_counts(every, hidden_markov.improved(*found, shares))[-1]
+    assert after - likelihood <= 2e-5 * abs(likelihood)
+
+
 def test_long_sequences_do_not_underflow():
     model = hidden_markov.random_model(np.full(hidden_markov.SYMBOLS, 1 / hidden_markov.SYMBOLS))
     value = hidden_markov.log_likelihoods([np.zeros(50000, dtype=np.int64), np.array([1])], model)
