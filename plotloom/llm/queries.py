@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plotloom.llm import bpe, chat, decontam, fingerprints, hidden_markov, lines, near_dedup, quality, secret_scan, toxicity
+from plotloom.llm import license_queries, trie_queries, vector_queries  # noqa: F401  (they register theirs)
 from plotloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
