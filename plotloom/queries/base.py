@@ -57,12 +57,17 @@ FILE_SQL = (
 )
 
 
-def trial_sheet(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem")
+def file_name() -> Column:
+    """The sheet that a line item stands in."""
     site = F.when(F.col("l_linestatus") == "F", "GES").otherwise("Obregon")
     kind = F.when(F.col("l_returnflag") == "A", "Harvest").when(F.col("l_returnflag") == "N", "Lidar").otherwise("Q2")
     season = (F.year("l_shipdate") + 18).cast("string")
-    file = F.concat(season, F.lit("_"), site, F.lit("_trial_"), kind, F.lit(".csv"))
+    return F.concat(season, F.lit("_"), site, F.lit("_trial_"), kind, F.lit(".csv"))
+
+
+def trial_sheet(spark: SparkSession, folder: str) -> DataFrame:
+    lines = table(spark, folder, "lineitem")
+    file = file_name()
     return lines.select(
         file.alias("file"),
         F.struct(file.alias("f"), (-F.col("l_orderkey")).alias("a"), (-F.col("l_linenumber")).alias("b")).alias("place"),

@@ -36,6 +36,11 @@ def files(spark, folder):
     return S.discover(spark, folder)
 
 
+@pytest.fixture(scope="module")
+def lines(spark, folder):
+    return S.scan(spark, folder)
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     make = spark.createDataFrame
@@ -71,14 +76,14 @@ def after(table, result):
     return cut_lineage(table.unionByName(result.new_rows, allowMissingColumns=True))
 
 
-def test_discovery_and_reading(spark, folder, files):
-    assert files.count() == 7
-    plots = S.read_columns(of_type(files, TRIAL_TYPES), ["ID", "Panel"])
+def test_discovery_and_reading(spark, folder, lines):
+    assert S.discover(spark, folder).count() == 7
+    plots = S.read_columns(of_type(lines, TRIAL_TYPES), ["ID", "Panel"])
     assert rows(plots, "ID", "Panel") == {("IW_P1", "A"), ("IW_P2", "A"), ("IW,P3", "B"), ("IW_P1", "B"), ("Name4", "C"), ("IW_P1", "C")}
-    cells = S.read_long(of_type(files, TRIAL_TYPES), ["ID"])
+    cells = S.read_long(of_type(lines, TRIAL_TYPES), ["ID"])
     assert ("IW_P1", "height_cm", "71") in rows(cells, "ID", "name", "value")
     assert cells.where("name = 'yield_kg_1'").count() == 1 and cells.where("value = 'NaN'").count() == 0
-    geno = S.read_columns(of_type(files, GENOTYPE_TYPES), ["AlleleID", "SnpPosition"], skip=5)
+    geno = S.read_columns(of_type(lines, GENOTYPE_TYPES), ["AlleleID", "SnpPosition"], skip=5)
     assert rows(geno, "AlleleID", "SnpPosition") == {("m1", "5"), ("m2", None), ("*a", "1")}
     key = S.read_sheet(spark, f"{folder}/Phenotypes_README.csv")
     assert key.columns == ["short_name", "name", "Description"] and key.count() == 3
@@ -86,9 +91,9 @@ def test_discovery_and_reading(spark, folder, files):
         S.read_sheet(spark, f"{folder}/*_Harvest.csv")
 
 
-def test_plain_read_would_mix_columns(spark, folder, files):
+def test_plain_read_would_mix_columns(spark, folder, lines):
     """Why the headers are read first: by position, one file's height lands under another's panel."""
-    cells = S.read_long(of_type(files, ["Harvest"]), ["ID"])
+    cells = S.read_long(of_type(lines, ["Harvest"]), ["ID"])
     assert rows(cells.where("ID = 'IW,P3'"), "name", "value") == {("height_cm", "70"), ("Panel", "B"), ("unknown_x", '1 "a"')}
 
 
@@ -97,7 +102,7 @@ def test_large_file_drops_its_preamble_once(spark, tmp_path):
     (tmp_path / "2016_x_y_GBS.csv").write_text("p\nm1,1\nAlleleID,pos\n" + "\n".join(lines) + "\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", 200_000)
     try:
-        read = S.read_columns(S.discover(spark, str(tmp_path)), ["AlleleID", "pos"], skip=2)
+        read = S.read_columns(S.scan(spark, str(tmp_path)), ["AlleleID", "pos"], skip=2)
         assert read.count() == 200_000
         assert read.agg(F.sum(F.col("pos").cast("long"))).first()[0] == sum(range(200_000))
         placed = read.select("pos", F.row_number().over(__import__("pyspark").sql.Window.orderBy("order")).alias("n"))
@@ -106,9 +111,9 @@ def test_large_file_drops_its_preamble_once(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_marker_loads(files, tables):
+def test_marker_loads(lines, tables):
     geno = S.read_columns(
-        of_type(files, GENOTYPE_TYPES), ["AlleleID", T.CHROMOSOME, T.POSITION, "SNP", T.OFFSET], skip=5
+        of_type(lines, GENOTYPE_TYPES), ["AlleleID", T.CHROMOSOME, T.POSITION, "SNP", T.OFFSET], skip=5
     ).withColumns({c: F.col(c).try_cast("int") for c in (T.POSITION, T.OFFSET)})
     first = T.load_markers(geno, tables)
     assert rows(first.new_rows, "marker_name") == {("m1",), ("*a",)} and {r["id"] for r in first.new_rows.collect()} == {2, 3}
@@ -122,8 +127,8 @@ def test_marker_loads(files, tables):
     assert T.load_marker_members(geno, known).new_rows.count() == 3
 
 
-def test_group_loads(files, tables):
-    plots = S.later_first(S.read_columns(of_type(files, TRIAL_TYPES), ["ID", "Panel"]))
+def test_group_loads(lines, tables):
+    plots = S.later_first(S.read_columns(of_type(lines, TRIAL_TYPES), ["ID", "Panel"]))
     panels = T.load_panel_groups(plots, tables)
     assert rows(panels.new_rows, "id", "name") <= {(2, "B"), (3, "B"), (2, "C"), (3, "C")} and panels.new_rows.count() == 2
     known = {**tables, "groups": after(tables["groups"], panels)}
@@ -138,16 +143,16 @@ def test_group_loads(files, tables):
     assert T.load_site_members(plots, known, ["foreign_id"]).new_rows.count() == 1
 
 
-def test_entity_refresh_prefers_the_last_file(files, tables):
-    plots = S.later_first(S.read_columns(of_type(files, TRIAL_TYPES), ["ID", "Panel"]))
+def test_entity_refresh_prefers_the_last_file(lines, tables):
+    plots = S.later_first(S.read_columns(of_type(lines, TRIAL_TYPES), ["ID", "Panel"]))
     found = T.refresh_entities(plots, tables)
     assert {r["id"]: (r["location_id"], r["institution_id"]) for r in found.collect()} == {
         1: (2, 1), 2: (1, 1), 4: (2, 1), 5: (None, None), 6: (None, None),
     }
 
 
-def test_experiments_and_datasets(files, tables):
-    compounds = S.read_long(of_type(files, COMPOUND_TYPES), ["compound", "experiment_name"], drop_nulls=False)
+def test_experiments_and_datasets(files, lines, tables):
+    compounds = S.read_long(of_type(lines, COMPOUND_TYPES), ["compound", "experiment_name"], drop_nulls=False)
     made = T.load_compound_experiments(S.later_first(compounds), tables)
     assert rows(made.new_rows, "experiment_name", "description", "experiment_type_id") == {
         ("IW_E0023", "GES18_trial Proteomics-peptide", 6)
@@ -167,9 +172,9 @@ def test_experiments_and_datasets(files, tables):
     assert T.load_dataset_members(empty).new_rows.count() == 4
 
 
-def test_compound_loads(files, tables):
-    cells = S.read_long(of_type(files, COMPOUND_TYPES), ["compound", "experiment_name"])
-    sheet = S.read_columns(of_type(files, COMPOUND_TYPES), ["compound"])
+def test_compound_loads(files, lines, tables):
+    cells = S.read_long(of_type(lines, COMPOUND_TYPES), ["compound", "experiment_name"])
+    sheet = S.read_columns(of_type(lines, COMPOUND_TYPES), ["compound"])
     made = T.load_compounds(sheet.select("file", "compound"), tables)
     assert rows(made.new_rows, "name", "compound_class", "description") == {
         ("pep2", "peptide", "Proteomics"), ("met", "metabolite", "Metabolomics")
@@ -182,9 +187,9 @@ def test_compound_loads(files, tables):
     assert T.load_compound_data(cells, known).new_rows.count() == 0
 
 
-def test_phenotype_loads(spark, folder, files, tables):
+def test_phenotype_loads(spark, folder, files, lines, tables):
     key = S.read_sheet(spark, f"{folder}/Phenotypes_README.csv")
-    cells = S.read_long(of_type(files, TRIAL_TYPES), ["ID"])
+    cells = S.read_long(of_type(lines, TRIAL_TYPES), ["ID"])
     unit_file = spark.createDataFrame([("kg", "kilogram", "mass")], "unit_abbreviation string, unit_name string, unit_description string")
     units = T.load_units(cells, key, unit_file, tables)
     assert rows(units.new_rows, "unit_abbreviation", "unit_name") == {("kg", "kilogram"), ("cm", None)}
