@@ -228,15 +228,16 @@ def load_compounds(sheet_rows: DataFrame, tables: Tables) -> LoadResult:
 COMPOUND_KEY = ("compound_id", "germinatebase_id", "dataset_id")
 
 
-def load_compound_data(cells: DataFrame, tables: Tables, keys: Sequence[str] = COMPOUND_KEY) -> LoadResult:
+def load_compound_data(
+    cells: DataFrame, tables: Tables, keys: Sequence[str] = COMPOUND_KEY, files: DataFrame | None = None
+) -> LoadResult:
     """Values from (file, compound, name = sample id, value) without empty cells.
 
-    The data set is found once per file.
+    The data set is found once per file (``files``: file; taken from the cells when not given).
     """
-    files = dataset_key(file_name_parts(cells.select("file").distinct())).withColumn(
-        "description", glue("description", "datatype", separator=" ")
-    )
-    known = lookup(files, tables["datasets"], "description", "description", {"dataset_id": "id"}, ["id"])
+    names = (cells if files is None else files).select("file").distinct()
+    parts = dataset_key(file_name_parts(names)).withColumn("description", glue("description", "datatype", separator=" "))
+    known = lookup(parts, tables["datasets"], "description", "description", {"dataset_id": "id"}, ["id"])
     described = cells.select(
         "file", "compound", F.col("name").alias("sample_id"), F.col("value").try_cast("double").alias("compound_value")
     ).join(broadcast_if_small(known.select("file", "dataset_id")), "file")
@@ -312,9 +313,9 @@ def load_phenotype_data(
 ) -> LoadResult:
     """Values from (file, ID, name = trait header, value) without empty cells.
 
-    Names are split and looked up once per file and header (``headers``: file, name; taken
-    from the cells when not given), so a cell costs one join for all of that and one for
-    its entity.
+    Names are split and looked up once per file and header, so a cell costs one join for all of
+    that and one for its entity.  With ``headers`` (file, name), such as ``sheets.headers``
+    gives, the cells are read once; else also for their headers.
     """
     pairs = (cells if headers is None else headers).select("file", "name").distinct()
     resolved = broadcast_if_small(resolve_headers(pairs, key_file, tables))

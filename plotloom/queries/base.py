@@ -89,6 +89,12 @@ def trial_cells(sheet: DataFrame) -> DataFrame:
     return to_long(sheet, ["file", "ID", "l_shipdate"], list(TRAITS), "name", "value", drop_nulls=True)
 
 
+def trial_headers(sheet: DataFrame) -> DataFrame:
+    """(file, name) of every header, from the files' names alone."""
+    names = F.array(*[F.lit(name) for name in TRAITS])
+    return sheet.select("file").distinct().select("file", F.explode(names).alias("name"))
+
+
 CELLS_SQL = """cells as (
   unpivot (select file, "ID", l_shipdate, yield_kg_m1, price_usd, share_pct_m2, tax_pct from trial)
   on yield_kg_m1, price_usd, share_pct_m2, tax_pct into name name value value)"""

@@ -26,6 +26,7 @@ from plotloom.queries.base import (
     query,
     table,
     trial_cells,
+    trial_headers,
     trial_sheet,
 )
 
@@ -77,11 +78,12 @@ def trait_load(spark, folder):
     }
     empty = "phenotype_id int, germinatebase_id int, dataset_id int"
     tables["phenotypedata"] = literal(spark, [], empty)
-    cells = trial_cells(trial_sheet(spark, folder))
+    sheet = trial_sheet(spark, folder)
+    cells, headers = trial_cells(sheet), trial_headers(sheet)
     earlier = cells.where(F.col("l_shipdate") < F.lit(LOADED_BEFORE).cast("timestamp_ntz"))
-    stored = load_phenotype_data(earlier, key_file(spark), tables).new_rows
+    stored = load_phenotype_data(earlier, key_file(spark), tables, headers=headers).new_rows
     tables["phenotypedata"] = stored.select("phenotype_id", "germinatebase_id", "dataset_id")
-    new = load_phenotype_data(cells, key_file(spark), tables).new_rows
+    new = load_phenotype_data(cells, key_file(spark), tables, headers=headers).new_rows
     return new.withColumn("phenotype_value", F.col("phenotype_value").cast("double"))
 
 

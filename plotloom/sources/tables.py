@@ -54,7 +54,8 @@ def update_column(target: DataFrame, updates: DataFrame, key: str, column: str)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").option("header", True).csv(path)
+    """CSV with a header; quotes inside quoted cells are doubled, as the sheet reader expects them."""
+    df.write.mode("errorifexists").options(header=True, escape='"').csv(path)
 
 
 def verify_load(spark: SparkSession, path: str) -> DataFrame:
