@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plotloom.functions.scalar import even_steps, finite, standard_normal
+from plotloom.growth.draws import Draws, quantiles
 from plotloom.growth.models import (
     MODELS,
     NumpyMath,
@@ -26,8 +26,8 @@ from plotloom.operators.numbering import hash_bucket, number_distinct
 from plotloom.session import shuffle_partitions
 
 METRICS = ["M", "AGR", "RGRt", "RGRm"]
-# (draw, time) cells computed at once by one task.
-CELLS = 2_000_000
+# Steps of a curve that one task computes for one group.
+STEPS = 25
 DIFFERENCES = ["diffM", "diffAGR", "diffRGRt", "diffRGRm"]
 
 
@@ -105,44 +105,63 @@ def parameter_draws(
     return spread.select(*keys, "draw", *[value.alias(name) for name, value in natural.items()])
 
 
-def _quantiles(values: np.ndarray, alpha: float) -> np.ndarray:
-    """Lower and upper quantile over the first axis, missing values left out."""
-    ends = [alpha / 2, 1 - alpha / 2]
-    if not np.isnan(values).any():
-        return np.quantile(values, ends, axis=0)
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore", RuntimeWarning)  # a point without any value stays missing
-        return np.nanquantile(values, ends, axis=0)
+def _interval_schema(df: DataFrame, keys: Sequence[str], position: Sequence[T.StructField], values: Sequence[str]) -> T.StructType:
+    fields = [df.schema[key] for key in keys] + list(position)
+    return T.StructType(fields + [T.StructField(f"{v}_{end}", T.DoubleType()) for v in values for end in ("lo", "hi")])
 
 
-def _blocks(count: int, draws: int) -> Iterator[slice]:
-    size = max(1, CELLS // max(draws, 1))
-    return (slice(begin, min(begin + size, count)) for begin in range(0, count, size))
+def _group_text(seed: str, keys: Sequence[Column]) -> Column:
+    """What a group's draws are made from besides their number."""
+    return F.concat_ws("|", F.lit(seed), *[key.cast("string") for key in keys])
 
 
-def _packed_draws(draws: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """One array per parameter and group; a group holds as many draws as were asked for."""
-    arrays = [F.collect_list(F.coalesce(F.col(n), F.lit(float("nan")))).alias(n) for n in names]
-    grouped = draws.groupBy(*keys).agg(*arrays)
-    return grouped.repartition(shuffle_partitions(draws.sparkSession), *keys)
+def _in_parts(rows: DataFrame, count: int, by: Sequence[str]) -> DataFrame:
+    """Every row once per ``STEPS`` steps of its curve, dealt out to the tasks: the only exchange."""
+    parts = F.sequence(F.lit(0), F.lit((count - 1) // STEPS))
+    return rows.withColumn("__part", F.explode(parts)).repartition(shuffle_partitions(rows.sparkSession), *by, "__part")
 
 
-def _interval_schema(df: DataFrame, keys: Sequence[str], position: T.StructField, values: Sequence[str]) -> T.StructType:
-    fields = [df.schema[key] for key in keys] + [position]
-    return T.StructType(fields + [T.StructField(f"{v}_{end}", T.DoubleType()) for v in values for end in ("lo", "hi")])
+def _steps(part: int, count: int) -> np.ndarray:
+    return np.arange(part * STEPS, min((part + 1) * STEPS, count))
+
 
+def _share(steps: np.ndarray, count: int) -> np.ndarray:
+    return steps / (count - 1.0)
 
-def _curve_intervals(batches: Iterator[pd.DataFrame], keys, model, count, alpha, log_scale) -> Iterator[pd.DataFrame]:
+
+def _curve_intervals(batches: Iterator[pd.DataFrame], keys, model, count, draws, alpha, log_scale) -> Iterator[pd.DataFrame]:
     spec = MODELS[model]
     for batch in batches:
         for _, row in batch.iterrows():
-            p = {name: np.asarray(row[name], dtype=float)[:, None] for name in spec.natural}
-            times = row["__low"] + np.arange(count) * (row["__high"] - row["__low"]) / (count - 1.0)
-            for part in _blocks(count, len(p[spec.natural[0]])):
-                out = {key: [row[key]] * (part.stop - part.start) for key in keys} | {"t": times[part]}
-                for name, values in curve_arrays(spec, p, times[None, part], log_scale).items():
-                    out[f"{name}_lo"], out[f"{name}_hi"] = _quantiles(values, alpha)
-                yield pd.DataFrame(out)
+            made = Draws(spec, row["__group"], row, row["cov"], draws)
+            steps = _steps(row["__part"], count)
+            times = row["__low"] + _share(steps, count) * (row["__high"] - row["__low"])
+
+            def curves(times=times, made=made) -> Iterator[np.ndarray]:
+                for begin, end in made.spans():
+                    found = curve_arrays(spec, made.block(begin, end), times[None, :], log_scale)
+                    yield np.hstack([np.broadcast_to(found[m], (end - begin, len(times))) for m in METRICS])
+
+            ends = quantiles(curves, alpha, len(METRICS) * len(steps)).reshape(2, len(METRICS), len(steps))
+            out = {key: [row[key]] * len(steps) for key in keys} | {"step": steps, "t": times}
+            for i, name in enumerate(METRICS):
+                out[f"{name}_lo"], out[f"{name}_hi"] = ends[0, i], ends[1, i]
+            yield pd.DataFrame(out)
+
+
+def _simulated(params, keys, model, low, high, count, draws, seed, alpha, log_scale) -> DataFrame:
+    spec = MODELS[model]
+    low = F.lit(float(low)) if isinstance(low, (int, float)) else low
+    high = F.lit(float(high)) if isinstance(high, (int, float)) else high
+    numbers = [F.col(name).cast("double").alias(name) for name in [*spec.raw, *spec.fixed] if name not in keys]
+    group = _group_text(seed, [F.col(key) for key in keys])
+    rows = params.select(*keys, *numbers, "cov", low.alias("__low"), high.alias("__high"), group.alias("__group"))
+    position = [T.StructField("step", T.IntegerType()), T.StructField("t", T.DoubleType())]
+    schema = _interval_schema(params, keys, position, METRICS)
+    key_list = list(keys)
+    return _in_parts(rows, count, keys).mapInPandas(
+        lambda it: _curve_intervals(it, key_list, model, count, draws, alpha, log_scale), schema
+    )
 
 
 def simulate(
@@ -159,23 +178,20 @@ def simulate(
 ) -> DataFrame:
     """Interval of every curve at every time from simulated parameters.
 
-    Only the draws are shuffled; the (draw, time) table of a group exists as a matrix
-    inside a task.
+    Parameters are dealt out by group and stretch of times; draws and curves exist block by
+    block inside a task, however many draws there are.
     """
-    low = F.lit(float(low)) if isinstance(low, (int, float)) else low
-    high = F.lit(float(high)) if isinstance(high, (int, float)) else high
-    spanned = params.withColumns({"__low": low, "__high": high})
-    by = [*keys, "__low", "__high"]
-    packed = _packed_draws(parameter_draws(spanned, by, model, draws, seed, keys), by, MODELS[model].natural)
-    schema = _interval_schema(params, keys, T.StructField("t", T.DoubleType()), METRICS)
-    key_list = list(keys)
-    return packed.mapInPandas(lambda it: _curve_intervals(it, key_list, model, count, alpha, log_scale), schema)
+    return _simulated(params, keys, model, low, high, count, draws, seed, alpha, log_scale).drop("step")
 
 
 def rates_with_intervals(params: DataFrame, keys: Sequence[str], model: str, low, high, count=100, draws=1000, seed="1", alpha=0.05, log_scale=False) -> DataFrame:
-    """Point curves beside their intervals, joined on group and time."""
-    curves = add_curves(rate_grid(params, low, high, count), model, "t", log_scale).select(*keys, "t", *METRICS)
-    return join_same(curves, simulate(params, keys, model, low, high, count, draws, seed, alpha, log_scale), [*keys, "t"], "left")
+    """Point curves beside their intervals, joined on group and step."""
+    low = F.lit(float(low)) if isinstance(low, (int, float)) else low
+    high = F.lit(float(high)) if isinstance(high, (int, float)) else high
+    grid = params.select("*", F.posexplode(even_steps(low, high, count)).alias("step", "t"))
+    curves = add_curves(grid, model, "t", log_scale).select(*keys, "step", "t", *METRICS)
+    ranges = _simulated(params, keys, model, low, high, count, draws, seed, alpha, log_scale).drop("t")
+    return join_same(curves, ranges, [*keys, "step"], "left").drop("step")
 
 
 def level_pairs(params: DataFrame, key: str) -> DataFrame:
@@ -263,53 +279,50 @@ def contrast_intervals(
     """Intervals of the contrasts from independent draws of both groups."""
     spec = MODELS[model]
     pairs = level_pairs(params, key) if pairs is None else pairs
-    masses = contrasts(params, key, model, low, high, count, log_scale, pairs).groupBy("a", "b").agg(
-        F.min("mass").alias("__mlo"), F.max("mass").alias("__mhi")
-    )
-    sides = _both_sides(params, pairs, key, [*spec.raw, *spec.fixed, "cov"])
-    sides = join_same(sides, masses, ["a", "b"])
-    drawn = sides.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).repartition(
-        shuffle_partitions(params.sparkSession), "a", "b", "draw"
-    )
-    both = {}
+    columns = list(dict.fromkeys([*spec.raw, *spec.fixed, *spec.natural]))
+    sides = _both_sides(params, pairs, key, [*columns, "cov"])
+    first, last = F.lit(float(low)), F.lit(float(high))
+    ends = {}
     for side in ("a", "b"):
-        levels, natural = _draw_columns(model, [F.col("a"), F.col("b"), F.lit(side)], seed, f"{side}_")
-        for level in levels:
-            drawn = drawn.withColumns(level)
-        both[side] = natural
-    natural = drawn.select(
-        "a", "b", "draw", "__mlo", "__mhi",
-        *[value.alias(f"__{side}n_{name}") for side in both for name, value in both[side].items()],
-    )
-    names = [f"__{side}n_{name}" for side in both for name in spec.natural]
-    by = ["a", "b", "__mlo", "__mhi"]
-    schema = _interval_schema(pairs, ["a", "b"], T.StructField("step", T.IntegerType()), DIFFERENCES)
+        p = {name: F.col(f"{side}_{name}") for name in spec.natural}
+        ends[f"__{side}lo"], ends[f"__{side}hi"] = _mass_ends(model, p, first, last, count)
+    # Masses that both groups reach.
+    reached = {"__from": F.greatest("__alo", "__blo"), "__to": F.least("__ahi", "__bhi")}
+    groups = {f"__{side}group": _group_text(seed, [F.col("a"), F.col("b"), F.lit(side)]) for side in ("a", "b")}
+    rows = sides.withColumns(ends).withColumns(reached | groups)
+    schema = _interval_schema(pairs, ["a", "b"], [T.StructField("step", T.IntegerType())], DIFFERENCES)
     span = (float(low), float(high))
-    return _packed_draws(natural, by, names).mapInPandas(
-        lambda it: _difference_intervals(it, model, span, count, alpha, log_scale), schema
+    return _in_parts(rows, count, ["a", "b"]).mapInPandas(
+        lambda it: _difference_intervals(it, model, span, count, draws, alpha, log_scale), schema
     )
 
 
-def _difference_intervals(batches: Iterator[pd.DataFrame], model, span, count, alpha, log_scale) -> Iterator[pd.DataFrame]:
+def _difference_intervals(batches: Iterator[pd.DataFrame], model, span, count, draws, alpha, log_scale) -> Iterator[pd.DataFrame]:
     spec = MODELS[model]
     rate = spec.rgrm_log if log_scale else spec.rgrm
-    share = np.arange(count) / (count - 1.0)
-    times = span[0] + share * (span[1] - span[0])
+    names = [*spec.raw, *spec.fixed]
     for batch in batches:
         for _, row in batch.iterrows():
-            p = {
-                side: {name: np.asarray(row[f"__{side}n_{name}"], dtype=float)[:, None] for name in spec.natural}
+            made = {
+                side: Draws(spec, row[f"__{side}group"], {n: row[f"{side}_{n}"] for n in names}, row[f"{side}_cov"], draws)
                 for side in ("a", "b")
             }
-            masses = row["__mlo"] + share * (row["__mhi"] - row["__mlo"])
-            for part in _blocks(count, len(p["a"][spec.natural[0]])):
-                curves = {side: curve_arrays(spec, p[side], times[None, part], log_scale) for side in p}
-                values = {f"diff{m}": curves["a"][m] - curves["b"][m] for m in ("M", "AGR", "RGRt")}
-                with np.errstate(all="ignore"):
-                    apart = rate(NumpyMath, p["a"], masses[None, part]) - rate(NumpyMath, p["b"], masses[None, part])
-                values["diffRGRm"] = np.where(np.isfinite(apart), apart, np.nan)
-                size = part.stop - part.start
-                out = {"a": [row["a"]] * size, "b": [row["b"]] * size, "step": np.arange(part.start, part.stop)}
-                for name, table in values.items():
-                    out[f"{name}_lo"], out[f"{name}_hi"] = _quantiles(table, alpha)
-                yield pd.DataFrame(out)
+            steps = _steps(row["__part"], count)
+            times = span[0] + _share(steps, count) * (span[1] - span[0])
+            masses = row["__from"] + _share(steps, count) * (row["__to"] - row["__from"])
+
+            def apart(times=times, masses=masses, made=made) -> Iterator[np.ndarray]:
+                for begin, end in made["a"].spans():
+                    p = {side: made[side].block(begin, end) for side in made}
+                    curves = {side: curve_arrays(spec, p[side], times[None, :], log_scale) for side in p}
+                    values = [curves["a"][m] - curves["b"][m] for m in ("M", "AGR", "RGRt")]
+                    with np.errstate(all="ignore"):
+                        by_mass = rate(NumpyMath, p["a"], masses[None, :]) - rate(NumpyMath, p["b"], masses[None, :])
+                    values.append(np.where(np.isfinite(by_mass), by_mass, np.nan))
+                    yield np.hstack([np.broadcast_to(v, (end - begin, len(times))) for v in values])
+
+            ends = quantiles(apart, alpha, len(DIFFERENCES) * len(steps)).reshape(2, len(DIFFERENCES), len(steps))
+            out = {"a": [row["a"]] * len(steps), "b": [row["b"]] * len(steps), "step": steps}
+            for i, name in enumerate(DIFFERENCES):
+                out[f"{name}_lo"], out[f"{name}_hi"] = ends[0, i], ends[1, i]
+            yield pd.DataFrame(out)
