@@ -301,12 +301,37 @@ def grid_search_power(spark, folder):
     return _round_all(best, ["M0", "r", "beta", "LL"]).select("g", "M0", "r", "beta", "LL")
 
 
+FINE = {"M0": (0.0, 0.5, 26), "r": (0.02, 0.5, 25), "beta": (0.2, 0.8, 25)}
+
+
+@query(
+    "grid_two_grids",
+    f"""
+with {GRID_SQL}, fine as (
+  select cast(i as integer) as i, cast(j as integer) as j, cast(k as integer) as k, i * 0.02::double as "M0",
+    0.02 + j * 0.02::double as r, 0.2 + k * 0.025::double as beta
+  from range(26) a(i), range(25) b(j), range(25) c(k)),
+fsse as (select g, i, j, k, any_value("M0") as "M0", any_value(r) as r, any_value(beta) as beta, count(*)::double as n,
+    sum(pow(y - pow(pow("M0", 1 - beta) + r * x * (1 - beta), 1 / (1 - beta)), 2)) as rss
+  from growth, fine group by g, i, j, k),
+joined as (select 0 as step, * from ll where "M0" <> 0
+  union all select 1, *, -n * (ln(2 * pi()) + 1 - ln(n) + ln(rss)) / 2 from fsse),
+b as (
+  select g, arg_min({{'step': step, 'M0': "M0", 'r': r, 'beta': beta, 'LL': ll}}, {{'s': -ll, 't': step, 'i': i, 'j': j, 'k': k}}) as b
+  from joined group by 1)
+select g, b.step as step, round(b.M0, 6) as "M0", round(b.r, 6) as r, round(b.beta, 6) as beta, round(b.LL, 6) as "LL" from b""",
+)
+def grid_two_grids(spark, folder):
+    """The best point of a coarse grid without zero masses and a fine one."""
+    best = S.two_step_search(daily_growth(spark, folder), ["g"], AXES, FINE)
+    return _round_all(best, ["M0", "r", "beta", "LL"]).select("g", "step", "M0", "r", "beta", "LL")
+
+
 @query("grid_search_two_step")
 def grid_search_two_step(spark, folder):
     """Coarse and fine grids pooled, with the difference of the best point to the fixed-mass fit."""
     series = daily_growth(spark, folder)
-    fine = {"M0": (0.0, 0.5, 26), "r": (0.02, 0.5, 25), "beta": (0.2, 0.8, 25)}
-    best = S.two_step_search(series, ["g"], AXES, fine)
+    best = S.two_step_search(series, ["g"], AXES, FINE)
     fixed = G.fit(series, ["g"], "power2", fixed={"M0": 0.3}).select(
         "g", F.col("r").alias("fixed_r"), F.col("beta").alias("fixed_beta"), "converged"
     )
