@@ -1,4 +1,4 @@
-"""Temporal patterns and the local smoother."""
+"""Temporal patterns of plants."""
 
 from __future__ import annotations
 
@@ -7,10 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotloom.growth.points import compress
 from plotloom.operators.reshape import to_wide
 from plotloom.operators.stats import mean_strict
-from plotloom.session import shuffle_partitions
 
 
 def series_matrix(df: DataFrame, row: str, column: str, names: Sequence, value: str) -> DataFrame:
@@ -31,45 +29,3 @@ def trajectory_groups(matrix: DataFrame, row: str, columns: Sequence[str], k: in
     vectors = VectorAssembler(inputCols=[f"v{i}" for i in range(len(columns))], outputCol="features").transform(filled)
     model = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="pattern").fit(vectors)
     return model.transform(vectors).select(row, "pattern")
-
-
-def local_smooth(df: DataFrame, keys: Sequence[str], day: str, y: str, span: float = 0.75, count: int = 80) -> DataFrame:
-    """Locally weighted quadratic through each of ``count`` evenly spaced days.
-
-    The axis is whole days, so a group is at most one point per calendar day however many
-    measurements it has.  Weights are tricube over the nearest ``span`` share of the
-    measurements; the weighted quadratic is solved from sums of moments.
-    """
-    points = compress(df.withColumn(day, F.floor(day)), keys, day, y)
-    packed = points.groupBy(*keys).agg(
-        F.collect_list(F.struct("x", "n", "y")).alias("points"),
-        F.min("x").alias("__lo"), F.max("x").alias("__hi"), F.sum("n").alias("total"),
-    )
-    at = F.sequence(F.lit(0), F.lit(count - 1))
-    placed = packed.repartition(shuffle_partitions(df.sparkSession), *keys).select(
-        *keys, "points", F.floor(F.col("total") * span).alias("q"), "__lo", "__hi", F.explode(at).alias("step")
-    ).withColumn("t", F.col("__lo") + F.col("step") / F.lit(float(count - 1)) * (F.col("__hi") - F.col("__lo")))
-    by_distance = F.sort_array(
-        F.transform("points", lambda p: F.struct(F.abs(p["x"] - F.col("t")).alias("d"), p["n"].alias("n")))
-    )
-    # distance at which the running number of measurements first reaches q
-    reach = F.aggregate(
-        by_distance,
-        F.struct(F.lit(0.0).alias("seen"), F.lit(0.0).alias("d")),
-        lambda acc, p: F.when(acc["seen"] >= F.col("q"), acc).otherwise(
-            F.struct((acc["seen"] + p["n"]).alias("seen"), p["d"].alias("d"))
-        ),
-    )["d"]
-    spread = placed.withColumn("h", reach).select(*keys, "step", "t", "h", F.explode("points").alias("p"))
-    z = F.col("p.x") - F.col("t")
-    w = F.when(F.abs(z) < F.col("h"), F.col("p.n") * F.pow(1 - F.pow(F.abs(z) / F.col("h"), 3), 3)).otherwise(0.0)
-    weighted = spread.select(*keys, "step", "t", z.alias("z"), w.alias("w"), F.col("p.y").alias("y"))
-    moments = weighted.groupBy(*keys, "step", "t").agg(
-        *[F.sum(F.col("w") * F.pow("z", F.lit(k))).alias(f"s{k}") for k in range(5)],
-        *[F.sum(F.col("w") * F.col("y") * F.pow("z", F.lit(k))).alias(f"b{k}") for k in range(3)],
-    )
-    s = [F.col(f"s{k}") for k in range(5)]
-    b = [F.col(f"b{k}") for k in range(3)]
-    whole = s[0] * (s[2] * s[4] - s[3] * s[3]) - s[1] * (s[1] * s[4] - s[2] * s[3]) + s[2] * (s[1] * s[3] - s[2] * s[2])
-    value = b[0] * (s[2] * s[4] - s[3] * s[3]) - s[1] * (b[1] * s[4] - b[2] * s[3]) + s[2] * (b[1] * s[3] - b[2] * s[2])
-    return moments.select(*keys, "step", "t", F.try_divide(value, whole).alias("smooth"))

@@ -8,6 +8,7 @@ from plotloom.growth import curves as C
 from plotloom.growth import fit as G
 from plotloom.growth import grid as S
 from plotloom.growth import patterns as P
+from plotloom.growth.smoothing import local_smooth as local_smoother
 from plotloom.growth.models import MODELS, add_curves, add_natural, add_residuals, rescale
 from plotloom.growth.points import compress, initial_values
 from plotloom.operators.keys import join_same
@@ -600,5 +601,5 @@ def local_smooth(spark, folder):
     """Local quadratic of event values per type and day."""
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) + 1
     events = table(spark, folder, "events").select(F.col("event_type").alias("g"), day.alias("day"), "value")
-    smooth = P.local_smooth(events, ["g"], "day", "value", count=20)
+    smooth = local_smoother(events, ["g"], "day", "value", count=20)
     return smooth.withColumns({"t": rounded("t"), "smooth": rounded("smooth", 4)})

@@ -7,7 +7,8 @@ from plotloom.growth import curves as C
 from plotloom.growth.fit import compare_models, fit, fit_linear, fit_origin
 from plotloom.growth.grid import grid_search, grid_values, two_step_search
 from plotloom.growth.models import MODELS, NumpyMath, add_curves, add_residuals
-from plotloom.growth.patterns import local_smooth, trajectory_groups
+from plotloom.growth.patterns import trajectory_groups
+from plotloom.growth.smoothing import local_smooth
 from plotloom.growth.points import compress, initial_values
 from plotloom.operators.stats import fit_stats, peak
 
