@@ -67,14 +67,13 @@ def _place(batches: Iterator[pd.DataFrame], keys: list[str], count: int, span: f
                 far = np.maximum(np.abs(first - t), np.abs(last - t))
                 least, most = (_reach(d, n, q) for d in (near, far))
                 middle = (name + 0.5) * width
-                sides = []
+                scale, sides = most or 1.0, []
                 for side in (last < t, first > t):
                     own = side & (far < least)
-                    scale = max(most, 1e-300)
                     sides += [_recentred(part[own], middle[own], width, t, scale) for part in (sums[:, :POWERS], sums[:, POWERS:])]
                 within = (far < least) & ((last < t) | (first > t))
                 look = name[~within & (near <= most)].astype(int)
-                found.append((step, t, q, float(most), float(n[within].sum()), np.concatenate(sides), look.tolist()))
+                found.append((step, t, q, scale, float(n[within].sum()), np.concatenate(sides), look.tolist()))
             columns = list(zip(*found))
             out = {key: [row[key]] * len(found) for key in keys}
             yield pd.DataFrame(out | dict(zip(("step", "t", "q", "scale", "counted", "sums", "look"), map(list, columns))))
