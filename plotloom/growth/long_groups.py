@@ -22,9 +22,9 @@ from plotloom.growth.points import PARTS, point_arrays, point_matrix
 from plotloom.operators.keys import join_same
 from plotloom.operators.sizing import SMALL_ROWS, cut_lineage
 
-# Candidate exponents compared in one pass over the points while the variance is fitted.
-CANDIDATES = 1025
-PASSES = 3
+# Passes over the points in which curve and variance are fitted together.
+JOINT_STEPS = 40
+PLAIN_STEPS = 4
 FIRST, STEP, DONE = 0, 1, 2
 
 
@@ -58,6 +58,7 @@ class LongFit:
         # One row of some forty numbers per group: broadcast only up to a fixed number of them.
         self.hint = F.broadcast if groups <= SMALL_ROWS else (lambda frame: frame)
         self.chunks, self.keys, self.spec = chunks, list(keys), MODELS[model]
+        self.passes = 0
         self.p = len(self.spec.raw)
         self.size = 2 * self.p + self.p**2 + self.p + 8 + self.p
         fields = [chunks.schema[key] for key in keys]
@@ -91,6 +92,7 @@ class LongFit:
 
     def evaluate(self, state: DataFrame, measure: Callable, width: int) -> DataFrame:
         """(keys, s, sums): ``measure(chunk, fixed, s)`` added up over the chunks of every group."""
+        self.passes += 1
         keys, fixed_names = self.keys, list(self.spec.fixed)
         fields = [*[self.schema[key] for key in keys], *[T.StructField(f"v{i}", T.DoubleType()) for i in range(width)]]
 
@@ -179,105 +181,79 @@ class LongFit:
 
         return cut_lineage(self.evaluate(state, measure, 1).mapInPandas(self._move(move, 1), self.schema))
 
-    def _exponent(self, state: DataFrame) -> DataFrame:
-        """The variance exponent at the present curves: the slope of the profile likelihood
-        is evaluated at many candidates per pass, and the bracket of its zero taken on."""
-        spec, slots = self.spec, self._slots()
-        low, high = slots["spare"].start, slots["delta"].start
+    def _score(self, state: DataFrame) -> DataFrame:
+        """Curve and variance exponent together, one pass over the points per step.
 
-        def centre(block, fixed, s):
-            x, w, *_ = (part[None] for part in block)
-            return [(w * solver._predict(spec, s[slots["theta"]][None], fixed, x)).sum()]
+        A pass gives the weighted normal equations of the curve and, for the exponent, the first two moments of
+        the distance from the mean fitted value under the residual shares: the slope of the profile
+        likelihood and its curvature.  Both take a step of their own at once; at the end neither moves,
+        which is where alternating them ends too.
+        """
+        spec, slots, p, hold = self.spec, self._slots(), self.p, self._slots()["spare"]
+        width = p * p + p + 2 + 4
 
-        def take_centre(s, sums):
-            s[:, slots["base"]] = s[:, slots["theta"]]
-            s[:, slots["centre"]] = sums / s[:, slots["n"]]
-            return s
-
-        state = self.evaluate(state, centre, 1).mapInPandas(self._move(take_centre, 1), self.schema)
-
-        keys, fixed_names = self.keys, list(spec.fixed)
-        span_schema = T.StructType([*[self.schema[key] for key in keys], T.StructField("span", T.DoubleType())])
-
-        def span(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                out = []
-                for _, row in batch.iterrows():
-                    s = np.asarray(row["s"], dtype=float)
-                    fixed = {name: np.array([float(row[name])]) for name in fixed_names}
-                    with np.errstate(all="ignore"):
-                        fitted = solver._predict(spec, s[slots["theta"]][None], fixed, point_matrix(row)[0][None])
-                    out.append(float(np.abs(fitted - s[slots["centre"]][0]).max()))
-                yield batch[keys].assign(span=out)
-
-        state = cut_lineage(state)
-        joined = join_same(self.chunks, self.hint(state), keys)
-        spans = joined.select(*keys, *fixed_names, *[f"point_{part}" for part in PARTS], "s").mapInPandas(span, span_schema)
-        spans = spans.groupBy(*keys).agg(F.array(F.max("span")).alias("sums"))
-
-        def take_span(s, sums):
-            width = 20 / np.maximum(sums[:, 0], 1e-12)
-            s[:, low], s[:, high] = -width, width
-            return s
-
-        state = cut_lineage(join_same(state, spans, keys).mapInPandas(self._move(take_span, 1), self.schema))
-        share = np.linspace(0, 1, CANDIDATES)
-
-        def slope(block, fixed, s):
+        def measure(block, fixed, s):
             x, w, y, within = (part[None] for part in block)
-            away = solver._predict(spec, s[slots["theta"]][None], fixed, x) - s[slots["centre"]][0]
-            squares = w * (y - away - s[slots["centre"]][0]) ** 2 + within
-            d = s[low] + (s[high] - s[low]) * share
-            # Only the sign matters, so no division by the sum of shares.
-            return (squares * np.exp(-2 * d[:, None] * away) * away).sum(axis=1)
-
-        def narrow(s, sums):
-            # The slope falls from plus to minus: the bracket goes from the last plus to the next candidate.
-            last = np.maximum((sums > 0).sum(axis=1) - 1, 0)
-            last = np.minimum(last, CANDIDATES - 2)
-            step = (s[:, high] - s[:, low]) / (CANDIDATES - 1)
-            s[:, low] = s[:, low] + last * step
-            s[:, high] = s[:, low] + step
+            theta, delta, centre = s[slots["theta"]], s[slots["delta"]][0], s[slots["centre"]][0]
+            fitted = solver._predict(spec, theta[None], fixed, x)
+            away = fitted - centre
+            weight = np.exp(-2 * delta * away)
+            share = (w * (y - fitted) ** 2 + within) * weight
+            moments = [share.sum(), (share * away).sum(), (share * away**2).sum(), (w * fitted).sum()]
+            return np.concatenate((_sums(spec, theta, fixed, x, y, w * weight, float((within * weight).sum())), moments))
+
+        def move(s, sums):
+            n, delta = s[:, slots["n"]][:, 0], s[:, slots["delta"]][:, 0]
+            first = s[:, slots["phase"]][:, 0] == FIRST
+            whole, slope, square, total = sums[:, -4:].T
+            slope, square = slope / whole, square / whole
+            spread = np.maximum(square - slope**2, 1e-300)
+            # The first pass finds the mean fitted value only.
+            shift = np.where(first, 0.0, np.clip(slope / (2 * spread), -1 / np.sqrt(spread), 1 / np.sqrt(spread)))
+            normal, gradient = sums[:, : p * p].reshape(-1, p, p), sums[:, p * p : p * p + p]
+            offset = solver.relative_offset(normal, gradient, sums[:, p * p + p] + sums[:, p * p + p + 1], n)
+            # Where the curve comes no nearer its step is damped.
+            worse = ~first & (offset > 2 * s[:, hold][:, 0])
+            damping = np.where(worse, np.maximum(s[:, slots["damping"]][:, 0] * 10, 1e-2), s[:, slots["damping"]][:, 0] * 0.1)
+            step = np.where(first[:, None], 0.0, solver.damped_step(normal, gradient, damping))
+            steady = np.abs(shift) <= 1e-8 * (np.abs(delta) + 1e-3)
+            done = ~first & ((steady & (offset < solver.OFFSET_TOLERANCE * 1e-3)) | ~np.isfinite(offset + shift))
+            s[:, slots["base"]] = s[:, slots["theta"]]
+            s[:, slots["theta"]] += np.where(done[:, None], 0.0, step)
+            s[:, slots["delta"]] += np.where(done, 0.0, shift)[:, None]
+            s[:, slots["centre"]] = (total / n)[:, None]
+            s[:, slots["damping"]], s[:, hold] = damping[:, None], offset[:, None]
+            s[:, slots["phase"]] = np.where(done, DONE, STEP)[:, None]
             return s
 
-        for _ in range(PASSES):
-            state = cut_lineage(self.evaluate(state, slope, CANDIDATES).mapInPandas(self._move(narrow, CANDIDATES), self.schema))
+        phase = F.get("s", F.lit(slots["phase"].start))
+        for _ in range(JOINT_STEPS):
+            open_groups = state.where(phase != DONE)
+            moved = self.evaluate(open_groups, measure, width).mapInPandas(self._move(move, width), self.schema)
+            state = cut_lineage(state.where(phase == DONE).unionByName(moved))
+            if state.where(phase != DONE).isEmpty():
+                break
         return state
 
     def fit(self, starts: DataFrame, variance: str | None) -> DataFrame:
         """State of every group at the end; see ``solver.solve``."""
-        slots, size = self._slots(), self.size
-        state = self.minimise(self._with_counts(cut_lineage(self.start(starts))), solver.MAX_STEPS)
+        slots, size, keys = self._slots(), self.size, self.keys
+        state = self._with_counts(cut_lineage(self.start(starts)))
+        # With a variance to fit, a few steps of plain least squares give the start of the joint ones.
+        state = self.minimise(state, PLAIN_STEPS if variance == "exp" else solver.MAX_STEPS)
         if variance != "exp":
             return state
-        keys = self.keys
-        old = F.get("s", F.lit(slots["delta"].start)).alias("old")
         finite = F.forall(F.slice("s", 1, self.p), lambda v: ~F.isnan(v) & (F.abs(v) < float("inf")))
-        open_groups, ended = state.where(finite), state.where(~finite)
-        for _ in range(solver.VARIANCE_ROUNDS):
-            if open_groups.isEmpty():
-                break
-            before = open_groups.select(*keys, old)
-            fresh = self._exponent(open_groups)
-
-            def restart(s):
-                s[:, slots["trial"]] = s[:, slots["theta"]]
-                s[:, slots["damping"]], s[:, slots["phase"]] = 1e-3, FIRST
-                # The middle of the last bracket.
-                s[:, slots["delta"]] = (s[:, slots["spare"]] + s[:, slots["delta"]]) / 2
-                return s
-
-            def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                for batch in batches:
-                    yield batch[keys].assign(s=list(restart(_numbers(batch, "s", size).copy())))
-
-            moved = self.minimise(cut_lineage(fresh.mapInPandas(run, self.schema)), solver.VARIANCE_STEPS)
-            compared = cut_lineage(join_same(moved, before, keys))
-            new = F.get("s", F.lit(slots["delta"].start))
-            settled = F.abs(new - F.col("old")) <= 1e-7 * (F.abs(new) + 1e-3)
-            ended = cut_lineage(ended.unionByName(compared.where(settled).drop("old")))
-            open_groups = compared.where(~settled).drop("old")
-        return ended.unionByName(open_groups)
+
+        def restart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                s = _numbers(batch, "s", size).copy()
+                s[:, slots["damping"]], s[:, slots["phase"]] = 1e-6, FIRST
+                s[:, slots["spare"]] = np.inf
+                yield batch[keys].assign(s=list(s))
+
+        scored = self._score(cut_lineage(state.where(finite).mapInPandas(restart, self.schema)))
+        return state.where(~finite).unionByName(scored)
 
     def results(self, state: DataFrame, variance: str | None, schema: T.StructType) -> DataFrame:
         """The rows of ``fit`` from the final states, with one more pass over the points."""
