@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plotloom.session import shuffle_partitions
+from plotloom.session import cut_lineage, shuffle_partitions
 
 # Copies of one row are written in runs of this length, so that the copies of a hot
 # row are written by many tasks.
@@ -89,7 +89,51 @@ def _first_ids(packed: DataFrame, columns: Sequence[str], start: Column) -> Data
     return placed.withColumn("__first", start + F.col("__offset") + F.col("__before") + 1)
 
 
+def in_ranges(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """The rows sorted into ranges, each with its range ``__part`` and its place in it ``__at`` (from 0).
+
+    Materialised, so the ranges stay what they are.  Rows that are equal in ``order`` are of one range.
+    """
+    dealt = df.repartitionByRange(shuffle_partitions(df.sparkSession), *order).sortWithinPartitions(*order)
+    # Partition number above 33 bits, place in the partition below.
+    kept = cut_lineage(dealt.withColumn("__place", F.monotonically_increasing_id()))
+    part = F.shiftright("__place", 33).cast("int")
+    return kept.withColumns({"__part": part, "__at": F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))}).drop("__place")
+
+
+def with_previous(df: DataFrame, keys: Sequence[str], x: str, values: Mapping[str, str]) -> DataFrame:
+    """Add columns (new name -> column) of the row before in ``x`` with the same keys; null for a first row.
+
+    Every range of rows is gone through on its own, and its first row looks at the last row of the
+    range before: one row per range, however long a group is.
+    """
+    ranged = in_ranges(df, [*keys, x])
+    window = Window.partitionBy("__part", *keys).orderBy(x)
+    within = ranged.withColumns({out: F.lag(column).over(window) for out, column in values.items()})
+    row = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)], *[F.col(c).alias(f"v{i}") for i, c in enumerate(values.values())])
+    lasts = ranged.groupBy("__part").agg(F.max_by(row, "__at").alias("row")).select("__part", "row.*")
+    known = sorted(lasts.collect(), key=lambda r: r["__part"])  # one row per range
+    carried = [(after["__part"], *before[1:]) for before, after in zip(known, known[1:])]
+    schema = lasts.schema
+    ahead = df.sparkSession.createDataFrame(carried, schema).withColumnRenamed("__part", "__p")
+    joined = within.join(F.broadcast(ahead), (F.col("__part") == F.col("__p")) & (F.col("__at") == 0), "left")
+    same = F.col("__p").isNotNull()
+    for i, key in enumerate(keys):
+        same = same & F.col(key).eqNullSafe(F.col(f"k{i}"))
+    filled = {out: F.when(same, F.col(f"v{i}")).otherwise(F.col(out)) for i, out in enumerate(values)}
+    extra = ["__part", "__at", "__p", *[f"k{i}" for i in range(len(keys))], *[f"v{i}" for i in range(len(values))]]
+    return joined.withColumns(filled).drop(*extra)
+
+
 def number_rows(df: DataFrame, order: Sequence[Column | str], out: str, start: int = 0) -> DataFrame:
-    """Plain row number after ``start`` for a list of known small size (one row per
-    experiment and data type); large frames use ``assign_ids``."""
-    return df.withColumn(out, (F.row_number().over(Window.orderBy(*order)) + F.lit(start)).cast("int"))
+    """Row number after ``start`` in the given order, in ranges: only the ranges' sizes are added up in one place."""
+    ranged = in_ranges(df, order)
+    sizes = sorted((row["__part"], row["count"]) for row in ranged.groupBy("__part").count().collect())
+    offsets, so_far = [], start
+    for part, size in sizes:  # one row per range
+        offsets.append((part, so_far))
+        so_far += size
+    before = df.sparkSession.createDataFrame(offsets, "__p int, __offset long")
+    placed = ranged.join(F.broadcast(before), F.col("__part") == F.col("__p"))
+    number = (F.col("__offset") + F.col("__at") + 1).cast("int")
+    return placed.withColumn(out, number).drop("__part", "__at", "__p", "__offset")

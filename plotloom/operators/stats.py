@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotloom.functions.scalar import divide
-from plotloom.operators.numbering import number_distinct, range_bucket
+from plotloom.operators.numbering import number_distinct, range_bucket, with_previous
 from plotloom.operators.sizing import attach
 
 
@@ -143,9 +143,9 @@ def slope_init(df: DataFrame, keys: Sequence[str], x: str, y: str, log: bool = F
 def stepwise_rgr(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Growth rate between successive means: difference of log y over difference of x."""
     means = df.groupBy(*keys, x).agg(F.avg(y).alias("mean_y"))
-    w = Window.partitionBy(*keys).orderBy(x)
-    rate = divide(F.ln("mean_y") - F.lag(F.ln("mean_y")).over(w), F.col(x) - F.lag(x).over(w))
-    return means.withColumn("rgr", rate)
+    both = with_previous(means, keys, x, {"__x": x, "__y": "mean_y"})
+    rate = divide(F.ln("mean_y") - F.ln("__y"), F.col(x) - F.col("__x"))
+    return both.withColumn("rgr", rate).drop("__x", "__y")
 
 
 def classic_rgr(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
