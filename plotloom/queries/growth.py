@@ -573,11 +573,33 @@ def series_matrix(spark, folder):
     return _round_all(P.series_matrix(orders, "o_custkey", "m", MONTHS, "o_totalprice"), [str(m) for m in MONTHS], 4)
 
 
-@query("trajectory_groups")
-def trajectory_groups(spark, folder):
+def _trajectories(spark, folder):
     orders = table(spark, folder, "orders").withColumn("m", F.month("o_orderdate"))
     matrix = P.series_matrix(orders, "o_custkey", "m", MONTHS, "o_totalprice")
-    return P.trajectory_groups(matrix, "o_custkey", [str(m) for m in MONTHS], 4)
+    return matrix, P.trajectory_groups(matrix, "o_custkey", [str(m) for m in MONTHS], 4)
+
+
+@query("trajectory_groups")
+def trajectory_groups(spark, folder):
+    return _trajectories(spark, folder)[1]
+
+
+@query(
+    "trajectory_summary",
+    """
+with m as (select o_custkey, month(o_orderdate) as month, avg(o_totalprice) as v from orders group by all)
+select month, (select count(distinct o_custkey) from orders) as plants, 4::bigint as patterns, count(*) as measured,
+  round(sum(v), 2) as total from m group by month""",
+)
+def trajectory_summary(spark, folder):
+    """Every plant is in one of four patterns, whose sums per month are those of all plants."""
+    matrix, groups = _trajectories(spark, folder)
+    whole = groups.agg(F.count("*").alias("plants"), F.countDistinct("pattern").alias("patterns"))
+    months = F.array(*[F.struct(F.lit(m).cast("long").alias("month"), F.col(f"`{m}`").alias("v")) for m in MONTHS])
+    cells = matrix.join(groups.select("o_custkey", "pattern"), "o_custkey").select("pattern", F.explode(months).alias("c"))
+    per_pattern = cells.groupBy("pattern", "c.month").agg(F.count("c.v").alias("n"), F.sum("c.v").alias("v"))
+    per_month = per_pattern.groupBy("month").agg(F.sum("n").alias("measured"), F.round(F.sum("v"), 2).alias("total"))
+    return per_month.join(F.broadcast(whole)).where("measured > 0").select("month", "plants", "patterns", "measured", "total")
 
 
 @query(
