@@ -21,7 +21,7 @@ from plotloom.queries.base import (
 )
 from plotloom.queries.keys import RESOLVED_SQL
 from plotloom.session import cut_lineage, ensure_checkpoint_dir
-from plotloom.sources import sheets
+from plotloom.sources import sheets, versions
 from plotloom.sources import tables as TB
 from plotloom.sources.unit import UnitOfWork, read_committed, run_unit
 
@@ -116,6 +116,23 @@ def replace_table(spark, folder):
     return spark.read.parquet(path)
 
 
+@query(
+    "update_files",
+    """with s as (select *, o_orderkey % 997 = 5 as hit from orders)
+select o_orderkey, case when hit then null else o_custkey end as o_custkey from s""",
+)
+def update_files(spark, folder):
+    """One column of few rows set to null in the files that hold them, twice under one name."""
+    path = scratch(spark)
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    versions.create(orders.repartitionByRange(16, "o_orderkey"), path)
+    hit = orders.where(F.col("o_orderkey") % 997 == 5)
+    updates = hit.select("o_orderkey", F.lit(None).cast("long").alias("o_custkey"))
+    versions.update(spark, path, "no customer", updates, "o_orderkey", "o_custkey")
+    versions.update(spark, path, "no customer", updates, "o_orderkey", "o_custkey")
+    return versions.read(spark, path)
+
+
 @query(
     "csv_round_trip",
     """select cast(s_suppkey as varchar) as s_suppkey, s_name, case when s_acctbal >= 0 then concat('in "credit", ', s_name) end as note
