@@ -15,6 +15,16 @@ from plotloom.operators.keys import join_same
 from plotloom.operators.sizing import attach
 from plotloom.operators.stats import fit_stats, histogram, interval, peak, rel_diff
 from plotloom.queries.base import GROWTH_SQL, daily_growth, query, rounded, table
+from plotloom.queries.fits import (
+    CURVES as FIT_CURVES,
+)
+from plotloom.queries.fits import (
+    compare_sql,
+    covariance_sql,
+    fit_sql,
+    least_squares_sql,
+    logistic_params_sql,
+)
 
 CURVES = ["M", "AGR", "RGRt", "RGRm"]
 
@@ -525,17 +535,88 @@ def fit_gompertz_variance(spark, folder):
     return G.fit(logged, ["g"], "gompertz", variance="exp")
 
 
-@query("fit_then_rates")
+def _register_daily_fit(model: str) -> None:
+    @query(f"fit_daily_{model}", fit_sql(model))
+    def run(spark, folder):
+        fits = G.fit(daily_growth(spark, folder), ["g"], model)
+        raw = list(FIT_CURVES[model][0])
+        chosen = fits.select("g", *raw, "converged", "n", "rss", "ll", "aic")
+        return _round_all(_round_all(chosen, raw, 4), ["rss", "ll", "aic"])
+
+
+for _model in FIT_CURVES:
+    _register_daily_fit(_model)
+
+
+@query("compare_daily_models", compare_sql(["logistic", "gompertz", "exponential"]))
+def compare_daily_models(spark, folder):
+    series = daily_growth(spark, folder)
+    models = ("logistic", "gompertz", "exponential")
+    return _round_all(G.compare_models({m: G.fit(series, ["g"], m) for m in models}, ["g"]), ["mean_ll", "min_ll", "max_ll"])
+
+
+@query(
+    "daily_residual_stats",
+    f"""
+with recursive {GROWTH_SQL}, {least_squares_sql('logistic')},
+curve as (select g, {FIT_CURVES['logistic'][2]} as f, y - {FIT_CURVES['logistic'][2]} as e from fitted join growth using (g)),
+s as (select g, count(*)::double as n, var_pop(f) * count(*) as mss, sum(e * e) as rss from curve group by g),
+l as (select *, -n * (ln(2 * pi()) + 1 - ln(n) + ln(rss)) / 2 as ll from s)
+select g, n, round(mss, 4) as mss, round(rss, 6) as rss, round(mss / (mss + rss), 6) as r2, round(sqrt(rss), 6) as root_rss,
+  round(sqrt(rss / n), 6) as rmse, round(ll, 5) as ll, round(-2 * ll + 2 * 4, 5) as aic from l""",
+)
+def daily_residual_stats(spark, folder):
+    """Residual statistics of the fitted curves, from the residuals themselves."""
+    series = daily_growth(spark, folder)
+    fits = G.fit(series, ["g"], "logistic").select("g", "Asym", "xmid", "scal")
+    stats = fit_stats(add_residuals(attach(series, fits, ["g"]), "logistic"), ["g"], 3)
+    places = {"mss": 4, "rss": 6, "r2": 6, "root_rss": 6, "rmse": 6, "ll": 5, "aic": 5}
+    return stats.select("g", "n", *[rounded(name, digits).alias(name) for name, digits in places.items()])
+
+
+INTERVAL_SQL = f"""{logistic_params_sql()}, {covariance_sql('logistic')},
+fit as (select g, "Asym" as a, "xmid" as m, "scal" as s, c00, c01, c02, c11, c12, c22 from fitted join fitted_cov using (g)),
+chol1 as{FIT_SQL.split('chol1 as', 1)[1]}"""
+
+
+@query(
+    "fit_then_rates",
+    f"""
+with recursive {INTERVAL_SQL}, {TIMES_SQL}, draws as (select chol.*, d.draw from chol, (select unnest(range(1, 201)) as draw) d),
+drawn as ({_draw_sql('draws', '', 'g')}),
+nat as (select g, draw, k as "K", 1 / s2 as r, k / (1 + exp(x / s2)) as "M0" from drawn),
+c as (select g, step, {MASS['logistic']} as m, {AGR['logistic']} as v, "K", r from nat, times),
+q as (select g, step, """
+    + ", ".join(
+        f'quantile_cont({value}, {q}) as "{name}_{end}"'
+        for name, value in (("M", "m"), ("AGR", "v"), ("RGRt", "v / m"), ("RGRm", 'r * (1 - m / "K")'))
+        for q, end in ((0.025, "lo"), (0.975, "hi"))
+    )
+    + f""" from c group by all),
+p as (select g, step, t, {MASS['logistic']} as "M", {AGR['logistic']} as "AGR", r, "K" from params, times)
+select g, round(t, 6) as t, round("M", 4) as "M", round("AGR", 4) as "AGR", round("AGR" / "M", 4) as "RGRt",
+  round(r * (1 - "M" / "K"), 4) as "RGRm", """
+    + ", ".join(f'round("{name}_{end}", 4) as "{name}_{end}"' for name in CURVES for end in ("lo", "hi"))
+    + " from p join q using (g, step)",
+)
 def fit_then_rates(spark, folder):
-    """Fit, transform, curves with intervals, joined on group and time."""
+    """Fit, transform, curves with intervals, joined on group and step."""
     fits = G.fit(daily_growth(spark, folder), ["g"], "logistic").where("converged")
-    return C.rates_with_intervals(fits, ["g"], "logistic", 1.0, 30.0, 20, 200)
+    found = C.rates_with_intervals(fits, ["g"], "logistic", 1.0, 30.0, 20, 200).withColumn("t", rounded("t"))
+    return _round_all(found, [*CURVES, *[f"{name}_{end}" for name in CURVES for end in ("lo", "hi")]], 4)
 
 
-@query("fit_by_group_contrasts")
+@query(
+    "fit_by_group_contrasts",
+    f"""
+with recursive {CONTRAST_SQL.replace(PARAMS_SQL, logistic_params_sql())}
+select a, b, step, round(t, 6) as t, round(mass, 4) as mass, round(dm, 4) as "diffM", round(dv, 4) as "diffAGR",
+  round(dr, 4) as "diffRGRt", round(ar * (1 - mass / ak) - br * (1 - mass / bk), 4) as "diffRGRm" from q""",
+)
 def fit_by_group_contrasts(spark, folder):
     fits = G.fit(daily_growth(spark, folder), ["g"], "logistic").where("converged")
-    return C.contrasts(fits, "g", "logistic", 1.0, 30.0, 20)
+    found = C.contrasts(fits, "g", "logistic", 1.0, 30.0, 20).withColumn("t", rounded("t"))
+    return _round_all(found, ["mass", *C.DIFFERENCES], 4)
 
 
 @query("fit_residual_stats")
