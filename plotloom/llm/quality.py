@@ -192,8 +192,7 @@ def train(docs: DataFrame, size: int = SAMPLE_DOCS) -> np.ndarray | None:
     """The scorer for a table of documents; None if it has none."""
     patterns = {row["votes"]: row["n"] for row in vote_counts(docs).collect()}
     posterior = fit_labellers(patterns)
-    total = sum(patterns.values())
-    if not total:
+    if not patterns:
         return None
     place = F.shiftrightunsigned(F.xxhash64("text", F.lit("quality")), 11) / float(1 << 53)
 
@@ -203,8 +202,10 @@ def train(docs: DataFrame, size: int = SAMPLE_DOCS) -> np.ndarray | None:
             rows = [features(t, p).tobytes() for t, p in zip(texts, patterns)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(patterns)], ["x", "votes"])
 
-    # One of each text: copies would not add anything and could go beyond the bound.
-    chosen = docs.select("text").where(place < min(1.0, size / total)).dropDuplicates(["text"])
+    # One of each text, and a share of the different texts: copies would not add anything, could go beyond
+    # the bound, and however many there are, few texts are all taken.
+    different = docs.select(F.xxhash64("text").alias("h")).distinct().count()
+    chosen = docs.select("text").where(place < min(1.0, size / different)).dropDuplicates(["text"])
     sample = chosen.mapInArrow(describe, "x binary, votes string").toArrow()
     if not len(sample):
         return None

@@ -279,3 +279,50 @@ def test_labellers_learn_from_agreement():
     assert found["ggggggg"] > 0.99 and found["ggggg-g"] > 0.99
     assert found["bgggggb"] < 0.01 and found["ggbbggg"] < 0.01
     assert quality.fit_labellers({}) == {}
+
+
+def test_the_same_texts_get_the_same_decision_in_any_number(spark):
+    good = "The people of the town went to the market in the morning, and it was a good day for all of them."
+    texts = [f"{good} There were {i} of them, and this was what they had to say." for i in range(15)]
+    texts += ["$$$ ### !!! 123 %%% " * 10, "buy buy buy buy buy buy buy buy buy buy", "zzxq qqqk xzx 9 9 9 9 9 9 9 9", "", "&&&&"]
+    decisions = []
+    for copies in (50, 5000):
+        rows = spark.range(copies * len(texts)).select(
+            F.col("id").alias("doc_id"), F.get(F.array(*[F.lit(t) for t in texts]), (F.col("id") % len(texts)).cast("int")).alias("text")
+        )
+        found = quality.classify(rows).select("text", "keep").distinct().collect()
+        decisions.append(sorted((r["text"], r["keep"]) for r in found))
+    assert decisions[0] == decisions[1] and len(decisions[0]) == len(texts)
+    one = quality.classify(spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(texts[0]).alias("text")))
+    assert {r["keep"] for r in one.select("keep").distinct().collect()} == {True}
+
+
+def test_posteriors_as_written_out_for_each_pattern():
+    draw = random.Random(8)
+    count = len(quality.LABELLERS)
+    patterns = {"".join(draw.choice("gggb-") for _ in range(count)): draw.randrange(1, 200) for _ in range(60)}
+    kinds = 1 + count
+    share = [0.8] + [0.2 / count] * count
+    rates = [[[0.97, 0.03] if k == 0 else [0.1, 0.9] if k == j + 1 else [0.75, 0.25] for j in range(count)] for k in range(kinds)]
+    posterior = {}
+    for _ in range(quality.EM_ROUNDS):
+        for pattern in patterns:
+            likely = []
+            for k in range(kinds):
+                p = share[k]
+                for j, vote in enumerate(pattern):
+                    p *= 1 if vote == "-" else rates[k][j]["gb".index(vote)]
+                likely.append(p)
+            posterior[pattern] = [p / sum(likely) for p in likely]
+        before = [[list(r) for r in own] for own in rates]
+        total = sum(patterns.values())
+        share = [(sum(n * posterior[p][k] for p, n in patterns.items()) + 0.1) / (total + 0.1 * kinds) for k in range(kinds)]
+        for k in range(kinds):
+            for j in range(count):
+                seen = [sum(n * posterior[p][k] for p, n in patterns.items() if p[j] == vote) + 0.1 for vote in "gb"]
+                rates[k][j] = [v / sum(seen) for v in seen]
+        if max(abs(rates[k][j][v] - before[k][j][v]) for k in range(kinds) for j in range(count) for v in range(2)) < 1e-9:
+            break
+    found = quality.fit_labellers(patterns)
+    assert found.keys() == posterior.keys()
+    assert all(found[p] == pytest.approx(posterior[p][0], abs=1e-6) for p in patterns)
