@@ -168,6 +168,22 @@ def overlap(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return np.where(union > 0, common / np.maximum(union, 1), 1.0)
 
 
+def pair_slices(left: pa.Array, right: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
+    """(first row, left texts, right texts) of slices of pairs, inflated; both sides together bounded, one pair at least."""
+    begin, size, lefts, rights = 0, 0, [], []
+    for at in range(len(left)):
+        pair = [zlib.decompress(column[at].as_buffer()) for column in (left, right)]
+        more = sum(map(len, pair))
+        if lefts and size + more > limit:
+            yield begin, lefts, rights
+            begin, size, lefts, rights = at, 0, [], []
+        size += more
+        lefts.append(pair[0])
+        rights.append(pair[1])
+    if lefts:
+        yield begin, lefts, rights
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float, alike: Callable = overlap) -> DataFrame:
     """The pairs (a, b) whose texts overlap enough; texts has (cls, text), the text deflated.
 
@@ -181,10 +197,10 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, alike: Callab
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, lefts in text_slices(batches, "left", SLICE_BYTES // 4):
-            rights = part.column(3).to_pylist()
-            found = alike([zlib.decompress(t) for t in lefts], [zlib.decompress(t) for t in rights])
-            yield part.select([0, 1]).filter(pa.array(found >= threshold))
+        for batch in batches:
+            for begin, lefts, rights in pair_slices(batch.column(2), batch.column(3)):
+                part = batch.slice(begin, len(lefts)).select([0, 1])
+                yield part.filter(pa.array(alike(lefts, rights) >= threshold))
 
     return both.mapInArrow(check, "a long, b long")
 

@@ -252,3 +252,17 @@ def test_similar_rows_beside_an_unlike_least_class(spark):
     # The copy of the first row is of its class.
     named = [tuple(sorted((i for i, _ in pair), key=str)) for pair in expected if 70 not in {i for i, _ in pair}]
     assert pairs == Counter(named)
+
+
+def test_slices_of_pairs_are_bounded_by_what_they_inflate_to():
+    import zlib
+
+    import pyarrow as pa
+
+    texts = [b"x" * n for n in (5, 400, 10, 3000, 1, 1, 1)]
+    packed = pa.array([zlib.compress(t) for t in texts], pa.binary())
+    slices = list(near_dedup.pair_slices(packed, packed, 1000))
+    assert [b for b, *_ in slices] == [0, 3, 4]
+    assert [t for _, left, _ in slices for t in left] == texts == [t for *_, right in slices for t in right]
+    assert all(2 * sum(map(len, left)) <= 1000 or len(left) == 1 for _, left, _ in slices)
+    assert list(near_dedup.pair_slices(packed.slice(0, 0), packed.slice(0, 0))) == []
