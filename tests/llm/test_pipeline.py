@@ -91,11 +91,11 @@ def test_empty_documents(spark, folder, tmp_path):
 
 def test_one_query_per_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no driver tables")
-@pytest.mark.parametrize("name", ["op5_quality", "op7_fingerprints", "op8_near_dedup", "op9_lm_scoring", "op10_secret_scan"])
+@pytest.mark.parametrize("name", ["op5_quality", "op7_fingerprints", "op8_near_dedup", "op9_lm_scoring", "op10_secret_scan", "op13_license_scan"])
 def test_one_row_per_document(spark, name):
     folder = "/root/testdata/sf0.001"
     ids = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id")
