@@ -174,6 +174,30 @@ def test_training_goes_on_until_the_likelihood_settles(spark):
     assert after - likelihood <= 2e-5 * abs(likelihood)
 
 
+def test_training_begins_near_its_end(spark, monkeypatch):
+    """A random model creeps for dozens of rounds; that of all pairs of neighbours is most of the way there."""
+    draw = np.random.default_rng(5)
+    every = []
+    for _ in range(600):
+        kind = np.repeat((draw.integers(0, 8) + np.arange(10)) % 8, 4)
+        every.append((kind * 30 + draw.integers(0, 30, 40)).astype("<u2"))
+    sequences = spark.createDataFrame([(bytearray(s.tobytes()),) for s in every], "symbols binary").repartition(3)
+    pairs = hidden_markov.pair_counts(sequences)
+    want = np.zeros_like(pairs)
+    for s in every:
+        np.add.at(want, (s[:-1], s[1:]), 1)
+    assert (pairs == want).all()
+    counts = np.bincount(np.concatenate(every), minlength=hidden_markov.SYMBOLS)
+    shares = (counts + 0.5) / (counts + 0.5).sum()
+    rounds = []
+    once = hidden_markov.baum_welch_round
+    monkeypatch.setattr(hidden_markov, "baum_welch_round", lambda *a: rounds.append(once(*a)) or rounds[-1])
+    hidden_markov.train(sequences, shares)
+    random = hidden_markov.expected_counts(every, hidden_markov.random_model(shares))[-1]
+    first, last = rounds[0][1], rounds[-1][1]
+    assert random < first <= last and last - first < 0.2 * (last - random)
+
+
 def test_long_sequences_do_not_underflow():
     model = hidden_markov.random_model(np.full(hidden_markov.SYMBOLS, 1 / hidden_markov.SYMBOLS))
     value = hidden_markov.log_likelihoods([np.zeros(50000, dtype=np.int64), np.array([1])], model)
