@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from plotloom.llm.arrow_text import SLICE_BYTES, text_slices
 from plotloom.llm.near_dedup import linked, shared_bands
-from plotloom.llm.words import batch_shingles, mix
+from plotloom.llm.words import batch_shingles, mix, multisets
 from plotloom.operators.sizing import cut_lineage
 from plotloom.session import shuffle_partitions
 
@@ -109,6 +109,12 @@ def _jaccard(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return out
 
 
+def _set_items(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each text, and how many each has."""
+    owner, values, _ = multisets(*batch_shingles(texts))
+    return values, np.bincount(owner, minlength=len(texts))
+
+
 def _banded_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in text_slices(batches):
         found = signatures(*batch_shingles(texts))
@@ -129,7 +135,8 @@ def _banded_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _deflated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in text_slices(batches):
         packed = pa.array([zlib.compress(t, 1) for t in texts], pa.binary())
-        yield pa.RecordBatch.from_arrays([part.column("cls"), packed], ["cls", "text"])
+        sizes = pa.array([len(t) for t in texts], pa.int64())
+        yield pa.RecordBatch.from_arrays([part.column("cls"), packed, sizes], ["cls", "text", "size"])
 
 
 def signature_class(signature: Column) -> Column:
@@ -152,8 +159,9 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFram
     bands = shared_bands(exact.select("cls", F.explode("bands").alias("band")))
     used = exact.join(bands.select("cls").distinct(), "cls").select("cls", F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))
-    texts = keyed.join(used, same).select("cls", "text").mapInArrow(_deflated, "cls long, text binary")
-    texts = cut_lineage(texts.groupBy("cls").agg(F.min("text").alias("text")))
+    texts = keyed.join(used, same).select("cls", "text").mapInArrow(_deflated, "cls long, text binary, size long")
+    least_text = F.min(F.struct("text", "size")).alias("text")
+    texts = cut_lineage(texts.groupBy("cls").agg(least_text).select("cls", "text.*"))
     return signed.select("doc_id", "text_key", "cls"), exact.select("cls", "doc_id", "sketch"), bands, texts
 
 
@@ -197,7 +205,7 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(cls, group_id): each signature class, and the least doc_id that verified pairs connect it with."""
     _, exact, bands, texts = _classes(docs)
     sketches = cut_lineage(exact.join(bands.select("cls").distinct(), "cls").select("cls", "sketch"))
-    roots = linked(bands, sketches, texts, threshold, _jaccard)
+    roots = linked(bands, sketches, texts, threshold, _jaccard, _set_items)
     placed = exact.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     least = F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("least")
     groups = placed.groupBy("root").agg(least).select("root", F.col("least.doc_id").alias("group_id"))

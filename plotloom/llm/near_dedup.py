@@ -15,8 +15,9 @@ each class goes on.  Its signature is cut into bands; classes that share a band
 against the least class of the band, and a pair is linked if the exact multiset overlap
 reaches the threshold.  Bands whose classes are not all connected by then are gone through
 again: small ones by all pairs of unconnected classes; in larger ones every class outside the
-largest component tries its likeliest partners by signature, the next ones each turn and more of
-them, until it has tried every unconnected one that is likely enough.
+largest component is compared with every unconnected one that is likely enough by signature, block
+by block within tasks that hold both blocks' texts.  Only links come out of them, fewer than
+classes, so no table has a row per pair of a large group.
 
 Defined results: null and empty texts are equal, and so one class.  Texts of one to four words
 have one shingle.  Words are compared as they stand, apart from blanks.  Rows with the same
@@ -46,10 +47,9 @@ BANDS, ROWS = 26, 5
 PLACES = BANDS * ROWS
 # Bands with at most so many classes are resolved by all pairs of unconnected ones.
 ALL_PAIRS = 16
-# In larger ones: classes per block, partners that a class names per block in the first turn, how many times
-# as many in each further one, and the share of equal sketch places that a partner must have (at 0.8,
-# less with probability 1e-8).
-BLOCK, PARTNERS, MORE, LIKELY = 1024, 3, 4, 0.6
+# In larger ones: classes and bytes of text per block, and the share of equal sketch places that a partner
+# must have (at 0.8, less with probability 1e-8).
+BLOCK, BLOCK_BYTES, LIKELY = 1024, 4 << 20, 0.6
 
 _U53 = 1.0 / (1 << 53)
 
@@ -141,9 +141,10 @@ def _content_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
         shingles, bounds = batch_shingles(texts)
         key_a, key_b = content_keys(shingles, bounds)
         packed = pa.array([zlib.compress(t, 1) for t in texts], pa.binary())
+        sizes = pa.array([len(t) for t in texts], pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(_signed(key_a)), pa.array(_signed(key_b)), pa.array(np.diff(bounds) == 0), packed],
-            ["key_a", "key_b", "empty", "text"],
+            [pa.array(_signed(key_a)), pa.array(_signed(key_b)), pa.array(np.diff(bounds) == 0), packed, sizes],
+            ["key_a", "key_b", "empty", "text", "size"],
         )
 
 
@@ -168,6 +169,14 @@ def overlap(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return np.where(union > 0, common / np.maximum(union, 1), 1.0)
 
 
+def bag_items(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of each text with the second, third ... occurrence as items of their own, and how many each text has."""
+    owner, values, count = multisets(*batch_shingles(texts))
+    rows = np.repeat(np.arange(len(values)), count)
+    nth = (np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)).astype(np.uint64)
+    return mix(values[rows] + nth * np.uint64(0x9E3779B97F4A7C15)), np.bincount(owner[rows], minlength=len(texts))
+
+
 def pair_slices(left: pa.Array, right: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
     """(first row, left texts, right texts) of slices of pairs, inflated; both sides together bounded, one pair at least."""
     begin, size, lefts, rights = 0, 0, [], []
@@ -211,11 +220,8 @@ def star_pairs(bands: DataFrame) -> DataFrame:
     return bands.join(centre.select("band", "a"), "band").where("cls > a").select("a", F.col("cls").alias("b")).distinct()
 
 
-def unsettled(bands: DataFrame, roots: DataFrame, first: bool) -> DataFrame:
-    """(band, cls, root, n): the bands of n classes that are not all connected yet.
-
-    After the first turn all pairs of the small bands have been compared, and only larger ones are left.
-    """
+def unsettled(bands: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, cls, root, n): the bands of n classes that are not all connected yet."""
     placed = bands.select("band", "cls").join(roots, F.col("cls") == F.col("node")).select("band", "cls", "root")
     mixed = (
         placed.groupBy("band")
@@ -223,7 +229,7 @@ def unsettled(bands: DataFrame, roots: DataFrame, first: bool) -> DataFrame:
         .where("r < s")
         .select("band", "n")
     )
-    return placed.join(mixed if first else mixed.where(F.col("n") > ALL_PAIRS), "band")
+    return placed.join(mixed, "band")
 
 
 def small_band_pairs(left: DataFrame) -> DataFrame:
@@ -246,76 +252,77 @@ def band_groups(left: DataFrame, rows: int) -> DataFrame:
     return cut_lineage(few_partitions(found.toDF("node", "grp"), rows))
 
 
-def block_homes(left: DataFrame, groups: DataFrame, rows: int) -> DataFrame:
-    """(cls, grp, own, blocks): the group of each class in larger unsettled bands, and its block of about ``BLOCK`` classes."""
-    large = left.where(F.col("n") > ALL_PAIRS)
-    members = few_partitions(large.select("cls").distinct(), rows)
-    members = members.join(groups, F.col("cls") == F.col("node"), "left").select("cls", F.coalesce("grp", "cls").alias("grp"))
-    members = cut_lineage(few_partitions(members, rows))
-    sizes = members.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    homes = members.join(few_partitions(sizes, rows), "grp").select("cls", "grp", block.alias("own"), "blocks")
-    return cut_lineage(few_partitions(homes, rows))
-
-
-def closest_pairs(
-    left: DataFrame, homes: DataFrame, sketches: DataFrame, tried: DataFrame, partners: int, rows: int
+def block_links(
+    left: DataFrame, groups: DataFrame, sketches: DataFrame, texts: DataFrame, threshold: float, items: Callable, rows: int
 ) -> DataFrame:
-    """(cls, other, partner, unlike): unconnected classes in larger unsettled bands, the likeliest first.
+    """(a, b): links that connect all classes of larger unsettled bands that are alike enough and unconnected yet.
 
-    Every two blocks of a group meet in one task, which compares sketches (one byte per signature
-    place).  Each class outside the group's largest component names its next ``partners`` partners in
-    the ``other`` block by likeness, then class, among classes of other components that are
-    at least ``LIKELY`` alike; no other pair leaves the task.  ``tried`` has (cls, other, last):
-    the last place (unlike, partner) that a class has come to, ``unlike`` being the number of unequal sketch places.
+    A group's classes outside its largest component and those in it are dealt into blocks.  Each block of
+    the former meets every block in one task, with sketches (one byte per signature place) and texts.  Pairs at
+    least ``LIKELY`` alike by sketch are compared exactly, unless earlier links of the task connect them, and
+    links between components come out.  So a class is sent once per block that it meets.
     """
     large = left.where(F.col("n") > ALL_PAIRS)
-    members = few_partitions(large.select("cls", "root").distinct(), rows).join(homes, "cls")
-    members = cut_lineage(few_partitions(members, rows))
-    sizes = members.groupBy("grp", "root").agg(F.count("*").alias("size"))
-    tops = sizes.groupBy("grp").agg(F.max(F.struct("size", "root"))["root"].alias("top"))
+    members = few_partitions(large.select("cls", "root").distinct(), rows)
+    members = members.join(groups, F.col("cls") == F.col("node"), "left").select("cls", "root", F.coalesce("grp", "cls").alias("grp"))
+    members = cut_lineage(few_partitions(members.join(texts.select("cls", "size"), "cls"), rows))
+    sizes = members.groupBy("grp", "root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    tops = sizes.groupBy("grp").agg(F.max(F.struct("n", "root"))["root"].alias("top"))
+    sizes = sizes.join(few_partitions(tops, rows), "grp")
+
+    def blocks(inside: Column) -> Column:
+        counted = [F.sum(F.when(inside, F.col(c) / size)) for c, size in (("n", BLOCK), ("bytes", BLOCK_BYTES))]
+        return F.coalesce(F.ceil(F.greatest(*counted)), F.lit(0)).cast("int")
+
+    inside = F.col("root") == F.col("top")
+    counts = sizes.groupBy("grp", "top").agg(blocks(~inside).alias("apart"), blocks(inside).alias("settled"))
+    homes = members.join(few_partitions(counts, rows), "grp").withColumn("draw", F.xxhash64("cls"))
+    own = F.when(inside, F.col("apart") + F.pmod("draw", "settled")).otherwise(F.pmod("draw", "apart")).cast("int")
+    last = F.when(inside, F.col("apart")).otherwise(F.col("apart") + F.col("settled")) - 1
+    homes = homes.select("grp", "cls", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
     placed = (
-        members.join(few_partitions(tops, rows), "grp")
-        .select("grp", "cls", (F.col("root") == F.col("top")).alias("settled"), "root", "own", "blocks")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .join(tried, ["cls", "other"], "left")
+        cut_lineage(few_partitions(homes, rows))
         .join(sketches, "cls")
-        .select(
-            "grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "sketch", "settled", "root",
-            "own", "other", F.coalesce("last.unlike", F.lit(-1)).alias("unlike"), F.coalesce("last.partner", F.lit(0)).alias("partner"),
-        )
+        .join(texts, "cls")
+        .select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "root", "own", "sketch", "text")
     )
 
     def compare(batch: pa.Table) -> pa.Table:
         batch = batch.sort_by("cls")
-        cls, root, own, other, unlike, partner = (
-            np.asarray(batch.column(c).combine_chunks()) for c in ("cls", "root", "own", "other", "unlike", "partner")
-        )
+        cls, root, own = (np.asarray(batch.column(c).combine_chunks()) for c in ("cls", "root", "own"))
         sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(cls), -1)
-        places = sketch.shape[1]
-        across = batch.column("i")[0] != batch.column("j")[0]
-        found = [[np.empty(0, dtype=np.int64)] for _ in range(4)]
-        looking = np.flatnonzero(~np.asarray(batch.column("settled").to_pylist(), dtype=bool))
+        values, amounts = items([zlib.decompress(t) for t in batch.column("text").to_pylist()])
+        _, values = np.unique(values, return_inverse=True)
+        heads = np.cumsum(amounts) - amounts
+        marked = np.zeros(len(values) + 1, dtype=np.int32)
+        least, across = batch.column("i")[0].as_py(), batch.column("i")[0] != batch.column("j")[0]
+        part = np.unique(root, return_inverse=True)[1]
+        found: list[tuple[int, int]] = []
+        looking = np.flatnonzero(own == least)
         for begin in range(0, len(looking), 32):
             mine = looking[begin : begin + 32]
             apart = (sketch[mine][:, None, :] != sketch[None, :, :]).sum(axis=2)
-            open_ = root[mine][:, None] != root[None, :]
+            likely = apart <= (1 - LIKELY) * sketch.shape[1]
             if across:
-                open_ &= own[mine][:, None] != own[None, :]
-            last = unlike[mine][:, None]
-            open_ &= (apart > last) | ((apart == last) & (cls[None, :] > partner[mine][:, None]))
-            open_ &= apart <= (1 - LIKELY) * places
-            apart[~open_] = places + 1
-            order = np.argsort(apart, axis=1, kind="stable")[:, :partners]
-            row, place = np.nonzero(np.take_along_axis(open_, order, axis=1))
-            with_ = order[row, place]
-            for column, values in zip(found, (cls[mine[row]], other[mine[row]], cls[with_], apart[row, with_])):
-                column.append(values)
-        columns = [np.concatenate(column) for column in found]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
-        return pa.table([pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(columns, kinds)], ["cls", "other", "partner", "unlike"])
-
-    return placed.groupBy("grp", "i", "j").applyInArrow(compare, "cls long, other int, partner long, unlike int")
+                likely &= own[None, :] != least
+            for row, x in enumerate(mine.tolist()):
+                others = np.flatnonzero(likely[row] & (part != part[x]) & (amounts > 0))
+                if not len(others):
+                    continue
+                own_items = values[heads[x] : heads[x] + amounts[x]]
+                marked[own_items] = 1
+                places = np.repeat(heads[others] - np.cumsum(amounts[others]) + amounts[others], amounts[others])
+                places += np.arange(len(places))
+                common = np.add.reduceat(marked[values[places]], np.cumsum(amounts[others]) - amounts[others])
+                marked[own_items] = 0
+                linked = others[common / (amounts[x] + amounts[others] - common) >= threshold]
+                joined, first = np.unique(part[linked], return_index=True)
+                found += [(x, y) for y in linked[first].tolist()]
+                part[np.isin(part, joined)] = part[x]
+        pairs = cls[np.array(found, dtype=np.int64).reshape(-1, 2)]
+        return pa.table({"a": pa.array(pairs.min(axis=1)), "b": pa.array(pairs.max(axis=1))})
+
+    return placed.groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -335,41 +342,31 @@ def shared_bands(bands: DataFrame) -> DataFrame:
 
 
 def linked(
-    bands: DataFrame, sketches: DataFrame, texts: DataFrame, threshold: float, alike: Callable = overlap
+    bands: DataFrame,
+    sketches: DataFrame,
+    texts: DataFrame,
+    threshold: float,
+    alike: Callable = overlap,
+    items: Callable = bag_items,
 ) -> DataFrame:
     """(node, root): the components of classes that share bands (cls, band) and are alike enough.
 
-    ``sketches`` has (cls, sketch) and ``texts`` (cls, text), the text deflated.
+    ``sketches`` has (cls, sketch) and ``texts`` (cls, text, size), the text deflated.  ``alike`` is the
+    likeness of pairs of texts, and ``items`` gives sets whose Jaccard similarity it is.
     """
     seen = cut_lineage(star_pairs(bands))
     roots = bands.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct()
     roots = merged(roots, verified(seen, texts, threshold, alike))
-    tried = bands.sparkSession.createDataFrame([], "cls long, other int, last struct<unlike: int, partner: long>")
-    turn = 0
-    while True:
-        # Bands whose classes are all connected have nothing more to add, and need not be looked at again.
-        bands = cut_lineage(unsettled(bands, roots, first=turn == 0))
-        left = bands.count()
-        bands = few_partitions(bands, left)
-        if turn == 0:
-            # Blocks stay as they are, so that a class's partners keep their order.
-            homes = block_homes(bands, band_groups(bands, left), left)
-        named = cut_lineage(closest_pairs(bands, homes, sketches, tried, PARTNERS * MORE**turn, left))
-        pairs = named.select(F.least("cls", "partner").alias("a"), F.greatest("cls", "partner").alias("b"))
-        if turn == 0:
-            pairs = pairs.union(small_band_pairs(bands))
-        pairs = cut_lineage(pairs.distinct().join(seen, ["a", "b"], "left_anti"))
-        new = cut_lineage(verified(pairs, texts, threshold, alike))
-        if not new.isEmpty():
-            roots = merged(roots, new)
-        # A turn without a link says nothing about the partners that are left; one without a name does.
-        if named.isEmpty():
-            break
-        seen = seen.union(pairs)
-        last = named.groupBy("cls", "other").agg(F.max(F.struct("unlike", "partner")).alias("last"))
-        tried = cut_lineage(few_partitions(tried.union(last).groupBy("cls", "other").agg(F.max("last").alias("last")), left))
-        turn += 1
-    return roots
+    # Bands whose classes are all connected have nothing more to add, and need not be looked at again.
+    bands = cut_lineage(unsettled(bands, roots))
+    left = bands.count()
+    bands = few_partitions(bands, left)
+    pairs = cut_lineage(small_band_pairs(bands).join(seen, ["a", "b"], "left_anti"))
+    roots = merged(roots, verified(pairs, texts, threshold, alike))
+    bands = cut_lineage(few_partitions(unsettled(bands.select("cls", "band"), roots).where(F.col("n") > ALL_PAIRS), left))
+    if bands.isEmpty():
+        return roots
+    return merged(roots, block_links(bands, band_groups(bands, left), sketches, texts, threshold, items, left))
 
 
 def rooted(docs: DataFrame, threshold: float) -> DataFrame:
@@ -398,10 +395,10 @@ def rooted(docs: DataFrame, threshold: float) -> DataFrame:
     texts = docs.select("doc_id", "text").join(
         source.select(F.col("first_doc").alias("id")).distinct(), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"
     )
-    texts = texts.mapInArrow(_content_batches, "key_a long, key_b long, empty boolean, text binary")
-    texts = texts.select(F.xxhash64(*content).alias("cls"), "text").join(source.select("cls"), "cls")
+    texts = texts.mapInArrow(_content_batches, "key_a long, key_b long, empty boolean, text binary, size long")
+    texts = texts.select(F.xxhash64(*content).alias("cls"), F.struct("text", "size").alias("text")).join(source.select("cls"), "cls")
     sketches = cut_lineage(exact.join(bands.select("cls").distinct(), "cls").select("cls", "sketch"))
-    texts = cut_lineage(texts.groupBy("cls").agg(F.min("text").alias("text")))
+    texts = cut_lineage(texts.groupBy("cls").agg(F.min("text").alias("text")).select("cls", "text.*"))
     roots = linked(bands, sketches, texts, threshold)
     members = exact.join(roots, F.col("cls") == F.col("node"), "left").select(
         *content, "first_doc", F.coalesce("root", "cls").alias("root")

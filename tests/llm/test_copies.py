@@ -156,6 +156,29 @@ def test_links_behind_likelier_partners(spark):
     assert {frozenset(Counter(g).items()) for g in got.values()} == brute_classes(rows)
 
 
+def test_pairs_of_a_large_unlinked_group_are_no_rows(spark, monkeypatch):
+    """All pairs are likely and hardly one is a link; they are compared inside tasks, across several blocks."""
+    draw = random.Random(32)
+    text = prose(draw, 400)
+    rows = [(i, near(draw, text, draw.randrange(6, 8))) for i in range(240)]
+    monkeypatch.setattr(near_dedup, "BLOCK", 48)
+    asked = []
+    verified = near_dedup.verified
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "verified", counted)
+    found = near_dedup.near_classes(docs_of(spark, rows)).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.class_id, []).append(r.doc_id)
+    assert {frozenset(Counter(g).items()) for g in got.values()} == brute_classes(rows)
+    # At most one pair per class and band, and those of small bands.
+    assert sum(asked) <= (near_dedup.BANDS + near_dedup.ALL_PAIRS) * len(rows) < len(rows) ** 2 / 2
+
+
 def test_one_row_of_each_class_stays(spark):
     draw = random.Random(6)
     text, other = prose(draw, 80), prose(draw, 80)
