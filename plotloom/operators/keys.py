@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plotloom.session import cut_lineage
+from plotloom.session import cut_lineage, shuffle_partitions
 
 _KEY = "__key"
 _NO_KEY = "__no_key"
@@ -96,13 +96,15 @@ def lookup(
     order: Sequence[str],
     salts: int = 0,
     latest: bool = False,
+    hot: str | None = None,
 ) -> DataFrame:
     """Add ``values`` (new name -> dimension column) of the first dimension row with the key.
 
     The row count of ``df`` never changes, and a null key finds a null key.  ``order`` must
     not be null.  ``salts``
     spreads a known hot key of ``df`` by hash of the row over that many copies of the
-    reduced dimension; without it hot partitions are split at run time.
+    reduced dimension; without it hot partitions are split at run time.  ``hot`` names one text
+    that very many rows have as key: only they are spread, and only its dimension row is copied.
     """
     key = F.col(key) if isinstance(key, str) else key
     dim_key = F.col(dim_key) if isinstance(dim_key, str) else dim_key
@@ -120,16 +122,23 @@ def lookup(
     reduced = source.groupBy(_KEY, _NO_KEY).agg(*_pick(inner, ordered, latest))
     if len(order) > 1:
         reduced = reduced.select(_KEY, _NO_KEY, *[F.col(f"{_FOUND}.{name}").alias(name) for name in wanted.values()])
-    return _attach(df, reduced, _flat(key, kind), wanted, salts)
+    return _attach(df, reduced, _flat(key, kind), wanted, salts, hot)
 
 
-def _attach(df: DataFrame, reduced: DataFrame, key: tuple[Column, Column], wanted: Mapping[str, str], salts: int) -> DataFrame:
+def _attach(
+    df: DataFrame, reduced: DataFrame, key: tuple[Column, Column], wanted: Mapping[str, str], salts: int, hot: str | None = None
+) -> DataFrame:
     """Left join of one row per key; ``reduced`` is partitioned as the join wants it."""
     left = df.withColumns({"__lk": key[0], "__lm": key[1]})
     condition = (F.col("__lk") == F.col(_KEY)) & (F.col("__lm") == F.col(_NO_KEY))
+    if hot is not None and salts <= 1:
+        salts = shuffle_partitions(df.sparkSession)
     if salts > 1:
-        left = left.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-        copies = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+        salt, copies = F.pmod(F.xxhash64(*df.columns), F.lit(salts)), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+        if hot is not None:
+            salt = F.when(F.col("__lk") == hot, salt).otherwise(F.lit(0).cast("long"))
+            copies = F.when(F.col(_KEY) == hot, copies).otherwise(F.array(F.lit(0).cast("long")))
+        left = left.withColumn("__salt", salt)
         reduced = reduced.withColumn("__dsalt", F.explode(copies))
         condition = condition & (F.col("__salt") == F.col("__dsalt"))
     joined = left.join(reduced, condition, "left")
@@ -206,8 +215,12 @@ def lookup_rekey(df, dim, key: str, alternative: Column, dim_key: str, value: st
 
 
 def lookup_or_default(df, dim, key: str, default: str, dim_key: str, values: Mapping[str, str], order) -> DataFrame:
-    """A missing key finds the dimension row named ``default``."""
-    return lookup(df, dim, F.coalesce(F.col(key), F.lit(default)), dim_key, values, order)
+    """A missing key finds the dimension row named ``default``.
+
+    Most keys may be missing, and the reduced side of the join keeps a hot partition from being split at
+    run time, so the rows of the default are spread.
+    """
+    return lookup(df, dim, F.coalesce(F.col(key), F.lit(default)), dim_key, values, order, hot=default)
 
 
 def only_new(df: DataFrame, existing: DataFrame, keys: Mapping[str, str] | Sequence[str]) -> DataFrame:

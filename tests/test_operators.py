@@ -189,3 +189,25 @@ def test_ids_do_not_depend_on_the_number_of_copies(spark, monkeypatch):
     monkeypatch.setattr(N, "RUN_LENGTH", 2)
     assert sorted(tuple(r) for r in N.assign_ids(rows, none).collect()) == expected
     assert [i for i, _ in expected] == list(range(1, 11))
+
+
+def test_rows_of_the_default_are_spread(spark):
+    """Nearly all keys are missing: the rows of the default row are not in one partition."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    dim = spark.createDataFrame([(1, "a"), (2, "No Parent"), (3, "No Parent")], "id int, name string")
+    key = F.when(F.col("id") % 100 == 0, "a").when(F.col("id") % 100 == 1, "zz").when(F.col("id") % 100 == 2, "No Parent")
+    rows = spark.range(4000).select(F.col("id").alias("row"), key.alias("parent"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = K.lookup_or_default(rows, dim, "parent", "No Parent", "name", {"parent_id": "id"}, ["id"])
+        got = found.withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted((r.row, r.parent, r.parent_id) for r in got) == [
+        (i, {0: "a", 1: "zz", 2: "No Parent"}.get(i % 100), {0: 1, 1: None}.get(i % 100, 2)) for i in range(4000)
+    ]
+    sizes = [sum(r.at == at for r in got) for at in {r.at for r in got}]
+    assert max(sizes) < 0.7 * len(got)
