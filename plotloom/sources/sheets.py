@@ -39,6 +39,8 @@ NAME_PATTERN = "*csv*"
 HEAD_BYTES = 1 << 16
 # The longest record.
 RECORD_BYTES = 1 << 26
+# Rows and letters after which a task passes on what it has found, be it of one block or of many.
+BATCH_ROWS, BATCH_LETTERS = 8192, 4 << 20
 # What is known of blocks travels with the tasks up to this size, and to the lines by shuffle beyond it.
 KNOWN_BYTES = 8 << 20
 
@@ -96,8 +98,21 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, str, int, int, int]]:
         yield path, batch.column(1)[begin].as_py(), int(blocks[begin]), begin, end
 
 
-def _values(batch: pa.RecordBatch, begin: int, end: int) -> list[str]:
-    return pc.fill_null(batch.column(3).slice(begin, end - begin), "").to_pylist()
+def _values(batch: pa.RecordBatch) -> list[str]:
+    return pc.fill_null(batch.column(3), "").to_pylist()
+
+
+def _gathered(rows: Iterable[tuple[dict, int]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows, given with the letters of their texts, in batches: blocks may be many and short."""
+    found, size = [], 0
+    for row, letters in rows:
+        found.append(row)
+        size += letters
+        if len(found) >= BATCH_ROWS or size >= BATCH_LETTERS:
+            yield pa.RecordBatch.from_pylist(found, schema)
+            found, size = [], 0
+    if found:
+        yield pa.RecordBatch.from_pylist(found, schema)
 
 
 def _first_value(value: str, block: int) -> str:
@@ -153,6 +168,9 @@ class _Report:
                 self.closes = quoted and not ends_inside(line, True)
             self.n += 1
 
+    def letters(self) -> int:
+        return self.head_size + sum(len(line) for lines in self.firsts for line in lines)
+
     def row(self) -> dict:
         whole = self.closes or self.head_size <= self.head_bytes
         return {
@@ -169,22 +187,23 @@ class _Report:
 
 
 def _reports(lines: DataFrame, skip: int, head_bytes: int) -> DataFrame:
-    def report(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[dict, int]]:
         now = None
         for batch in batches:
+            texts = _values(batch)
             for path, _, block, begin, end in _runs(batch):
                 if now is None or (now.path, now.block) != (path, block):
                     if now is not None:
-                        yield pa.RecordBatch.from_pylist([now.row()], _REPORT)
+                        yield now.row(), now.letters()
                     now = _Report(path, block, skip, head_bytes)
-                values = _values(batch, begin, end)
+                values = texts[begin:end]
                 if now.n == 0:
                     values[0] = _first_value(values[0], block)
                 now.add(values)
         if now is not None:
-            yield pa.RecordBatch.from_pylist([now.row()], _REPORT)
+            yield now.row(), now.letters()
 
-    return lines.mapInArrow(report, REPORT)
+    return lines.mapInArrow(lambda batches: _gathered(blocks(batches), _REPORT), REPORT)
 
 
 # Composition in block order --------------------------------------------------------
@@ -240,16 +259,16 @@ def _known_blocks(lines: DataFrame, skip: int) -> DataFrame:
     """What tasks cannot see in their own block; blocks that are a whole file are left out."""
     reports = cut_lineage(_reports(lines, skip, HEAD_BYTES))
 
-    def compose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compose(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[dict, int]]:
         rows = (row for batch in batches for row in batch.to_pylist())
         for _, group in groupby(rows, key=lambda row: row["path"]):
             for row in _composed(group, skip):
                 if row["block"] > 0 or row["rest"] is not None:
-                    yield pa.RecordBatch.from_pylist([row], _INFO)
+                    yield row, len(row["header"] or "") + len(row["rest"] or "")
 
     def composed(table: DataFrame) -> DataFrame:
         dealt = table.repartition("path").sortWithinPartitions("path", "block")
-        return cut_lineage(dealt.mapInArrow(compose, INFO))
+        return cut_lineage(dealt.mapInArrow(lambda batches: _gathered(compose(batches), _INFO), INFO))
 
     known = composed(reports)
     gaps = known.where("gap").select("path", "block")
@@ -325,53 +344,79 @@ class _Block:
         surplus = [cell for cell in found[len(self.header) :] if cell]
         self.found.append((place, found, surplus or None, SURPLUS if surplus else None))
 
-    def batch(self) -> pa.RecordBatch | None:
-        """The records so far as a batch."""
+    def taken(self) -> tuple[str, str, int, list[str], list] | None:
+        """The records so far, with the path, file, block and header that they share."""
         if not self.found:
             return None
         found, self.found = self.found, []
-        header = self.header or []
-        size, width = len(found), len(header)
-        flat = [cell for _, cells, _, _ in found for cell in (cells + [None] * (width - len(cells)))[:width]]
-        ends = pa.array(np.arange(size + 1, dtype=np.int32) * width)
-        values = [
-            pa.array([self.path]).take(pa.array(np.zeros(size, dtype=np.int32))),
-            pa.array([self.file], pa.string()).take(pa.array(np.zeros(size, dtype=np.int32))),
-            pa.array(np.full(size, self.block)),
-            pa.array([place for place, *_ in found], pa.int64()),
-            pa.array([header], pa.list_(pa.string())).take(pa.array(np.zeros(size, dtype=np.int32))),
-            pa.ListArray.from_arrays(ends, pa.array(flat, pa.string())),
-            pa.array([surplus for _, _, surplus, _ in found], pa.list_(pa.string())),
-            pa.array([problem for *_, problem in found], pa.string()),
-        ]
-        return pa.RecordBatch.from_arrays(values, [part.split()[0] for part in ROW.split(", ")])
+        return self.path, self.file, self.block, self.header or [], found
+
+
+def _record_batch(parts: list[tuple[str, str, int, list[str], list]]) -> pa.RecordBatch:
+    """Records of one block or of many as one batch."""
+    sizes = [len(found) for *_, found in parts]
+    of_part = pa.array(np.repeat(np.arange(len(parts)), sizes))
+    widths = np.repeat([len(header) for *_, header, _ in parts], sizes)
+    flat = [
+        cell
+        for *_, header, found in parts
+        for _, cells, _, _ in found
+        for cell in (cells if len(cells) == len(header) else (cells + [None] * (len(header) - len(cells)))[: len(header)])
+    ]
+    ends = pa.array(np.concatenate(([0], np.cumsum(widths))).astype(np.int32))
+    records = [record for *_, found in parts for record in found]
+    values = [
+        pa.array([path for path, *_ in parts], pa.string()).take(of_part),
+        pa.array([file for _, file, *_ in parts], pa.string()).take(of_part),
+        pa.array([block for _, _, block, *_ in parts], pa.int64()).take(of_part),
+        pa.array([place for place, *_ in records], pa.int64()),
+        pa.array([header for *_, header, _ in parts], pa.list_(pa.string())).take(of_part),
+        pa.ListArray.from_arrays(ends, pa.array(flat, pa.string())),
+        pa.array([surplus for _, _, surplus, _ in records], pa.list_(pa.string())),
+        pa.array([problem for *_, problem in records], pa.string()),
+    ]
+    return pa.RecordBatch.from_arrays(values, [part.split()[0] for part in ROW.split(", ")])
 
 
 def _records(batches: Iterable[pa.RecordBatch], skip: int, known: dict) -> Iterator[pa.RecordBatch]:
     """Records of lines in order.  A block's line with a filled column ``known`` tells what is known of it."""
-    now = None
+    now, parts, rows, letters = None, [], 0, 0
+
+    def take() -> None:
+        nonlocal rows
+        if (part := now.taken()) is not None:
+            parts.append(part)
+            rows += len(part[-1])
+
     for batch in batches:
         told = batch.num_columns > 4
+        texts = _values(batch)
         for path, file, block, begin, end in _runs(batch):
             if now is None or (now.path, now.block) != (path, block):
                 if now is not None:
                     now.end()
-                    if (made := now.batch()) is not None:
-                        yield made
+                    take()
+                    letters += len(now.rest or "")
                 info = batch.column(4)[begin].as_py() if told else known.get((path, block))
                 now = _Block(path, file, block, skip, info)
                 begin += bool(told and info)
             if begin < end:
-                values = _values(batch, begin, end)
+                values = texts[begin:end]
                 if now.line == 0:
                     values[0] = _first_value(values[0], block)
                 now.add(values)
-                if (made := now.batch()) is not None:
-                    yield made
+                take()
+                # Headers are repeated in every record.
+                letters += sum(map(len, values)) + (end - begin) * sum(map(len, now.header or ()))
+            if rows >= BATCH_ROWS or letters >= BATCH_LETTERS:
+                if parts:
+                    yield _record_batch(parts)
+                parts, rows, letters = [], 0, 0
     if now is not None:
         now.end()
-        if (made := now.batch()) is not None:
-            yield made
+        take()
+    if parts:
+        yield _record_batch(parts)
 
 
 def _all_records(lines: DataFrame, skip: int) -> DataFrame:

@@ -203,3 +203,25 @@ def test_lines_from_a_table(spark):
     lines = spark.createDataFrame(rows, "path string, file string, block long, line long, value string").repartition(4)
     got = sorted((r["a"], r["b"]) for r in S.read_columns(lines, ["a", "b"]).collect())
     assert got == [("1", "2"), ("3", "\nx")]
+
+
+def test_many_short_blocks_share_batches():
+    """Blocks of a few lines each: what a task finds in them goes on in few batches, header by header."""
+    import pyarrow as pa
+
+    lines = [(f"p{b % 2}", f"f{b % 2}", b, f"{b},{i}" if b % 2 else f"{b}") for b in range(400) for i in range(3)]
+    columns = [pa.array([line[i] for line in lines]) for i in range(4)]
+    batch = pa.RecordBatch.from_arrays(columns, ["path", "file", "block", "value"])
+    known = {
+        (f"p{b % 2}", b): {"before": 3, "inside": False, "header": "x,y" if b % 2 else "x,y,z", "rest": None, "closed": True}
+        for b in range(400)
+    }
+    made = list(S._records([batch], 0, known))
+    rows = [row for part in made for row in part.to_pylist()]
+    assert [(r["path"], r["file"], r["block_start"], r["line"]) for r in rows] == [
+        (path, file, block, i % 3) for i, (path, file, block, _) in enumerate(lines)
+    ]
+    for row, (*_, block, value) in zip(rows, lines):
+        assert row["header"] == (["x", "y"] if block % 2 else ["x", "y", "z"])
+        assert row["cells"] == (value.split(",") if block % 2 else [value, None, None])
+    assert len(made) <= 2
