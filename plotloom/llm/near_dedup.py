@@ -329,7 +329,8 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """The components (node, root) after adding links: only their roots are connected anew."""
     left = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     right = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    between = links.join(left, "a").join(right, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    # Materialised first: few partitions are for the links that are left, not for the work that finds them.
+    between = cut_lineage(links).join(left, "a").join(right, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     between = few_partitions(between, roots.count())
     joined = components(between).select(F.col("node").alias("root"), F.col("root").alias("new"))
     return cut_lineage(roots.join(joined, "root", "left").select("node", F.coalesce("new", "root").alias("root")))
