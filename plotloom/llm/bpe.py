@@ -23,9 +23,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from plotloom.llm.coding import coded, pack, pack_words, unpack, unpack_words
+from plotloom.llm.words import slices
 from plotloom.session import shuffle_partitions
 
 MAX_TOKENS = 1_000_000
@@ -35,6 +37,8 @@ REMEMBERED = 1_000_000
 CHUNK_BYTES = 8 << 20
 # Words of whole texts that are put together at once.
 BATCH_WORDS = 1 << 17
+# Ids of whole texts that are decoded at once.
+BATCH_IDS = 1 << 18
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -208,21 +212,28 @@ class TokenTable:
         return self.letters[at].tobytes()
 
 
-def _id_arrays(column: pa.Array) -> Iterator[np.ndarray]:
-    for ids in column:
-        yield np.asarray(ids.values) if ids.is_valid else np.empty(0, dtype=np.int32)
+def _id_slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Each batch cut into slices of at most ``BATCH_IDS`` ids, one row at least, with the ids of each row."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        place = batch.schema.get_field_index(column)
+        sizes = pc.fill_null(pc.list_value_length(batch.column(place)), 0).to_pylist()
+        for begin, end in slices(sizes, BATCH_IDS):
+            part = batch.slice(begin, end - begin)
+            none = np.empty(0, dtype=np.int32)
+            yield part, [np.asarray(ids.values) if ids.is_valid else none for ids in part.column(place)]
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """Adds ``decoded``, the bytes of the ids, to a table with ``ids``."""
     table = encoded.sparkSession.sparkContext.broadcast(TokenTable(ranks))
-    place = encoded.columns.index("ids")
     others = [f.name for f in encoded.schema.fields if f.name != "decoded"]
 
     def join_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [table.value.join(ids) for ids in _id_arrays(batch.column(place))]
-            columns = [batch.column(batch.schema.get_field_index(name)) for name in others]
+        for part, arrays in _id_slices(batches, "ids"):
+            values = [table.value.join(ids) for ids in arrays]
+            columns = [part.column(part.schema.get_field_index(name)) for name in others]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.binary())], [*others, "decoded"])
 
     schema = encoded.drop("decoded").schema.add("decoded", "binary")
@@ -236,14 +247,14 @@ def digests(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     table = encoded.sparkSession.sparkContext.broadcast(TokenTable(ranks))
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part, arrays in _id_slices(batches, "ids"):
             rows = []
-            for ids in _id_arrays(batch.column(1)):
+            for ids in arrays:
                 own = hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest()
                 rows.append((len(ids), own, hashlib.sha256(table.value.join(ids)).hexdigest()))
-            n, own, decoded = zip(*rows) if rows else ((), (), ())
+            n, own, decoded = zip(*rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(decoded, pa.string())],
+                [part.column(0), pa.array(n, pa.int64()), pa.array(own, pa.string()), pa.array(decoded, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

@@ -100,6 +100,42 @@ def test_long_words_merge_like_short_ones(tokenizer):
         assert bpe.merge(word.encode(), ranks) == library.encode_ordinary(word)
 
 
+def test_packing_and_decoding_take_little_memory(tokenizer):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    numbers = np.random.default_rng(4).integers(0, 1 << 40, 1 << 21) >> np.arange(1 << 21) % 40
+    tracemalloc.start()
+    packed = coding.pack(numbers)
+    unpacked = coding.unpack(packed)
+    # The numbers themselves take 16 MiB.
+    assert tracemalloc.get_traced_memory()[1] < 56 << 20
+    tracemalloc.stop()
+    assert np.array_equal(numbers, unpacked) and len(coding.unpack(coding.pack(numbers[:0]))) == 0
+    ids = pa.array([[1] * 200_000, None, [], [2] * 100_000, [3] * 400_000, [4]], pa.list_(pa.int32()))
+    batches = [pa.record_batch([ids], ["ids"]), pa.record_batch([ids[:0]], ["ids"])]
+    found = [[len(a) for a in arrays] for _, arrays in bpe._id_slices(batches, "ids")]
+    assert found == [[200_000, 0, 0], [100_000], [400_000], [1]]
+
+
+def test_materialised_stages_send_short_batches(spark):
+    from plotloom.operators.sizing import cut_lineage
+    from plotloom.session import BATCH_ROWS
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    found = [r.n for r in cut_lineage(spark.range(0, 4500, 1, 1).mapInArrow(sizes, "n long")).collect()]
+    assert sum(found) == 4500 and max(found) == BATCH_ROWS and spark.conf.get(name) == before
+
+
 # Hidden Markov model ---------------------------------------------------------------
 
 
