@@ -277,6 +277,44 @@ def test_similar_rows_beside_an_unlike_least_class(spark):
     assert pairs == Counter(named)
 
 
+def test_groups_go_with_the_texts_in_one_exchange(spark):
+    draw = random.Random(13)
+    a, b, c = (prose(draw, 120) for _ in range(3))
+    rows = [(1, a), (2, b), (5, near(draw, a, 1)), (5, near(draw, b, 1)), (5, c), (9, c), (9, None), (None, b)]
+    rows += [(20 + i, prose(draw, 40)) for i in range(40)]
+    found = fingerprints.with_groups(docs_of(spark, rows))
+    # Neither texts nor fingerprints are joined or sent a second time.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    got = Counter((r.doc_id, r.n_chars, r.group_id) for r in found.collect())
+    expected = [1, None, 1, None, 5, 5, 9, None] + [20 + i for i in range(40)]
+    assert got == Counter((i, len(t or ""), g) for (i, t), g in zip(rows, expected))
+    assert fingerprints.with_groups(docs_of(spark, [])).count() == 0
+    assert fingerprints.with_groups(docs_of(spark, [(None, None)])).first().group_id is None
+
+
+def test_only_bands_of_several_classes_are_kept():
+    draw = random.Random(14)
+    entries = sorted((draw.randrange(60), draw.randrange(4)) for _ in range(150))
+    entries += [(99, 1)] * 7 + [(100, 1)] * 5 + [(100, 2)] * 5
+    members = [(None, 3, None, 8), (None, 4, 2, 9)]
+    rows = members + [(band, cls, None, None) for band, cls in entries]
+    several = {band for band, _ in entries if len({c for x, c in entries if x == band}) > 1}
+    expected = sorted({e for e in entries if e[0] in several})
+    for size in (1, 2, 3, 7, len(rows)):
+        batches = [fingerprints._banded(*zip(*rows[i : i + size])) for i in range(0, len(rows), size)]
+        found = [tuple(r.values()) for out in fingerprints._shared(batches) for r in out.to_pylist()]
+        assert [r for r in found if r[0] is None] == members
+        assert [r[:2] for r in found if r[0] is not None] == expected
+
+
+def test_texts_that_are_not_needed_are_left_out_before_the_join(spark):
+    docs = docs_of(spark, [(i, "text") for i in range(-500, 500)] + [(None, "text")])
+    ids = spark.createDataFrame([(i,) for i in range(-500, 500, 10)] + [(None,)], "id long")
+    found = {r.doc_id for r in fingerprints._likely_rows(docs, ids).collect()}
+    assert found >= {None, *range(-500, 500, 10)} and len(found) < 110
+
+
 def test_slices_of_pairs_are_bounded_by_what_they_inflate_to():
     import zlib
 
