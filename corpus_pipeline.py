@@ -43,7 +43,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks, pattern = bpe.default_tokenizer()
-    found = bpe.decode(bpe.encode(docs, ranks, pattern), ranks)
+    # Materialised, so that no task holds a Python worker that encodes and one that decodes at once, and
+    # whole texts go to Python in short batches.
+    encoded = cut_lineage(bpe.encode(docs, ranks, pattern))
+    found = bpe.decode(encoded, ranks)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string"))
 
 

@@ -295,7 +295,9 @@ def keyed_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The passages with ``text_key``, the hash of the text that each was found in."""
     schema = "doc_id long, text_key long, item_id long, start long, end long, distance int"
     spark = docs.sparkSession
-    result = spark.createDataFrame([], schema)
+    # No rows, made without Python: a list would take workers of its own on every executor.
+    fields = [field.split() for field in schema.split(", ")]
+    result = spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in fields])
     for items in item_slices(benchmark):
         shared = spark.sparkContext.broadcast(items)
 

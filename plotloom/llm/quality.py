@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotloom.llm.arrow_text import text_slices
+from plotloom.session import short_batches
 
 LABELLERS = ("symbols", "capitals", "echoes", "variety", "sentences", "bare_symbols", "common_words")
 GOOD, BAD, ABSTAIN = "g", "b", "-"
@@ -190,7 +191,8 @@ def vote_counts(docs: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, size: int = SAMPLE_DOCS) -> np.ndarray | None:
     """The scorer for a table of documents; None if it has none."""
-    patterns = {row["votes"]: row["n"] for row in vote_counts(docs).collect()}
+    with short_batches(docs.sparkSession):
+        patterns = {row["votes"]: row["n"] for row in vote_counts(docs).collect()}
     posterior = fit_labellers(patterns)
     if not patterns:
         return None
@@ -206,7 +208,8 @@ def train(docs: DataFrame, size: int = SAMPLE_DOCS) -> np.ndarray | None:
     # the bound, and however many there are, few texts are all taken.
     different = docs.select(F.xxhash64("text").alias("h")).distinct().count()
     chosen = docs.select("text").where(place < min(1.0, size / different)).dropDuplicates(["text"])
-    sample = chosen.mapInArrow(describe, "x binary, votes string").toArrow()
+    with short_batches(docs.sparkSession):
+        sample = chosen.mapInArrow(describe, "x binary, votes string").toArrow()
     if not len(sample):
         return None
     # Summed in a fixed order, whatever order the rows came in.

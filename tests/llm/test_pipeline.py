@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from plotloom.llm import quality
 from plotloom.llm.queries import QUERIES
+from plotloom.session import BATCH_ROWS
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 COMMON = "the of and to in is that for it as with be by on are".split()
@@ -108,3 +110,37 @@ def test_quality_stage_passes_all_columns(spark, folder):
     docs = spark.read.parquet(f"{path}/documents.parquet").withColumn("score", F.lit("own"))
     kept = corpus_pipeline.keep_good_quality(spark, docs.drop("score"), path)
     assert kept.columns == docs.columns[:-1]
+
+
+def plan_of(frame, capsys):
+    capsys.readouterr()
+    frame.explain()
+    return capsys.readouterr().out
+
+
+def test_encoding_and_decoding_are_separate_steps(spark, folder, capsys):
+    path, *_ = folder
+    plan = plan_of(corpus_pipeline.encode_and_decode(spark, spark.read.parquet(f"{path}/documents.parquet"), path), capsys)
+    # One Python worker a task: ids are decoded from what is materialised.
+    assert plan.count("MapInArrow") == 1 and "CoGroup" not in plan
+
+
+def test_decontamination_takes_no_other_python_workers(spark, folder, capsys):
+    path, *_ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    plan = plan_of(corpus_pipeline.drop_contaminated(spark, docs, path), capsys)
+    assert plan.count("MapInArrow") == 1 and "ExistingRDD" not in plan
+
+
+def test_the_scorer_is_trained_on_short_batches(spark, folder, monkeypatch):
+    path, *_ = folder
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, votes_of = spark.conf.get(name), [], quality.vote_counts
+
+    def counted(docs):
+        seen.append(spark.conf.get(name))
+        return votes_of(docs)
+
+    monkeypatch.setattr(quality, "vote_counts", counted)
+    quality.train(spark.read.parquet(f"{path}/documents.parquet"))
+    assert seen == [str(BATCH_ROWS)] and spark.conf.get(name) == before
